@@ -62,3 +62,13 @@ SQL = {
                as json
       from ({_SLIDING_TOP10}) group by window_start, window_end""",
 }
+
+# A streaming window is emitted once the watermark (max event time,
+# delay 0) has passed its end.
+_CLOSED = "window_end <= (select max(ts) from events)"
+
+SQL.update({
+    "stream_sliding_count": f"select * from ({_SLIDING_COUNT}) where {_CLOSED}",
+    "stream_sliding_top10": f"select * from ({_SLIDING_TOP10}) where {_CLOSED}",
+    "stream_interval_top10": SQL["token_top10"],
+})

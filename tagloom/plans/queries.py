@@ -86,3 +86,49 @@ QUERIES = {
     "sliding_report": q_sliding_report,
     "sliding_topk_json": q_sliding_topk_json,
 }
+
+
+# --- step 3: streaming -----------------------------------------------------
+
+def _stream_events(spark, sf_dir):
+    from tagloom.streaming.sources import file_stream
+    import os
+    return file_stream(spark, os.path.join(sf_dir, "events.parquet"))
+
+
+def q_stream_sliding_count(spark, sf_dir):
+    from tagloom.session import scratch_path
+    from tagloom.streaming import windowed
+    counts = windowed.window_counts(_stream_events(spark, sf_dir), "ts", "user_id", DAY, HALF_DAY)
+    out, ck = scratch_path(spark, "stream-count"), scratch_path(spark, "stream-count-ckpt")
+    windowed.run_until_done(windowed.start_to_parquet(counts, out, ck))
+    return spark.read.parquet(out)
+
+
+def q_stream_sliding_top10(spark, sf_dir):
+    from tagloom.session import scratch_path
+    from tagloom.streaming import windowed
+    counts = windowed.window_counts(_stream_events(spark, sf_dir), "ts", "user_id", DAY, HALF_DAY)
+    out, ck = scratch_path(spark, "stream-top"), scratch_path(spark, "stream-top-ckpt")
+    windowed.run_until_done(windowed.start_window_top_k(counts, out, ck, 10))
+    return spark.read.parquet(out).drop("batch_id")
+
+
+def q_stream_interval_top10(spark, sf_dir):
+    """Micro-batch word count + top 10 over documents read as a stream."""
+    import os
+    from tagloom.session import scratch_path
+    from tagloom.streaming import windowed
+    from tagloom.streaming.sources import file_stream
+    lines = file_stream(spark, os.path.join(sf_dir, "documents.parquet")).select(
+        F.col("text").alias("value"))
+    out, ck = scratch_path(spark, "stream-interval"), scratch_path(spark, "stream-interval-ckpt")
+    windowed.run_until_done(windowed.start_interval_top_k(lines, out, ck, 10))
+    return spark.read.parquet(out).drop("batch_id")
+
+
+QUERIES.update({
+    "stream_sliding_count": q_stream_sliding_count,
+    "stream_sliding_top10": q_stream_sliding_top10,
+    "stream_interval_top10": q_stream_interval_top10,
+})
