@@ -72,3 +72,125 @@ SQL.update({
     "stream_sliding_top10": f"select * from ({_SLIDING_TOP10}) where {_CLOSED}",
     "stream_interval_top10": SQL["token_top10"],
 })
+
+# --- graphs ----------------------------------------------------------------
+_B = 10 ** 12
+_SUPPLY_LABELS = f"""(select id, min(label) as label from (
+    select p_partkey as id, p_name as label from part
+    union all select s_suppkey + {_B}, s_name from supplier) group by id)"""
+
+
+def _supply_edges(num: int, where: str = "") -> str:
+    return f"""(select l_partkey as src, l_suppkey + {_B} as dst, count(*) as weight
+               from lineitem {where} group by l_partkey, l_suppkey having count(*) > {num})"""
+
+
+def _vertices_of(edges: str, labels: str) -> str:
+    return f"""(select i.id, coalesce(l.label, '') as label from
+               (select src as id from {edges} union select dst from {edges}) i
+               left join {labels} l on l.id = i.id)"""
+
+
+def _components(edges: str, vertices: str) -> str:
+    """Least reachable id per vertex (labels only move to larger ids)."""
+    return f"""(with recursive u as (select src as a, dst as b from {edges}
+                                   union select dst, src from {edges}),
+                 r(a, l) as (select id, id from {vertices}
+                             union select u.b, r.l from r join u on u.a = r.a where r.l < u.b)
+               select a as id, min(l) as component from r group by a)"""
+
+
+_SE = _supply_edges(2)
+_SV = _vertices_of("se", _SUPPLY_LABELS)
+
+# Three slices (l_returnflag), threshold > 1, merged by label.
+_MERGED = f"""
+  s as (select l_returnflag as f, l_partkey as src, l_suppkey + {_B} as dst, count(*) as w
+        from lineitem where l_returnflag in ('A', 'N', 'R')
+        group by l_returnflag, l_partkey, l_suppkey having count(*) > 1),
+  vl as {_SUPPLY_LABELS},
+  sl as (select s.f, s.w, coalesce(a.label, '') as sl, coalesce(b.label, '') as dl
+         from s left join vl a on a.id = s.src left join vl b on b.id = s.dst),
+  mv as (select row_number() over (order by label) - 1 as id, label
+         from (select sl as label from sl union select dl from sl)),
+  me0 as (select va.id as src, vb.id as dst, sl.w, sl.f from sl
+          join mv va on va.label = sl.sl join mv vb on vb.label = sl.dl),
+  me as (select src, dst, sum(w) as weight from me0 group by src, dst),
+  deg as (select id, count(*) as degree from (select src as id from me union all select dst from me)
+          group by id),
+  low as (select id from deg where degree <= 2)
+"""
+
+_ACTIVITY = f"""
+  ty as (select row_number() over (order by event_type) - 1 + {_B} as id, event_type as label
+         from (select distinct event_type from events)),
+  ae as (select e.user_id as src, ty.id as dst, count(*) as weight
+         from events e join ty on ty.label = e.event_type
+         group by e.user_id, ty.id having count(*) > 15),
+  av as {_vertices_of("ae", "ty")}
+"""
+
+SQL.update({
+    "supply_edges": f"select * from {_SE}",
+    "supply_vertices": f"with se as {_SE} select * from {_SV}",
+    "supply_triplets": f"""with se as {_SE}, sv as {_SV}
+      select se.src, a.label as src_label, se.dst, b.label as dst_label, se.weight
+      from se join sv a on a.id = se.src join sv b on b.id = se.dst""",
+    "supply_degrees": f"""with se as {_SE}
+      select id, count(*) as degree from (select src as id from se union all select dst from se)
+      group by id""",
+    "supply_components": f"with se as {_SE}, sv as {_SV} select * from {_components('se', 'sv')}",
+    "merged_vertices": f"with {_MERGED} select id, label from mv",
+    "merged_edges": f"with {_MERGED} select src, dst, weight from me",
+    "merged_edges_reversed": f"""with {_MERGED}
+      select src, dst, sum(w) as weight from (
+        select case when f = 'R' then dst else src end as src,
+               case when f = 'R' then src else dst end as dst, w from me0)
+      group by src, dst""",
+    "merged_low_degree": f"with {_MERGED} select id from low",
+    "merged_low_degree_edges": f"""with {_MERGED}
+      select * from me where src in (select id from low) or dst in (select id from low)""",
+    "merged_low_degree_induced": f"""with {_MERGED}
+      select * from me where src in (select id from low) and dst in (select id from low)""",
+    "merged_components": f"with {_MERGED} select * from {_components('me', 'mv')}",
+    "merged_component_sizes": f"""with {_MERGED}
+      select component, count(*) as size from {_components('me', 'mv')} group by component""",
+    "merged_component_lines": f"""with {_MERGED}
+      select component, 0 as chunk, string_agg(cast(id as varchar), ', ' order by id) as members
+      from {_components('me', 'mv')} group by component""",
+    "merged_gexf": f"""with {_MERGED}
+      select * from (values
+        (0, 0, 0, '<?xml version="1.0" encoding="UTF-8"?>'),
+        (0, 1, 0, '<gexf xmlns="http://www.gexf.net/1.2draft" version="1.2">'),
+        (0, 2, 0, ' <graph mode="static" defaultedgetype="directed">'),
+        (0, 3, 0, '  <nodes>'),
+        (2, 0, 0, '</nodes>'),
+        (2, 1, 0, '  <edges>'),
+        (4, 0, 0, '</edges>'),
+        (4, 1, 0, '        </graph>'),
+        (4, 2, 0, '      </gexf>')) t(section, k1, k2, line)
+      union all
+      select 1, id, 0, '  <node id="' || id || '" label="'
+             || replace(replace(replace(replace(label, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')
+             || '" />' from mv
+      union all
+      select 3, src, dst, '  <edge source="' || src || '" target="' || dst || '" weight="' || weight || '"/>'
+      from me""",
+    "activity_edges": f"""with {_ACTIVITY}
+      select ae.src, a.label as src_label, ae.dst, b.label as dst_label, ae.weight
+      from ae join av a on a.id = ae.src join av b on b.id = ae.dst""",
+    "activity_components": f"with {_ACTIVITY} select * from {_components('ae', 'av')}",
+})
+
+_SUPPLY_LOW = f"""se as {_SE},
+  low as (select id from (select src as id from se union all select dst from se)
+          group by id having count(*) <= 2)"""
+SQL.update({
+    "supply_low_degree_edges": f"""with {_SUPPLY_LOW}
+      select * from se where src in (select id from low) or dst in (select id from low)""",
+    "supply_component_sizes": f"""with se as {_SE}, sv as {_SV}
+      select component, count(*) as size from {_components('se', 'sv')} group by component""",
+    "supply_component_lines": f"""with se as {_SE}, sv as {_SV}
+      select component, 0 as chunk, string_agg(cast(id as varchar), ', ' order by id) as members
+      from {_components('se', 'sv')} group by component""",
+})

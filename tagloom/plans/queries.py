@@ -132,3 +132,143 @@ QUERIES.update({
     "stream_sliding_top10": q_stream_sliding_top10,
     "stream_interval_top10": q_stream_interval_top10,
 })
+
+
+# --- steps 4-6: graphs -----------------------------------------------------
+
+def _graph_ops():
+    from tagloom.operators import components, graph
+    from tagloom.plans import graph_inputs as gi
+    return graph, components, gi
+
+
+def q_supply_edges(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return gi.supply_graph(spark, sf_dir).edges
+
+
+def q_supply_vertices(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return gi.supply_graph(spark, sf_dir).vertices
+
+
+def q_supply_triplets(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return graph.triplets(gi.supply_graph(spark, sf_dir))
+
+
+def q_supply_degrees(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return graph.degrees(gi.supply_graph(spark, sf_dir))
+
+
+def q_supply_components(spark, sf_dir):
+    graph, components, gi = _graph_ops()
+    return components.connected_components(gi.supply_graph(spark, sf_dir))
+
+
+def q_merged_vertices(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return gi.merged_supply_graph(spark, sf_dir).vertices
+
+
+def q_merged_edges(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return gi.merged_supply_graph(spark, sf_dir).edges
+
+
+def q_merged_edges_reversed(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return gi.merged_supply_graph(spark, sf_dir, reverse=True).edges
+
+
+def q_merged_low_degree(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return graph.low_degree_vertices(gi.merged_supply_graph(spark, sf_dir))
+
+
+def q_merged_low_degree_edges(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return graph.low_degree_subgraph(gi.merged_supply_graph(spark, sf_dir)).edges
+
+
+def q_merged_low_degree_induced(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return graph.low_degree_induced(gi.merged_supply_graph(spark, sf_dir)).edges
+
+
+def q_merged_components(spark, sf_dir):
+    graph, components, gi = _graph_ops()
+    return components.connected_components(gi.merged_supply_graph(spark, sf_dir))
+
+
+def q_merged_component_sizes(spark, sf_dir):
+    return _component_sizes(q_merged_components(spark, sf_dir))
+
+
+def _component_sizes(comp):
+    from tagloom.operators import components
+    return components.component_sizes(comp)
+
+
+def q_merged_component_lines(spark, sf_dir):
+    graph, components, gi = _graph_ops()
+    return components.isolated_groups(q_merged_components(spark, sf_dir))
+
+
+def q_merged_gexf(spark, sf_dir):
+    from tagloom.sinks.gexf import gexf_lines
+    graph, _, gi = _graph_ops()
+    return gexf_lines(gi.merged_supply_graph(spark, sf_dir))
+
+
+def q_activity_edges(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return graph.triplets(gi.activity_graph(spark, sf_dir))
+
+
+def q_activity_components(spark, sf_dir):
+    graph, components, gi = _graph_ops()
+    return components.connected_components(gi.activity_graph(spark, sf_dir))
+
+
+QUERIES.update({
+    "supply_edges": q_supply_edges,
+    "supply_vertices": q_supply_vertices,
+    "supply_triplets": q_supply_triplets,
+    "supply_degrees": q_supply_degrees,
+    "supply_components": q_supply_components,
+    "merged_vertices": q_merged_vertices,
+    "merged_edges": q_merged_edges,
+    "merged_edges_reversed": q_merged_edges_reversed,
+    "merged_low_degree": q_merged_low_degree,
+    "merged_low_degree_edges": q_merged_low_degree_edges,
+    "merged_low_degree_induced": q_merged_low_degree_induced,
+    "merged_components": q_merged_components,
+    "merged_component_sizes": q_merged_component_sizes,
+    "merged_component_lines": q_merged_component_lines,
+    "merged_gexf": q_merged_gexf,
+    "activity_edges": q_activity_edges,
+    "activity_components": q_activity_components,
+})
+
+
+def q_supply_low_degree_edges(spark, sf_dir):
+    graph, _, gi = _graph_ops()
+    return graph.low_degree_subgraph(gi.supply_graph(spark, sf_dir)).edges
+
+
+def q_supply_component_sizes(spark, sf_dir):
+    return _component_sizes(q_supply_components(spark, sf_dir))
+
+
+def q_supply_component_lines(spark, sf_dir):
+    from tagloom.operators import components
+    return components.isolated_groups(q_supply_components(spark, sf_dir))
+
+
+QUERIES.update({
+    "supply_low_degree_edges": q_supply_low_degree_edges,
+    "supply_component_sizes": q_supply_component_sizes,
+    "supply_component_lines": q_supply_component_lines,
+})
