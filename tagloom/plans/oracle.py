@@ -194,3 +194,29 @@ SQL.update({
       select component, 0 as chunk, string_agg(cast(id as varchar), ', ' order by id) as members
       from {_components('se', 'sv')} group by component""",
 })
+
+_PAGE_FIELDS = """
+  select page_id,
+         regexp_extract(html, '<title>(.*?)</title>', 1) as title,
+         regexp_extract(html, '<h1>(.*?)</h1>', 1) as heading,
+         regexp_extract_all(html, '<li><a href="/[^"]*">([^<]*)</a></li>', 1) as tags,
+         regexp_extract_all(html, '<li><a href="/([^"]*)">', 1) as links
+  from pages"""
+
+SQL.update({
+    "page_fields": _PAGE_FIELDS,
+    "page_tag_top10": f"""
+      select tag, cnt, rnk from (
+        select *, row_number() over (order by cnt desc, tag) as rnk from (
+          select tag, count(*) as cnt from (select unnest(tags) as tag from ({_PAGE_FIELDS}))
+          group by tag))
+      where rnk <= 10""",
+    "token_chunks": """
+      with l as (select doc_id, case when rtrim(text, ' ') = '' and text <> '' then []::varchar[]
+                                     else string_split(rtrim(text, ' '), ' ') end as toks
+                 from documents),
+      t as (select doc_id, unnest(toks) as tag, unnest(range(len(toks))) as pos from l),
+      i as (select tag, row_number() over (order by doc_id, pos) - 1 as i from t)
+      select cast(i // 201 as bigint) as chunk, string_agg(tag, ' ' order by i) || ' ' as text
+      from i group by chunk""",
+})

@@ -272,3 +272,30 @@ QUERIES.update({
     "supply_component_sizes": q_supply_component_sizes,
     "supply_component_lines": q_supply_component_lines,
 })
+
+
+# --- step 7: formats -------------------------------------------------------
+
+def q_page_fields(spark, sf_dir):
+    from tagloom.sources.pages import extract_records
+    return extract_records(table(spark, sf_dir, "pages"))
+
+
+def q_page_tag_top10(spark, sf_dir):
+    tags = q_page_fields(spark, sf_dir).select(F.explode("tags").alias("tag"))
+    return topk.top_k(counting.count_values(tags), 10)
+
+
+def q_token_chunks(spark, sf_dir):
+    """Document tokens in (doc_id, position) order, 201 per chunk."""
+    from tagloom.sinks.text import token_chunks
+    toks = counting.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                             "text", keep=["doc_id"], with_pos=True)
+    return token_chunks(toks, ["doc_id", "pos"])
+
+
+QUERIES.update({
+    "page_fields": q_page_fields,
+    "page_tag_top10": q_page_tag_top10,
+    "token_chunks": q_token_chunks,
+})
