@@ -57,6 +57,20 @@ def create_graph(vertices: DataFrame, pairs: DataFrame, num: int) -> Graph:
     return Graph(attach_labels(from_edges(edges), vertices), edges)
 
 
+def create_stacked(vertices: DataFrame, pairs: DataFrame, num: int) -> Graph:
+    """``create_graph`` for many graphs at once; ``pairs`` carries ``gid``.
+
+    One aggregate over all occurrences instead of one scan per graph.
+    """
+    edges = (pairs.groupBy("gid", "src", "dst").agg(F.count(F.lit(1)).alias("weight"))
+             .filter(F.col("weight") > F.lit(num)))
+    ids = (edges.select("gid", F.col("src").alias("id"))
+           .union(edges.select("gid", F.col("dst").alias("id"))).distinct())
+    v = (ids.join(unique_labels(vertices), "id", "left")
+         .select("gid", "id", F.coalesce(F.col("label"), F.lit("")).alias("label")))
+    return Graph(v, edges)
+
+
 # --- views -----------------------------------------------------------------
 
 def triplets(g: Graph) -> DataFrame:
@@ -122,35 +136,58 @@ def low_degree_induced(g: Graph, max_degree: int = 2) -> Graph:
 
 # --- merging ---------------------------------------------------------------
 
-def _relabel(g: Graph, new_ids: DataFrame) -> DataFrame:
-    """Edges of ``g`` on the merged ids (old id -> label -> new id)."""
-    m = g.vertices.join(new_ids, "label").select(F.col("id").alias("_old"), F.col("_new"))
-    s = m.select(F.col("_old").alias("src"), F.col("_new").alias("_nsrc"))
-    d = m.select(F.col("_old").alias("dst"), F.col("_new").alias("_ndst"))
-    return g.edges.join(s, "src").join(d, "dst").select(
-        F.col("_nsrc").alias("src"), F.col("_ndst").alias("dst"), "weight")
+def stack(graphs: list[Graph]) -> Graph:
+    """N graphs as one graph keyed by ``gid`` (0..N-1)."""
+    v = reduce(lambda a, b: a.unionByName(b),
+               [g.vertices.select(F.lit(i).alias("gid"), "id", "label") for i, g in enumerate(graphs)])
+    e = reduce(lambda a, b: a.unionByName(b),
+               [g.edges.select(F.lit(i).alias("gid"), "src", "dst", "weight")
+                for i, g in enumerate(graphs)])
+    return Graph(v, e)
 
 
-def merge_many(graphs: list[Graph], reverse: bool = False) -> Graph:
-    """Merge graphs by label.
+def fold_flips(n: int) -> list[int]:
+    """How often a pairwise fold ``merge(g_k, ... merge(g_1, g_2))`` that
+    keys edges on (dst, src) flips each graph's edges: g_1 and g_2 once
+    per level (n - 1), g_k (k >= 3) n - k + 1 times."""
+    return [n - 1, n - 1] + [n - k + 1 for k in range(3, n + 1)] if n >= 2 else [0] * n
+
 
-    Equal labels become one vertex (within one graph too); the merged
+def merge_stacked(stacked: Graph, flip: dict | None = None) -> Graph:
+    """Merge all graphs of a stacked graph by label, in one pass.
+
+    Equal labels become one vertex (within one graph too); merged
     vertices get dense ids in label order; parallel edges add their
-    weights. ``reverse=True`` folds pairwise and flips edge direction at
-    every merge, as a (dst, src)-keyed reduction does.
+    weights. ``flip`` lists the gids whose edges change direction.
     """
-    if reverse and len(graphs) > 2:
-        return reduce(lambda acc, g: merge_many([g, acc], reverse=True), graphs[2:],
-                      merge_many(graphs[:2], reverse=True))
-    labels = reduce(lambda a, b: a.union(b), [g.vertices.select("label") for g in graphs]).distinct()
-    v = dense_id(labels, ["label"], "id").persist()
-    new_ids = v.select("label", F.col("id").alias("_new"))
-    e = reduce(lambda a, b: a.unionAll(b), [_relabel(g, new_ids) for g in graphs])
-    if reverse:
-        e = e.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    v = dense_id(stacked.vertices.select("label").distinct(), ["label"], "id")
+    m = stacked.vertices.join(v.select("label", F.col("id").alias("_new")), "label").select(
+        "gid", F.col("id").alias("_old"), "_new")
+    s = m.select("gid", F.col("_old").alias("src"), F.col("_new").alias("_nsrc"))
+    d = m.select("gid", F.col("_old").alias("dst"), F.col("_new").alias("_ndst"))
+    e = stacked.edges.join(s, ["gid", "src"]).join(d, ["gid", "dst"])
+    if flip:
+        f = F.col("gid").isin(list(flip))
+        e = e.select(F.when(f, F.col("_ndst")).otherwise(F.col("_nsrc")).alias("src"),
+                     F.when(f, F.col("_nsrc")).otherwise(F.col("_ndst")).alias("dst"), "weight")
+    else:
+        e = e.select(F.col("_nsrc").alias("src"), F.col("_ndst").alias("dst"), "weight")
     e = e.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
     return Graph(v.select("id", "label"), e)
 
 
+def merge_many(graphs: list[Graph], reverse: bool = False) -> Graph:
+    """Merge graphs by label (see ``merge_stacked``).
+
+    ``reverse=True`` gives the edge directions of the pairwise fold
+    ``merge(g_n, ... merge(g_3, merge(g_1, g_2)))`` with (dst, src)-keyed
+    reduction, without running the fold.
+    """
+    flip = None
+    if reverse:
+        flip = {i for i, k in enumerate(fold_flips(len(graphs))) if k % 2 == 1}
+    return merge_stacked(stack(graphs), flip)
+
+
 def merge_graphs(g1: Graph, g2: Graph, reverse: bool = False) -> Graph:
     return merge_many([g1, g2], reverse)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.operators.graph import Graph, create_graph, merge_many
+from tagloom.operators.graph import Graph, create_graph, create_stacked, merge_stacked, fold_flips
 from tagloom.operators.indexing import dense_id
 from tagloom.sources.tables import table
 
@@ -49,14 +49,24 @@ def supply_graph(spark: SparkSession, sf_dir: str, num: int = SUPPLY_THRESHOLD)
     return create_graph(supply_vertices(spark, sf_dir), supply_pairs(spark, sf_dir), num)
 
 
-def supply_slices(spark: SparkSession, sf_dir: str, num: int = SLICE_THRESHOLD) -> list[Graph]:
-    v = supply_vertices(spark, sf_dir)
-    return [create_graph(v, supply_pairs(spark, sf_dir, f), num) for f in SLICES]
+def supply_slices(spark: SparkSession, sf_dir: str, num: int = SLICE_THRESHOLD) -> Graph:
+    """One graph per l_returnflag value, stacked (``gid`` = index in SLICES)."""
+    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag").isin(list(SLICES)))
+    gid = F.lit(None).cast("int")
+    for i, f in enumerate(SLICES):
+        gid = F.when(F.col("l_returnflag") == F.lit(f), F.lit(i)).otherwise(gid)
+    pairs = li.select(gid.alias("gid"), F.col("l_partkey").alias("src"),
+                      (F.col("l_suppkey") + F.lit(ID_BASE)).alias("dst"))
+    return create_stacked(supply_vertices(spark, sf_dir), pairs, num)
 
 
 def merged_supply_graph(spark: SparkSession, sf_dir: str, reverse: bool = False) -> Graph:
-    """The three slice graphs merged by label, as one graph."""
-    return merge_many(supply_slices(spark, sf_dir), reverse=reverse)
+    """The slice graphs merged by label, as one graph. ``reverse``: edge
+    directions of merge(g3, merge(g1, g2)) with (dst, src)-keyed sums."""
+    flip = None
+    if reverse:
+        flip = {i for i, k in enumerate(fold_flips(len(SLICES))) if k % 2 == 1}
+    return merge_stacked(supply_slices(spark, sf_dir), flip)
 
 
 def activity_graph(spark: SparkSession, sf_dir: str, num: int = ACTIVITY_THRESHOLD) -> Graph:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.operators import counting, topk, windows
+from tagloom.operators.partitioning import spread
 from tagloom.sinks import reports
 from tagloom.sources.tables import table
 
@@ -19,8 +20,13 @@ DAY = "1 day"
 HALF_DAY = "12 hours"
 
 
+def documents(spark: SparkSession, sf_dir: str, *cols) -> DataFrame:
+    """Columns of `documents`, spread over all cores for tokenizing."""
+    return spread(table(spark, sf_dir, "documents").select(*cols))
+
+
 def documents_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    return documents(spark, sf_dir, F.col("text").alias("value"))
 
 
 # --- step 1: tokens --------------------------------------------------------
@@ -35,7 +41,7 @@ def q_token_top10(spark, sf_dir):
 
 def q_token_count_merged(spark, sf_dir):
     """Counts of two disjoint halves of the corpus, added together."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir, "lang", "text")
     en = counting.token_count(docs.filter(F.col("lang") == "en").select(F.col("text").alias("value")))
     rest = counting.token_count(docs.filter(~(F.col("lang") == "en") | F.col("lang").isNull())
                                 .select(F.col("text").alias("value")))
@@ -278,7 +284,7 @@ QUERIES.update({
 
 def q_page_fields(spark, sf_dir):
     from tagloom.sources.pages import extract_records
-    return extract_records(table(spark, sf_dir, "pages"))
+    return extract_records(spread(table(spark, sf_dir, "pages")))
 
 
 def q_page_tag_top10(spark, sf_dir):
@@ -289,7 +295,7 @@ def q_page_tag_top10(spark, sf_dir):
 def q_token_chunks(spark, sf_dir):
     """Document tokens in (doc_id, position) order, 201 per chunk."""
     from tagloom.sinks.text import token_chunks
-    toks = counting.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"),
+    toks = counting.tokenize(documents(spark, sf_dir, "doc_id", "text"),
                              "text", keep=["doc_id"], with_pos=True)
     return token_chunks(toks, ["doc_id", "pos"])
 
