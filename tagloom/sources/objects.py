@@ -34,10 +34,13 @@ def _as_list(v):
     return [str(v)]
 
 
-@F.pandas_udf(QUESTION_SCHEMA)
+_PARSED_SCHEMA = T.StructType(QUESTION_SCHEMA.fields + [T.StructField("_ok", T.BooleanType())])
+
+
+@F.pandas_udf(_PARSED_SCHEMA)
 def _literal_records(chunks: pd.Series) -> pd.DataFrame:
     """Evaluate each record text as a Python literal (a small per-row helper)."""
-    out = {k: [] for k in _STR_FIELDS + _LIST_FIELDS}
+    out = {k: [] for k in _STR_FIELDS + _LIST_FIELDS + ("_ok",)}
     for s in chunks:
         try:
             d = ast.literal_eval(s)
@@ -45,6 +48,7 @@ def _literal_records(chunks: pd.Series) -> pd.DataFrame:
                 raise ValueError
         except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
             d = None
+        out["_ok"].append(d is not None)
         for k in _STR_FIELDS:
             v = None if d is None else d.get(k)
             out[k].append(None if v is None else str(v))
@@ -62,7 +66,9 @@ def parse_concat_objects(chunks: DataFrame, text_col: str = "value") -> DataFram
     body = F.regexp_replace(F.regexp_replace(F.col(text_col), r"^\s*\{", ""), r"\}\s*$", "")
     fixed = chunks.filter(F.trim(F.col(text_col)) != "").withColumn(
         "_rec_text", F.concat(F.lit("{"), body, F.lit("}")))
-    return fixed.withColumn("record", _literal_records("_rec_text"))
+    parsed = fixed.withColumn("_p", _literal_records("_rec_text"))
+    rec = F.struct(*[F.col(f"_p.{f.name}").alias(f.name) for f in QUESTION_SCHEMA.fields])
+    return parsed.withColumn("record", F.when(F.col("_p._ok"), rec)).drop("_p")
 
 
 def read_concat_objects(spark: SparkSession, path: str) -> DataFrame:
