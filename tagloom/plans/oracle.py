@@ -220,3 +220,15 @@ SQL.update({
       select cast(i // 201 as bigint) as chunk, string_agg(tag, ' ' order by i) || ' ' as text
       from i group by chunk""",
 })
+
+SQL["type_window_report"] = f"""
+  with n as (select make_timestamp((epoch_us(ts) // {_DAY_US}) * {_DAY_US}) + interval 1 day as window_end,
+                    event_type as tag, count(*) as cnt
+             from events group by window_end, tag),
+  r as (select *, row_number() over (partition by window_end order by cnt desc, tag) as rnk from n)
+  select window_end,
+         '---------------------' || chr(10) || ' 窗口结束时间： '
+         || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
+         || string_agg('No. ' || rnk || ' tag: ' || tag || ' 出现数目：' || cnt || chr(10), '' order by rnk)
+         || '------------------' || chr(10) as report
+  from r where rnk <= 10 group by window_end"""

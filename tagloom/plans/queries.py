@@ -305,3 +305,12 @@ QUERIES.update({
     "page_tag_top10": q_page_tag_top10,
     "token_chunks": q_token_chunks,
 })
+
+
+def q_type_window_report(spark, sf_dir):
+    """Daily top-10 event types (only 5 exist) as the keyed report."""
+    ranked = windows.window_top_k(_events(spark, sf_dir), "ts", "event_type", DAY, None, 10)
+    return reports.keyed_topk_report(ranked)
+
+
+QUERIES["type_window_report"] = q_type_window_report

@@ -16,6 +16,13 @@ REPORT_TAG_LABEL = " tag:"
 REPORT_COUNT_LABEL = " The num of it is:  "
 REPORT_FOOTER = "--------------------\n"
 
+# The keyed variant of the report, which names the window end.
+KEYED_HEADER = "---------------------\n"
+KEYED_WINDOW_END = " 窗口结束时间： "
+KEYED_TAG_LABEL = " tag: "
+KEYED_COUNT_LABEL = " 出现数目："
+KEYED_FOOTER = "------------------\n"
+
 
 def _ranked_list(ranked: DataFrame, group_cols: list, rank_col: str, fields: dict):
     """Group a ranked table into ``items`` = rank-ordered array of structs."""
@@ -35,6 +42,26 @@ def topk_report(ranked: DataFrame, group_cols: list, key: str = "tag",
                                           F.lit(REPORT_FOOTER)).alias("report"))
 
 
+def _jvm_timestamp_text(c):
+    """``yyyy-MM-dd HH:mm:ss.f...`` with trailing fraction zeros cut (at least one digit)."""
+    frac = F.regexp_replace(F.date_format(c, "SSSSSS"), "0+$", "")
+    return F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("."),
+                    F.when(frac == "", F.lit("0")).otherwise(frac))
+
+
+def keyed_topk_report(ranked: DataFrame, window_end: str = "window_end", key: str = "tag",
+                      cnt: str = "cnt", rank_col: str = "rnk") -> DataFrame:
+    """Report per window end, naming the window end (keyed variant)."""
+    g = _ranked_list(ranked, [window_end], rank_col, {"t": key, "c": cnt})
+    line = lambda x: F.concat(F.lit(REPORT_LINE_PREFIX), x["r"].cast("string"),
+                              F.lit(KEYED_TAG_LABEL), x["t"].cast("string"),
+                              F.lit(KEYED_COUNT_LABEL), x["c"].cast("string"), F.lit("\n"))
+    return g.select(window_end, F.concat(
+        F.lit(KEYED_HEADER), F.lit(KEYED_WINDOW_END), _jvm_timestamp_text(F.col(window_end)),
+        F.lit("\n"), F.array_join(F.transform("items", line), ""),
+        F.lit(KEYED_FOOTER)).alias("report"))
+
+
 def topk_json(ranked: DataFrame, group_cols: list, key: str = "tag",
               cnt: str = "cnt", rank_col: str = "rnk") -> DataFrame:
     """``[{"name":..,"count":..},...]`` per group, highest count first."""

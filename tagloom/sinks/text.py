@@ -29,6 +29,13 @@ def write_token_chunks(chunks: DataFrame, path: str, mode: str = "overwrite") ->
     chunks.write.mode(mode).partitionBy("chunk").text(path)
 
 
+def write_components(components: DataFrame, path: str, max_members_per_line: int = 10000) -> None:
+    """One text line per component (big ones over several lines)."""
+    from tagloom.operators.components import isolated_groups
+    lines = isolated_groups(components, max_members_per_line)
+    lines.orderBy("component", "chunk").select("members").write.mode("overwrite").text(path)
+
+
 def write_lines(df: DataFrame, col: str, path: str) -> None:
     df.select(F.col(col).cast("string")).write.mode("overwrite").text(path)
 

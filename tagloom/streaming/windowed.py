@@ -84,6 +84,47 @@ def start_interval_top_k(lines: DataFrame, out: str, checkpoint: str, k: int = 1
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
+def tag_events(lines: DataFrame, text_col: str = "value", time_col: str | None = "timestamp") -> DataFrame:
+    """Line -> ``(tag, ts)`` per token. ``ts`` is the record's own time
+    (e.g. the broker timestamp) or, with ``time_col=None``, the
+    micro-batch time, which is one value per batch."""
+    t = F.current_timestamp() if time_col is None else F.col(time_col)
+    return tokenize(lines.select(text_col, t.alias("ts")), text_col, keep=["ts"])
+
+
+def start_chart_feed(counts: DataFrame, path: str, checkpoint: str, k: int = 10,
+                     trigger: dict | None = None):
+    """Keep ``path`` holding the chart JSON of the newest closed window.
+
+    Each micro-batch ranks its closed windows, keeps the newest one and
+    overwrites ``path`` with its ``[{"name","count"}...]`` array.
+    """
+    from tagloom.sinks.reports import topk_json
+    trigger = trigger or {"availableNow": True}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ranked = group_top_k(batch, ["window_start", "window_end"], k)
+        newest = ranked.groupBy().agg(F.max("window_end").alias("_last"))
+        latest = ranked.join(newest, F.col("window_end") == F.col("_last")).drop("_last")
+        out = topk_json(latest, ["window_end"]).select("json")
+        if not out.isEmpty():
+            out.coalesce(1).write.mode("overwrite").text(path)
+
+    return (counts.writeStream.outputMode("append").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+def late_row_report(batch_counts: DataFrame, stream_counts: DataFrame) -> DataFrame:
+    """Windows/tags the stream counted lower than a batch run over the same
+    input: ``dropped`` = rows lost to the watermark."""
+    keys = ["window_start", "window_end", "tag"]
+    s = stream_counts.select(*keys, F.col("cnt").alias("stream_cnt"))
+    return (batch_counts.select(*keys, F.col("cnt").alias("batch_cnt")).join(s, keys, "left")
+            .withColumn("stream_cnt", F.coalesce("stream_cnt", F.lit(0)))
+            .withColumn("dropped", F.col("batch_cnt") - F.col("stream_cnt"))
+            .filter(F.col("dropped") > 0))
+
+
 def start_console(stream_df: DataFrame, num_rows: int = 10, mode: str = "append",
                   trigger: dict | None = None):
     """Print the first ``num_rows`` rows of each micro-batch."""

@@ -104,3 +104,19 @@ def test_extract_questions_listing(spark):
     q = extract_questions(pages).orderBy("block_no").collect()
     assert [r["links"] for r in q] == ["7", "8"]
     assert q[0]["views"] == "1234" and q[0]["tags"] == ["x7"] and q[0]["questions"] == ["Q7"]
+
+
+def test_keyed_report_and_component_writer(spark, tmpdir_path):
+    import datetime as dt
+    from tagloom.operators import windows
+    from tagloom.sinks.reports import keyed_topk_report
+    from tagloom.sinks.text import write_components
+    t = dt.datetime(2024, 1, 1, 3)
+    ev = spark.createDataFrame([(t, "x"), (t, "x"), (t, "y")], "ts timestamp_ntz, tag string")
+    rep = keyed_topk_report(windows.window_top_k(ev, "ts", "tag", "1 day", None, 10)).collect()[0]["report"]
+    assert rep == ("---------------------\n 窗口结束时间： 2024-01-02 00:00:00.0\n"
+                   "No. 1 tag: x 出现数目：2\nNo. 2 tag: y 出现数目：1\n------------------\n")
+    comp = spark.createDataFrame([(3, 1), (1, 1), (7, 7)], "id long, component long")
+    write_components(comp, tmpdir_path + "/iso")
+    lines = sorted(ln.strip() for p in glob.glob(tmpdir_path + "/iso/part-*") for ln in open(p) if ln.strip())
+    assert lines == ["1, 3", "7"]

@@ -17,7 +17,14 @@ SCHEMA = pa.schema([("ts", pa.timestamp("us")), ("tag", pa.string())])
 def _write(folder, i, rows):
     tbl = pa.table({"ts": [T0 + dt.timedelta(seconds=s) for s, _ in rows],
                     "tag": [t for _, t in rows]}, schema=SCHEMA)
-    pq.write_table(tbl, os.path.join(folder, f"part-{i:03d}.parquet"))
+    path = os.path.join(folder, f"part-{i:03d}.parquet")
+    pq.write_table(tbl, path)
+    _stamp(path, i)
+
+
+def _stamp(path, i):
+    # the file source takes files in modification-time order
+    os.utime(path, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
 
 
 def _run_counts(spark, src, out, ck, size="10 seconds", slide="5 seconds"):
@@ -102,6 +109,8 @@ def test_interval_top_k_resets_each_batch(spark, tmpdir_path):
         f.write("x y x\nz\n")
     with open(os.path.join(src, "b.txt"), "w") as f:
         f.write("y y\n")
+    _stamp(os.path.join(src, "a.txt"), 0)
+    _stamp(os.path.join(src, "b.txt"), 1)
     lines = file_stream(spark, src, fmt="text", max_files_per_trigger=1)
     out, ck = tmpdir_path + "/top", tmpdir_path + "/ck"
     windowed.run_until_done(windowed.start_interval_top_k(lines, out, ck, 10))
@@ -114,3 +123,29 @@ def test_kafka_options_and_message_value(spark):
     assert o["subscribe"] == "wordcount" and o["kafka.group.id"] == "cloudcompute"
     rec = spark.createDataFrame([(bytearray(b"a b"), T0)], "value binary, timestamp timestamp")
     assert message_value(rec).collect()[0]["value"] == "a b"
+
+
+def test_chart_feed_and_late_row_report(spark, tmpdir_path):
+    import glob
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    _write(src, 0, [(1, "a"), (2, "a"), (3, "b")])
+    _write(src, 1, [(40, "c")])
+    _write(src, 2, [(41, "c")])
+    _write(src, 3, [(4, "late")])
+    stream = file_stream(spark, src, max_files_per_trigger=1)
+    counts = windowed.window_counts(stream, "ts", "tag", "10 seconds")
+    path, ck = tmpdir_path + "/chart", tmpdir_path + "/ck"
+    windowed.run_until_done(windowed.start_chart_feed(counts, path, ck, 10))
+    txt = "".join(open(p).read() for p in glob.glob(path + "/part-*")).strip()
+    assert txt == '[{"name":"a","count":2},{"name":"b","count":1}]'
+    got = _run_counts(spark, src, tmpdir_path + "/out", tmpdir_path + "/ck2", "10 seconds", None)
+    batch = windows.window_count(spark.read.parquet(src), "ts", "tag", "10 seconds")
+    rep = windowed.late_row_report(windows.closed_windows(batch, F.lit(T0 + dt.timedelta(seconds=41))), got)
+    assert [(r["tag"], r["dropped"]) for r in rep.collect()] == [("late", 1)]
+
+
+def test_tag_events_uses_record_time(spark):
+    lines = spark.createDataFrame([("a b", T0)], "value string, timestamp timestamp")
+    rows = windowed.tag_events(lines).collect()
+    assert [(r["tag"], r["ts"]) for r in rows] == [("a", T0), ("b", T0)]
