@@ -5,7 +5,8 @@ SoCC 2014), each round a few DataFrame aggregates and equi-joins.
 Every round's edge set is checkpointed to the shared checkpoint folder:
 lineage stays one round long and a lost executor recomputes at most one
 round. The loop stops when a round leaves the edge set unchanged
-(same row count and same sum of row hashes). The component id of a
+(same row count and same sum of row hashes, observed while the
+checkpoint is written). The component id of a
 vertex is the least vertex id in its component.
 
 Skew: a hub (in the end every component is a star around its least id)
@@ -16,7 +17,7 @@ task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tagloom.operators.graph import Graph
@@ -32,9 +33,10 @@ def _large_star(e: DataFrame) -> DataFrame:
     """Link every neighbour v > u to m(u) = min(u, N(u))."""
     both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    out = both.filter(F.col("v") > F.col("u")).join(m, "u").select(
+    # No distinct here: the output has at most one row per input edge, and
+    # the small-star step (min, join, distinct) absorbs duplicates.
+    return both.filter(F.col("v") > F.col("u")).join(m, "u").select(
         F.col("m").alias("u"), F.col("v"))
-    return out.distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -47,20 +49,21 @@ def _small_star(e: DataFrame) -> DataFrame:
             .select(F.least("a", "m").alias("u"), F.greatest("a", "m").alias("v")).distinct())
 
 
-def _fingerprint(e: DataFrame) -> tuple:
-    r = e.agg(F.count(F.lit(1)).alias("n"),
-              F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).collect()[0]
-    return (r["n"], r["h"])
+def _checkpoint(e: DataFrame) -> tuple[DataFrame, tuple]:
+    """Checkpoint the edge set; its (row count, sum of row hashes) is
+    observed by the same job, so no second pass reads it."""
+    obs = Observation()
+    c = e.observe(obs, F.count(F.lit(1)).alias("n"),
+                  F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).checkpoint(eager=True)
+    m = obs.get
+    return c, (m["n"], m["h"])
 
 
 def star_edges(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """Iterate to the fixed point: every component a star (root, member)."""
-    e = _undirected(edges).checkpoint(eager=True)
-    fp = _fingerprint(e)
+    e, fp = _checkpoint(_undirected(edges))
     for _ in range(max_rounds):
-        nxt = _small_star(_large_star(e)).checkpoint(eager=True)
-        nfp = _fingerprint(nxt)
-        e = nxt
+        e, nfp = _checkpoint(_small_star(_large_star(e)))
         if nfp == fp:
             return e
         fp = nfp

@@ -103,12 +103,16 @@ def start_chart_feed(counts: DataFrame, path: str, checkpoint: str, k: int = 10,
     trigger = trigger or {"availableNow": True}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ranked = group_top_k(batch, ["window_start", "window_end"], k)
-        newest = ranked.groupBy().agg(F.max("window_end").alias("_last"))
-        latest = ranked.join(newest, F.col("window_end") == F.col("_last")).drop("_last")
-        out = topk_json(latest, ["window_end"]).select("json")
-        if not out.isEmpty():
-            out.coalesce(1).write.mode("overwrite").text(path)
+        # read twice below: keep the micro-batch instead of re-running it
+        ranked = group_top_k(batch, ["window_start", "window_end"], k).persist()
+        try:
+            newest = ranked.groupBy().agg(F.max("window_end").alias("_last"))
+            latest = ranked.join(newest, F.col("window_end") == F.col("_last")).drop("_last")
+            out = topk_json(latest, ["window_end"]).select("json")
+            if not out.isEmpty():
+                out.coalesce(1).write.mode("overwrite").text(path)
+        finally:
+            ranked.unpersist()
 
     return (counts.writeStream.outputMode("append").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
