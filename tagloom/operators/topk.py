@@ -21,7 +21,8 @@ def top_k(counts: DataFrame, k: int = 10, cnt: str = "cnt", key: str = "tag",
     """The k largest counts; fewer rows when fewer keys exist."""
     w = Window.orderBy(F.col(cnt).desc(), F.col(key).asc())
     return (counts.withColumn(rank_col, F.row_number().over(w))
-            .filter(F.col(rank_col) <= F.lit(k)))
+            .filter(F.col(rank_col) <= F.lit(k))
+            .withColumn(rank_col, F.col(rank_col).cast("bigint")))
 
 
 def group_top_k(counts: DataFrame, group_cols: list, k: int = 10,
@@ -30,4 +31,5 @@ def group_top_k(counts: DataFrame, group_cols: list, k: int = 10,
     """The k largest counts within each group (e.g. each window)."""
     w = Window.partitionBy(*group_cols).orderBy(F.col(cnt).desc(), F.col(key).asc())
     return (counts.withColumn(rank_col, F.row_number().over(w))
-            .filter(F.col(rank_col) <= F.lit(k)))
+            .filter(F.col(rank_col) <= F.lit(k))
+            .withColumn(rank_col, F.col(rank_col).cast("bigint")))

@@ -115,7 +115,7 @@ _MERGED = f"""
          from (select sl as label from sl union select dl from sl)),
   me0 as (select va.id as src, vb.id as dst, sl.w, sl.f from sl
           join mv va on va.label = sl.sl join mv vb on vb.label = sl.dl),
-  me as (select src, dst, sum(w) as weight from me0 group by src, dst),
+  me as (select src, dst, cast(sum(w) as bigint) as weight from me0 group by src, dst),
   deg as (select id, count(*) as degree from (select src as id from me union all select dst from me)
           group by id),
   low as (select id from deg where degree <= 2)
@@ -143,7 +143,7 @@ SQL.update({
     "merged_vertices": f"with {_MERGED} select id, label from mv",
     "merged_edges": f"with {_MERGED} select src, dst, weight from me",
     "merged_edges_reversed": f"""with {_MERGED}
-      select src, dst, sum(w) as weight from (
+      select src, dst, cast(sum(w) as bigint) as weight from (
         select case when f = 'R' then dst else src end as src,
                case when f = 'R' then src else dst end as dst, w from me0)
       group by src, dst""",
@@ -156,7 +156,7 @@ SQL.update({
     "merged_component_sizes": f"""with {_MERGED}
       select component, count(*) as size from {_components('me', 'mv')} group by component""",
     "merged_component_lines": f"""with {_MERGED}
-      select component, 0 as chunk, string_agg(cast(id as varchar), ', ' order by id) as members
+      select component, cast(0 as bigint) as chunk, string_agg(cast(id as varchar), ', ' order by id) as members
       from {_components('me', 'mv')} group by component""",
     "merged_gexf": f"""with {_MERGED}
       select * from (values
@@ -191,7 +191,7 @@ SQL.update({
     "supply_component_sizes": f"""with se as {_SE}, sv as {_SV}
       select component, count(*) as size from {_components('se', 'sv')} group by component""",
     "supply_component_lines": f"""with se as {_SE}, sv as {_SV}
-      select component, 0 as chunk, string_agg(cast(id as varchar), ', ' order by id) as members
+      select component, cast(0 as bigint) as chunk, string_agg(cast(id as varchar), ', ' order by id) as members
       from {_components('se', 'sv')} group by component""",
 })
 
