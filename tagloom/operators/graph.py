@@ -50,10 +50,19 @@ def attach_labels(ids: DataFrame, vertices: DataFrame, default: str = "") -> Dat
             .select("id", F.coalesce(F.col("label"), F.lit(default)).alias("label")))
 
 
-def create_graph(vertices: DataFrame, pairs: DataFrame, num: int) -> Graph:
+def create_graph(vertices: DataFrame, pairs: DataFrame, num: int,
+                 materialize: bool = True) -> Graph:
     """Edges = (src, dst) pairs seen more than ``num`` times, weight = count;
-    vertices = the ids on those edges with their labels."""
+    vertices = the ids on those edges with their labels.
+
+    With ``materialize`` the thresholded edges (far fewer rows than the
+    occurrences) are checkpointed once; the vertex set, the triplet joins
+    and the degree counts then read them instead of re-aggregating the
+    occurrences.
+    """
     edges = edge_count(pairs.select("src", "dst"), num)
+    if materialize:
+        edges = edges.checkpoint(eager=True)
     return Graph(attach_labels(from_edges(edges), vertices), edges)
 
 
