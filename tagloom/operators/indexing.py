@@ -35,3 +35,30 @@ def dense_id(df: DataFrame, order_cols: list, out: str = "id",
     return (numbered.join(F.broadcast(offsets), "_part")
             .withColumn(out, (F.col("_off") + F.col("_pos")).cast("bigint"))
             .drop("_part", "_pos", "_off"))
+
+
+def weighted_offsets(df: DataFrame, order_cols: list, weight_col: str, out: str = "offset",
+                     num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = sum of ``weight_col`` over all rows before this one in
+    ``order_cols`` order (an exclusive running total, e.g. the index of a
+    document's first token in the token order of the whole corpus).
+
+    Same scheme as ``dense_id``: range partitions, a running total inside
+    each partition (a window over one range partition, so its size is
+    bounded by the partition), plus the totals of the earlier partitions
+    from a one-row-per-partition table.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [c if isinstance(c, Column) else F.col(c) for c in order_cols]
+    inside = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    local = (df.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id())
+             .withColumn("_loc", F.coalesce(F.sum(weight_col).over(inside), F.lit(0)))
+             .checkpoint(eager=True))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (local.groupBy("_part").agg(F.sum(weight_col).alias("_n"))
+               .withColumn("_part_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+               .select("_part", "_part_off"))
+    return (local.join(F.broadcast(offsets), "_part")
+            .withColumn(out, (F.col("_part_off") + F.col("_loc")).cast("bigint"))
+            .drop("_part", "_loc", "_part_off"))

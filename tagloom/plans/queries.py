@@ -294,10 +294,8 @@ def q_page_tag_top10(spark, sf_dir):
 
 def q_token_chunks(spark, sf_dir):
     """Document tokens in (doc_id, position) order, 201 per chunk."""
-    from tagloom.sinks.text import token_chunks
-    toks = counting.tokenize(documents(spark, sf_dir, "doc_id", "text"),
-                             "text", keep=["doc_id"], with_pos=True)
-    return token_chunks(toks, ["doc_id", "pos"])
+    from tagloom.sinks.text import document_token_chunks
+    return document_token_chunks(documents(spark, sf_dir, "doc_id", "text"))
 
 
 QUERIES.update({

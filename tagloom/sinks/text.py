@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.operators.indexing import dense_id
+from tagloom.functions.tokens import blank_split
+from tagloom.operators.indexing import dense_id, weighted_offsets
 
 # Fixed value: tokens per chunk file (the writer starts a new file once
 # a file already holds more than 200 tokens).
@@ -17,6 +18,27 @@ def token_chunks(tokens: DataFrame, order_cols: list, token_col: str = "tag",
     """``(chunk, text)``: tokens in order, ``per_chunk`` per chunk, each
     followed by one blank. Every group holds at most ``per_chunk`` rows."""
     idx = dense_id(tokens.select(*order_cols, token_col), order_cols, "_i")
+    return _chunks(idx, token_col, per_chunk)
+
+
+def document_token_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                          per_chunk: int = TOKENS_PER_CHUNK) -> DataFrame:
+    """``token_chunks`` of every document's blank-split tokens, in
+    (document id, position) order.
+
+    The global token index is the document's offset (an exclusive
+    running total of token counts, computed on one row per document)
+    plus the token's position, so no step sorts the tokens themselves.
+    """
+    sized = docs.select(id_col, F.size(blank_split(text_col)).alias("_n"))
+    offs = weighted_offsets(sized, [id_col], "_n", "_off").select(id_col, "_off")
+    toks = docs.select(id_col, text_col).join(offs, id_col).select(
+        "_off", F.posexplode(blank_split(text_col)).alias("_p", "t"))
+    idx = toks.select((F.col("_off") + F.col("_p")).alias("_i"), "t")
+    return _chunks(idx, "t", per_chunk)
+
+
+def _chunks(idx: DataFrame, token_col: str, per_chunk: int) -> DataFrame:
     return (idx.withColumn("chunk", F.floor(F.col("_i") / F.lit(per_chunk)).cast("bigint"))
             .groupBy("chunk")
             .agg(F.array_sort(F.collect_list(F.struct("_i", F.col(token_col).alias("t")))).alias("_l"))
