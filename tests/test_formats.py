@@ -120,3 +120,23 @@ def test_keyed_report_and_component_writer(spark, tmpdir_path):
     write_components(comp, tmpdir_path + "/iso")
     lines = sorted(ln.strip() for p in glob.glob(tmpdir_path + "/iso/part-*") for ln in open(p) if ln.strip())
     assert lines == ["1, 3", "7"]
+
+
+def test_document_chunks_equal_token_chunks(spark):
+    from tagloom.operators.counting import tokenize
+    from tagloom.sinks.text import document_token_chunks
+    docs = spark.createDataFrame(
+        [(d, " ".join(f"w{d}_{i}" for i in range(n))) for d, n in ((3, 150), (1, 120), (2, 0), (7, 90))]
+        + [(9, "   ")], "doc_id long, text string")
+    a = document_token_chunks(docs).orderBy("chunk").collect()
+    toks = tokenize(docs, "text", keep=["doc_id"], with_pos=True)
+    b = token_chunks(toks, ["doc_id", "pos"]).orderBy("chunk").collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]
+    assert len(a) == 2 and a[0]["text"].startswith("w1_0 w1_1 ")
+
+
+def test_weighted_offsets(spark):
+    from tagloom.operators.indexing import weighted_offsets
+    df = spark.createDataFrame([(k, w) for k, w in ((5, 2), (1, 3), (9, 0), (4, 1))], "k long, w long")
+    got = {r["k"]: r["off"] for r in weighted_offsets(df, ["k"], "w", "off", num_partitions=3).collect()}
+    assert got == {1: 0, 4: 3, 5: 4, 9: 6}
