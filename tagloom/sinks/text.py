@@ -26,16 +26,31 @@ def document_token_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``token_chunks`` of every document's blank-split tokens, in
     (document id, position) order.
 
-    The global token index is the document's offset (an exclusive
-    running total of token counts, computed on one row per document)
-    plus the token's position, so no step sorts the tokens themselves.
+    A document's first token has the global index ``offset`` (running
+    total of token counts over the documents before it, computed on one
+    row per document). Knowing it, each document cuts its own token array
+    into the pieces that fall into each chunk (array slices, no row per
+    token); a chunk then joins its pieces (at most ``per_chunk``) in
+    offset order.
     """
-    sized = docs.select(id_col, F.size(blank_split(text_col)).alias("_n"))
-    offs = weighted_offsets(sized, [id_col], "_n", "_off").select(id_col, "_off")
-    toks = docs.select(id_col, text_col).join(offs, id_col).select(
-        "_off", F.posexplode(blank_split(text_col)).alias("_p", "t"))
-    idx = toks.select((F.col("_off") + F.col("_p")).alias("_i"), "t")
-    return _chunks(idx, "t", per_chunk)
+    P = F.lit(per_chunk)
+    toks = docs.select(id_col, blank_split(text_col).alias("_t"))
+    sized = toks.select(id_col, F.size("_t").alias("_n"))
+    offs = weighted_offsets(sized.filter(F.col("_n") > 0), [id_col], "_n", "_off")
+    cut = (toks.join(offs.select(id_col, "_off", "_n"), id_col)
+           .withColumn("_c", F.sequence(F.floor(F.col("_off") / P),
+                                        F.floor((F.col("_off") + F.col("_n") - 1) / P))))
+
+    def piece(c):
+        lo = F.greatest(c * P - F.col("_off"), F.lit(0))
+        hi = F.least((c + 1) * P - F.col("_off"), F.col("_n"))
+        return F.struct(c.alias("chunk"), F.array_join(F.slice("_t", lo + 1, hi - lo), " ").alias("s"))
+
+    pieces = cut.select("_off", F.inline(F.transform("_c", piece)))
+    return (pieces.groupBy(F.col("chunk").cast("bigint").alias("chunk"))
+            .agg(F.array_sort(F.collect_list(F.struct("_off", "s"))).alias("_l"))
+            .select("chunk", F.concat(F.array_join(F.transform("_l", lambda x: x["s"]), " "),
+                                      F.lit(" ")).alias("text")))
 
 
 def _chunks(idx: DataFrame, token_col: str, per_chunk: int) -> DataFrame:
