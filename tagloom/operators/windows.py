@@ -31,6 +31,18 @@ def window_top_k(df: DataFrame, time_col: str, key: str, size: str,
     return group_top_k(counts, ["window_start", "window_end"], k)
 
 
+def window_agg(df: DataFrame, time_col: str, size: str, slide: str | None, by: list,
+               *aggs) -> DataFrame:
+    """Any aggregates per (window, ``by``): built-in ones, or a grouped-agg
+    pandas UDF as a user-defined aggregate. Built-ins combine map-side;
+    a pandas UDF sees one group's rows, so keep ``by`` fine-grained.
+    Spark runs pandas and built-in aggregates in separate calls."""
+    w = with_window(df, time_col, size, slide)
+    return (w.groupBy("window", *by).agg(*aggs)
+            .withColumn("window_start", F.col("window.start"))
+            .withColumn("window_end", F.col("window.end")).drop("window"))
+
+
 def closed_windows(windowed: DataFrame, max_time, end_col: str = "window_end") -> DataFrame:
     """Keep windows a watermark at ``max_time`` has closed (end <= max)."""
     return windowed.filter(F.col(end_col) <= max_time)

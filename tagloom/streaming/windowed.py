@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.timecols import to_instant, to_wall_clock
 from tagloom.operators.counting import tokenize
+from tagloom.operators.partitioning import spread
 from tagloom.operators.topk import group_top_k, top_k
 
 
@@ -77,7 +78,8 @@ def start_interval_top_k(lines: DataFrame, out: str, checkpoint: str, k: int = 1
     trigger = trigger or {"availableNow": True}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = tokenize(batch, text_col).groupBy("tag").agg(F.count(F.lit(1)).alias("cnt"))
+        # a batch from few files / topic partitions is spread over all cores
+        counts = tokenize(spread(batch), text_col).groupBy("tag").agg(F.count(F.lit(1)).alias("cnt"))
         top_k(counts, k).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return (lines.select(text_col).writeStream.foreachBatch(write)

@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tagloom.operators import windows
 from tagloom.sinks import reports
 
@@ -46,3 +48,30 @@ def test_write_topk_json_overwrites(spark, tmpdir_path):
     reports.write_topk_json(ranked, out)
     txt = "".join(open(p).read() for p in glob.glob(out + "/part-*"))
     assert txt.strip() == '[{"name":"q","count":1}]'
+
+
+def test_window_agg_with_pandas_udaf(spark):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    @F.pandas_udf("long")
+    def distinct_tags(s: pd.Series) -> int:
+        return int(s.nunique())
+
+    t = dt.datetime(2024, 1, 1)
+    ev = _events(spark, [(t, "a"), (t, "a"), (t, "b"), (t + dt.timedelta(days=1), "c")])
+    got = windows.window_agg(ev, "ts", "1 day", None, [], distinct_tags("tag").alias("n"))
+    assert [r["n"] for r in got.orderBy("window_start").collect()] == [2, 1]
+    rows = windows.window_agg(ev, "ts", "1 day", None, ["tag"], F.count(F.lit(1)).alias("rows"))
+    assert sorted((r["tag"], r["rows"]) for r in rows.collect()) == [("a", 2), ("b", 1), ("c", 1)]
+
+
+def test_count_list_functions(spark):
+    from tagloom.functions.arrays import count_map_get, first_n, sort_counts_desc
+    df = spark.createDataFrame([([("b", 2), ("a", 2), ("c", 9)],)],
+                               "items array<struct<name:string,count:long>>")
+    r = df.select(first_n(sort_counts_desc("items"), 2).alias("top"),
+                  count_map_get(F.map_from_entries("items"), "c").alias("c"),
+                  count_map_get(F.map_from_entries("items"), "zz").alias("zz")).collect()[0]
+    assert [(x["name"], x["count"]) for x in r["top"]] == [("c", 9), ("a", 2)]
+    assert (r["c"], r["zz"]) == (9, 0)
