@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tagloom.operators.graph import Graph
+from tagloom.session import checkpoint
 
 
 def _undirected(edges: DataFrame) -> DataFrame:
@@ -53,8 +54,8 @@ def _checkpoint(e: DataFrame) -> tuple[DataFrame, tuple]:
     """Checkpoint the edge set; its (row count, sum of row hashes) is
     observed by the same job, so no second pass reads it."""
     obs = Observation()
-    c = e.observe(obs, F.count(F.lit(1)).alias("n"),
-                  F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).checkpoint(eager=True)
+    c = checkpoint(e.observe(obs, F.count(F.lit(1)).alias("n"),
+                             F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
     m = obs.get
     return c, (m["n"], m["h"])
 

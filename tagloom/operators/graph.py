@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.counting import edge_count
 from tagloom.operators.indexing import dense_id
+from tagloom.session import checkpoint
 
 
 class Graph(NamedTuple):
@@ -62,7 +63,7 @@ def create_graph(vertices: DataFrame, pairs: DataFrame, num: int,
     """
     edges = edge_count(pairs.select("src", "dst"), num)
     if materialize:
-        edges = edges.checkpoint(eager=True)
+        edges = checkpoint(edges)
     return Graph(attach_labels(from_edges(edges), vertices), edges)
 
 
@@ -79,7 +80,7 @@ def create_stacked(vertices: DataFrame, pairs: DataFrame, num: int,
     edges = (pairs.groupBy("gid", "src", "dst").agg(F.count(F.lit(1)).alias("weight"))
              .filter(F.col("weight") > F.lit(num)))
     if materialize:
-        edges = edges.checkpoint(eager=True)
+        edges = checkpoint(edges)
     ids = (edges.select("gid", F.col("src").alias("id"))
            .union(edges.select("gid", F.col("dst").alias("id"))).distinct())
     v = (ids.join(unique_labels(vertices), "id", "left")

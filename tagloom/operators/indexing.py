@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.session import checkpoint
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -24,10 +26,9 @@ def dense_id(df: DataFrame, order_cols: list, out: str = "id",
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [c if isinstance(c, Column) else F.col(c) for c in order_cols]
-    numbered = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                .withColumn("_part", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS)))
-                .checkpoint(eager=True))
+    numbered = checkpoint(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                          .withColumn("_part", F.spark_partition_id())
+                          .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
                .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
@@ -52,9 +53,8 @@ def weighted_offsets(df: DataFrame, order_cols: list, weight_col: str, out: str
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [c if isinstance(c, Column) else F.col(c) for c in order_cols]
     inside = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    local = (df.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id())
-             .withColumn("_loc", F.coalesce(F.sum(weight_col).over(inside), F.lit(0)))
-             .checkpoint(eager=True))
+    local = checkpoint(df.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id())
+                       .withColumn("_loc", F.coalesce(F.sum(weight_col).over(inside), F.lit(0))))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (local.groupBy("_part").agg(F.sum(weight_col).alias("_n"))
                .withColumn("_part_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))

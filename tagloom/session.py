@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Delete checkpoint files of DataFrames that are gone (e.g. the rounds
+    # of an iterative job) from the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Window-count state lives off-heap in RocksDB; each micro-batch
     # uploads only a changelog to the checkpoint location.
     "spark.sql.streaming.stateStore.providerClass":
@@ -76,3 +79,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return os.path.join(base, "tagloom", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def checkpoint(df):
+    """Eager, reliable checkpoint into the shared checkpoint folder.
+
+    Cuts the lineage: later jobs, and a recomputation after a lost
+    executor, start from the written files. (Never ``localCheckpoint``:
+    its blocks die with the executor.)
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
