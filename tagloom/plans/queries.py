@@ -6,13 +6,22 @@ tables. ``plans.oracle`` holds the matching SQL.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.operators import counting, topk, windows
+from tagloom.operators import components, counting, graph, topk, windows
 from tagloom.operators.partitioning import spread
+from tagloom.plans import graph_inputs as gi
+from tagloom.session import scratch_path
 from tagloom.sinks import reports
+from tagloom.sinks.gexf import gexf_lines
+from tagloom.sinks.text import document_token_chunks
+from tagloom.sources.pages import extract_records
 from tagloom.sources.tables import table
+from tagloom.streaming import windowed
+from tagloom.streaming.sources import file_stream
 
 # Window sizes used on `events` (its 30 days of data stand in for a
 # seconds-long stream).
@@ -25,14 +34,18 @@ def documents(spark: SparkSession, sf_dir: str, *cols) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select(*cols))
 
 
-def documents_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir, F.col("text").alias("value"))
+def _lines(df: DataFrame) -> DataFrame:
+    return df.select(F.col("text").alias("value"))
+
 
+def _events(spark, sf_dir):
+    return table(spark, sf_dir, "events")
 
-# --- step 1: tokens --------------------------------------------------------
+
+# --- tokens ----------------------------------------------------------------
 
 def q_token_count(spark, sf_dir):
-    return counting.token_count(documents_lines(spark, sf_dir))
+    return counting.token_count(_lines(documents(spark, sf_dir, "text")))
 
 
 def q_token_top10(spark, sf_dir):
@@ -42,22 +55,23 @@ def q_token_top10(spark, sf_dir):
 def q_token_count_merged(spark, sf_dir):
     """Counts of two disjoint halves of the corpus, added together."""
     docs = documents(spark, sf_dir, "lang", "text")
-    en = counting.token_count(docs.filter(F.col("lang") == "en").select(F.col("text").alias("value")))
-    rest = counting.token_count(docs.filter(~(F.col("lang") == "en") | F.col("lang").isNull())
-                                .select(F.col("text").alias("value")))
-    return counting.merge_counts(en, rest)
+    en = F.col("lang") == "en"
+    return counting.merge_counts(
+        counting.token_count(_lines(docs.filter(en))),
+        counting.token_count(_lines(docs.filter(~en | F.col("lang").isNull()))))
 
 
 def q_type_top10(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("tag"))
+    ev = _events(spark, sf_dir).select(F.col("event_type").alias("tag"))
     return topk.top_k(counting.count_values(ev), 10)
 
 
-# --- step 2: batch windows -------------------------------------------------
+def q_token_chunks(spark, sf_dir):
+    """Document tokens in (doc_id, position) order, 201 per chunk."""
+    return document_token_chunks(documents(spark, sf_dir, "doc_id", "text"))
 
-def _events(spark, sf_dir):
-    return table(spark, sf_dir, "events")
 
+# --- batch windows ---------------------------------------------------------
 
 def q_tumbling_top10(spark, sf_dir):
     return windows.window_top_k(_events(spark, sf_dir), "ts", "user_id", DAY, None, 10)
@@ -72,39 +86,26 @@ def q_sliding_top10(spark, sf_dir):
 
 
 def q_sliding_report(spark, sf_dir):
-    ranked = q_sliding_top10(spark, sf_dir)
-    return reports.topk_report(ranked, ["window_start", "window_end"])
+    return reports.topk_report(q_sliding_top10(spark, sf_dir), ["window_start", "window_end"])
 
 
 def q_sliding_topk_json(spark, sf_dir):
-    ranked = q_sliding_top10(spark, sf_dir)
-    return reports.topk_json(ranked, ["window_start", "window_end"])
+    return reports.topk_json(q_sliding_top10(spark, sf_dir), ["window_start", "window_end"])
 
 
-QUERIES = {
-    "token_count": q_token_count,
-    "token_top10": q_token_top10,
-    "token_count_merged": q_token_count_merged,
-    "type_top10": q_type_top10,
-    "tumbling_top10": q_tumbling_top10,
-    "sliding_count": q_sliding_count,
-    "sliding_top10": q_sliding_top10,
-    "sliding_report": q_sliding_report,
-    "sliding_topk_json": q_sliding_topk_json,
-}
+def q_type_window_report(spark, sf_dir):
+    """Daily top-10 event types (only 5 exist) as the keyed report."""
+    ranked = windows.window_top_k(_events(spark, sf_dir), "ts", "event_type", DAY, None, 10)
+    return reports.keyed_topk_report(ranked)
 
 
-# --- step 3: streaming -----------------------------------------------------
+# --- streaming (availableNow into a fresh folder, then read back) ----------
 
 def _stream_events(spark, sf_dir):
-    from tagloom.streaming.sources import file_stream
-    import os
     return file_stream(spark, os.path.join(sf_dir, "events.parquet"))
 
 
 def q_stream_sliding_count(spark, sf_dir):
-    from tagloom.session import scratch_path
-    from tagloom.streaming import windowed
     counts = windowed.window_counts(_stream_events(spark, sf_dir), "ts", "user_id", DAY, HALF_DAY)
     out, ck = scratch_path(spark, "stream-count"), scratch_path(spark, "stream-count-ckpt")
     windowed.run_until_done(windowed.start_to_parquet(counts, out, ck))
@@ -112,8 +113,6 @@ def q_stream_sliding_count(spark, sf_dir):
 
 
 def q_stream_sliding_top10(spark, sf_dir):
-    from tagloom.session import scratch_path
-    from tagloom.streaming import windowed
     counts = windowed.window_counts(_stream_events(spark, sf_dir), "ts", "user_id", DAY, HALF_DAY)
     out, ck = scratch_path(spark, "stream-top"), scratch_path(spark, "stream-top-ckpt")
     windowed.run_until_done(windowed.start_window_top_k(counts, out, ck, 10))
@@ -122,123 +121,122 @@ def q_stream_sliding_top10(spark, sf_dir):
 
 def q_stream_interval_top10(spark, sf_dir):
     """Micro-batch word count + top 10 over documents read as a stream."""
-    import os
-    from tagloom.session import scratch_path
-    from tagloom.streaming import windowed
-    from tagloom.streaming.sources import file_stream
-    lines = file_stream(spark, os.path.join(sf_dir, "documents.parquet")).select(
-        F.col("text").alias("value"))
+    lines = _lines(file_stream(spark, os.path.join(sf_dir, "documents.parquet")))
     out, ck = scratch_path(spark, "stream-interval"), scratch_path(spark, "stream-interval-ckpt")
     windowed.run_until_done(windowed.start_interval_top_k(lines, out, ck, 10))
     return spark.read.parquet(out).drop("batch_id")
 
 
-QUERIES.update({
-    "stream_sliding_count": q_stream_sliding_count,
-    "stream_sliding_top10": q_stream_sliding_top10,
-    "stream_interval_top10": q_stream_interval_top10,
-})
-
-
-# --- steps 4-6: graphs -----------------------------------------------------
-
-def _graph_ops():
-    from tagloom.operators import components, graph
-    from tagloom.plans import graph_inputs as gi
-    return graph, components, gi
-
+# --- supply graph (lineitem: part shipped by supplier) ---------------------
 
 def q_supply_edges(spark, sf_dir):
-    graph, _, gi = _graph_ops()
     return gi.supply_graph(spark, sf_dir).edges
 
 
 def q_supply_vertices(spark, sf_dir):
-    graph, _, gi = _graph_ops()
     return gi.supply_graph(spark, sf_dir).vertices
 
 
 def q_supply_triplets(spark, sf_dir):
-    graph, _, gi = _graph_ops()
     return graph.triplets(gi.supply_graph(spark, sf_dir))
 
 
 def q_supply_degrees(spark, sf_dir):
-    graph, _, gi = _graph_ops()
     return graph.degrees(gi.supply_graph(spark, sf_dir))
 
 
+def q_supply_low_degree_edges(spark, sf_dir):
+    return graph.low_degree_subgraph(gi.supply_graph(spark, sf_dir)).edges
+
+
 def q_supply_components(spark, sf_dir):
-    graph, components, gi = _graph_ops()
     return components.connected_components(gi.supply_graph(spark, sf_dir))
 
 
+def q_supply_component_sizes(spark, sf_dir):
+    return components.component_sizes(q_supply_components(spark, sf_dir))
+
+
+def q_supply_component_lines(spark, sf_dir):
+    return components.isolated_groups(q_supply_components(spark, sf_dir))
+
+
+# --- merged graph (three lineitem slices merged by label) ------------------
+
 def q_merged_vertices(spark, sf_dir):
-    graph, _, gi = _graph_ops()
     return gi.merged_supply_graph(spark, sf_dir).vertices
 
 
 def q_merged_edges(spark, sf_dir):
-    graph, _, gi = _graph_ops()
     return gi.merged_supply_graph(spark, sf_dir).edges
 
 
 def q_merged_edges_reversed(spark, sf_dir):
-    graph, _, gi = _graph_ops()
     return gi.merged_supply_graph(spark, sf_dir, reverse=True).edges
 
 
 def q_merged_low_degree(spark, sf_dir):
-    graph, _, gi = _graph_ops()
     return graph.low_degree_vertices(gi.merged_supply_graph(spark, sf_dir))
 
 
 def q_merged_low_degree_edges(spark, sf_dir):
-    graph, _, gi = _graph_ops()
     return graph.low_degree_subgraph(gi.merged_supply_graph(spark, sf_dir)).edges
 
 
 def q_merged_low_degree_induced(spark, sf_dir):
-    graph, _, gi = _graph_ops()
     return graph.low_degree_induced(gi.merged_supply_graph(spark, sf_dir)).edges
 
 
 def q_merged_components(spark, sf_dir):
-    graph, components, gi = _graph_ops()
     return components.connected_components(gi.merged_supply_graph(spark, sf_dir))
 
 
 def q_merged_component_sizes(spark, sf_dir):
-    return _component_sizes(q_merged_components(spark, sf_dir))
-
-
-def _component_sizes(comp):
-    from tagloom.operators import components
-    return components.component_sizes(comp)
+    return components.component_sizes(q_merged_components(spark, sf_dir))
 
 
 def q_merged_component_lines(spark, sf_dir):
-    graph, components, gi = _graph_ops()
     return components.isolated_groups(q_merged_components(spark, sf_dir))
 
 
 def q_merged_gexf(spark, sf_dir):
-    from tagloom.sinks.gexf import gexf_lines
-    graph, _, gi = _graph_ops()
     return gexf_lines(gi.merged_supply_graph(spark, sf_dir))
 
 
+# --- activity graph (events: user did event type) --------------------------
+
 def q_activity_edges(spark, sf_dir):
-    graph, _, gi = _graph_ops()
     return graph.triplets(gi.activity_graph(spark, sf_dir))
 
 
 def q_activity_components(spark, sf_dir):
-    graph, components, gi = _graph_ops()
     return components.connected_components(gi.activity_graph(spark, sf_dir))
 
 
-QUERIES.update({
+# --- pages -----------------------------------------------------------------
+
+def q_page_fields(spark, sf_dir):
+    return extract_records(spread(table(spark, sf_dir, "pages")))
+
+
+def q_page_tag_top10(spark, sf_dir):
+    tags = q_page_fields(spark, sf_dir).select(F.explode("tags").alias("tag"))
+    return topk.top_k(counting.count_values(tags), 10)
+
+
+QUERIES = {
+    "token_count": q_token_count,
+    "token_top10": q_token_top10,
+    "token_count_merged": q_token_count_merged,
+    "type_top10": q_type_top10,
+    "tumbling_top10": q_tumbling_top10,
+    "sliding_count": q_sliding_count,
+    "sliding_top10": q_sliding_top10,
+    "sliding_report": q_sliding_report,
+    "sliding_topk_json": q_sliding_topk_json,
+    "stream_sliding_count": q_stream_sliding_count,
+    "stream_sliding_top10": q_stream_sliding_top10,
+    "stream_interval_top10": q_stream_interval_top10,
     "supply_edges": q_supply_edges,
     "supply_vertices": q_supply_vertices,
     "supply_triplets": q_supply_triplets,
@@ -256,59 +254,11 @@ QUERIES.update({
     "merged_gexf": q_merged_gexf,
     "activity_edges": q_activity_edges,
     "activity_components": q_activity_components,
-})
-
-
-def q_supply_low_degree_edges(spark, sf_dir):
-    graph, _, gi = _graph_ops()
-    return graph.low_degree_subgraph(gi.supply_graph(spark, sf_dir)).edges
-
-
-def q_supply_component_sizes(spark, sf_dir):
-    return _component_sizes(q_supply_components(spark, sf_dir))
-
-
-def q_supply_component_lines(spark, sf_dir):
-    from tagloom.operators import components
-    return components.isolated_groups(q_supply_components(spark, sf_dir))
-
-
-QUERIES.update({
     "supply_low_degree_edges": q_supply_low_degree_edges,
     "supply_component_sizes": q_supply_component_sizes,
     "supply_component_lines": q_supply_component_lines,
-})
-
-
-# --- step 7: formats -------------------------------------------------------
-
-def q_page_fields(spark, sf_dir):
-    from tagloom.sources.pages import extract_records
-    return extract_records(spread(table(spark, sf_dir, "pages")))
-
-
-def q_page_tag_top10(spark, sf_dir):
-    tags = q_page_fields(spark, sf_dir).select(F.explode("tags").alias("tag"))
-    return topk.top_k(counting.count_values(tags), 10)
-
-
-def q_token_chunks(spark, sf_dir):
-    """Document tokens in (doc_id, position) order, 201 per chunk."""
-    from tagloom.sinks.text import document_token_chunks
-    return document_token_chunks(documents(spark, sf_dir, "doc_id", "text"))
-
-
-QUERIES.update({
     "page_fields": q_page_fields,
     "page_tag_top10": q_page_tag_top10,
     "token_chunks": q_token_chunks,
-})
-
-
-def q_type_window_report(spark, sf_dir):
-    """Daily top-10 event types (only 5 exist) as the keyed report."""
-    ranked = windows.window_top_k(_events(spark, sf_dir), "ts", "event_type", DAY, None, 10)
-    return reports.keyed_topk_report(ranked)
-
-
-QUERIES["type_window_report"] = q_type_window_report
+    "type_window_report": q_type_window_report,
+}
