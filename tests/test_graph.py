@@ -152,3 +152,19 @@ def test_triplets_and_dense_id(spark):
     ids = dense_id(df, ["k"], "id").collect()
     assert sorted(r["id"] for r in ids) == list(range(700))
     assert all(int(r["k"][1:]) == r["id"] for r in ids)
+
+
+def test_hub_with_a_third_of_edges(spark):
+    # one vertex on a third of all edges, plus chains that need several rounds
+    rnd = random.Random(3)
+    hub_edges = [(0, i) for i in range(1, 401)]
+    chain = list(range(401, 1201))
+    rnd.shuffle(chain)
+    edges = hub_edges + list(zip(chain, chain[1:])) + [(chain[0], 5)]
+    n = 1201
+    g = Graph(spark.createDataFrame([(i, "") for i in range(n)], "id long, label string"),
+              spark.createDataFrame([(a, b, 1) for a, b in edges], "src long, dst long, weight long"))
+    got = {r["id"]: r["component"] for r in components.connected_components(g).collect()}
+    assert got == _union_find(n, edges)
+    deg = {r["id"]: r["degree"] for r in graph.degrees(g).collect()}
+    assert deg[0] == 400

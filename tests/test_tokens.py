@@ -62,3 +62,11 @@ def test_line_count_threshold_is_strict(spark):
     lines = spark.createDataFrame([("1 2",)] * 3 + [("1 3",)] * 2, "value string")
     got = {r["value"]: r["cnt"] for r in counting.line_count(lines, 2).collect()}
     assert got == {"1 2": 3}
+
+
+def test_hot_token_with_a_third_of_rows(spark):
+    lines = spark.createDataFrame([("hot " * 2 + f"w{i}",) for i in range(3000)], "value string")
+    counts = {r["tag"]: r["cnt"] for r in counting.token_count(lines).collect()}
+    assert counts["hot"] == 6000 and len(counts) == 3001
+    top = topk.top_k(counting.token_count(lines), 2).orderBy("rnk").collect()
+    assert [(r["tag"], r["cnt"]) for r in top] == [("hot", 6000), ("w0", 1)]
