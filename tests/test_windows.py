@@ -75,3 +75,20 @@ def test_count_list_functions(spark):
                   count_map_get(F.map_from_entries("items"), "zz").alias("zz")).collect()[0]
     assert [(x["name"], x["count"]) for x in r["top"]] == [("c", 9), ("a", 2)]
     assert (r["c"], r["zz"]) == (9, 0)
+
+
+def test_wall_clock_round_trip_in_a_dst_zone(spark):
+    from tagloom.functions.timecols import to_instant, to_wall_clock
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        vals = [dt.datetime(2024, 3, 10, 2, 30, 0, 123456), dt.datetime(2024, 11, 3, 1, 30, 0, 5),
+                dt.datetime(2024, 1, 1)]
+        df = spark.createDataFrame([(v,) for v in vals], "ts timestamp_ntz")
+        r = df.select("ts", F.unix_micros(to_instant("ts")).alias("us"),
+                      to_wall_clock(to_instant("ts")).alias("back")).collect()
+        import calendar
+        assert [x["us"] for x in r] == [calendar.timegm(v.timetuple()) * 10**6 + v.microsecond for v in vals]
+        assert [x["back"] for x in r] == vals
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
