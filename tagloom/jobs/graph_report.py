@@ -5,10 +5,10 @@ and write the analysis files.
         --graph V1 E1 --graph V2 E2 --graph V3 E3 --threshold 15 \
         [--second V E --second ... --second-threshold 8] [--reverse]
 
-Writes under OUT: ``graph.gexf/`` (merged graph), ``isolate.txt/`` (one
-line per connected component), ``minDegrees.gexf/`` (edges touching a
+Writes under OUT: ``graph.gexf/`` (merged graph), ``components.txt/`` (one
+line per connected component), ``low_degree.gexf/`` (edges touching a
 vertex of degree 1-2, all vertices) and, with ``--second``,
-``graphWeapon.gexf/`` (the second merged graph). Each output is a
+``second_graph.gexf/`` (the second merged graph). Each output is a
 folder of ordered part files.
 """
 
@@ -36,11 +36,11 @@ def run(spark, out: str, files: list, threshold: int, second: list | None = None
         second_threshold: int = 8, reverse: bool = False, raw_line: bool = False) -> None:
     g = merged(spark, files, threshold, reverse, raw_line)
     write_gexf(g, os.path.join(out, "graph.gexf"))
-    write_components(connected_components(g), os.path.join(out, "isolate.txt"))
-    write_gexf(low_degree_subgraph(g), os.path.join(out, "minDegrees.gexf"))
+    write_components(connected_components(g), os.path.join(out, "components.txt"))
+    write_gexf(low_degree_subgraph(g), os.path.join(out, "low_degree.gexf"))
     if second:
         g2 = merged(spark, second, second_threshold, reverse, raw_line)
-        write_gexf(g2, os.path.join(out, "graphWeapon.gexf"))
+        write_gexf(g2, os.path.join(out, "second_graph.gexf"))
 
 
 def main(argv=None) -> None:

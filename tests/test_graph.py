@@ -35,7 +35,7 @@ def test_golden_low_degree_subgraph(spark):
     g = _load(spark, "graph_all")
     assert graph.low_degree_vertices(g).count() == 56
     sub = graph.low_degree_subgraph(g)
-    want = _load(spark, "graph_min")
+    want = _load(spark, "graph_low")
     key = ["src", "dst", "weight"]
     assert sorted(map(tuple, sub.edges.select(key).collect())) == \
         sorted(map(tuple, want.edges.select(key).collect()))
@@ -44,8 +44,8 @@ def test_golden_low_degree_subgraph(spark):
     assert components.component_sizes(components.connected_components(sub)).count() == 55
 
 
-def test_golden_weapon_graph_with_self_loop(spark):
-    g = _load(spark, "graph_weapon")
+def test_golden_second_graph_with_self_loop(spark):
+    g = _load(spark, "graph_second")
     sizes = sorted(r["size"] for r in components.component_sizes(components.connected_components(g)).collect())
     assert sizes == [2, 24, 41]
     deg = {r["id"]: r["degree"] for r in graph.degrees(g).collect()}

@@ -31,11 +31,11 @@ def test_graph_report_writes_all_outputs(spark, tmpdir_path):
     out = tmpdir_path + "/out"
     graph_report.run(spark, out, files, 3, second, 2)
     ns = "{http://www.gexf.net/1.2draft}"
-    for name in ("graph.gexf", "minDegrees.gexf", "graphWeapon.gexf"):
+    for name in ("graph.gexf", "low_degree.gexf", "second_graph.gexf"):
         root = ET.fromstring(_read_dir(os.path.join(out, name)))
         labels = {n.get("label") for n in root.iter(ns + "node")}
         assert labels and labels <= set(names)
-    comps = [ln for ln in _read_dir(os.path.join(out, "isolate.txt")).split("\n") if ln]
+    comps = [ln for ln in _read_dir(os.path.join(out, "components.txt")).split("\n") if ln]
     members = sorted(int(x) for ln in comps for x in ln.split(", "))
     root = ET.fromstring(_read_dir(os.path.join(out, "graph.gexf")))
     assert members == sorted(int(n.get("id")) for n in root.iter(ns + "node"))

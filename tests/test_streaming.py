@@ -119,8 +119,8 @@ def test_interval_top_k_resets_each_batch(spark, tmpdir_path):
 
 
 def test_kafka_options_and_message_value(spark):
-    o = kafka_options("broker:9092", "wordcount", "cloudcompute")
-    assert o["subscribe"] == "wordcount" and o["kafka.group.id"] == "cloudcompute"
+    o = kafka_options("broker:9092", "wordcount", "tag-readers")
+    assert o["subscribe"] == "wordcount" and o["kafka.group.id"] == "tag-readers"
     rec = spark.createDataFrame([(bytearray(b"a b"), T0)], "value binary, timestamp timestamp")
     assert message_value(rec).collect()[0]["value"] == "a b"
 
