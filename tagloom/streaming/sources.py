@@ -37,24 +37,37 @@ def text_lines_stream(spark: SparkSession, path: str,
 
 
 def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = None,
-                  starting_offsets: str = "latest") -> dict:
-    """Options of a one-topic subscription with string values."""
+                  starting_offsets: str = "latest", min_partitions: int | None = None,
+                  max_offsets_per_trigger: int | None = None) -> dict:
+    """Options of a one-topic subscription with string values.
+
+    ``min_partitions`` splits topic partitions over more tasks than the
+    topic has partitions; ``max_offsets_per_trigger`` bounds one
+    micro-batch, so a backlog is worked off in batches of known size.
+    """
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
             "startingOffsets": starting_offsets}
     if group_id:
         opts["kafka.group.id"] = group_id
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
 
 
 def kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str = "wordcount",
-                group_id: str | None = None, starting_offsets: str = "latest") -> DataFrame:
+                group_id: str | None = None, starting_offsets: str = "latest",
+                min_partitions: int | None = None,
+                max_offsets_per_trigger: int | None = None) -> DataFrame:
     """A topic as a stream of ``value STRING, timestamp TIMESTAMP``.
 
     Needs the spark-sql-kafka package on the classpath; each executor
     reads its own topic partitions.
     """
     r = spark.readStream.format("kafka")
-    for k, v in kafka_options(bootstrap_servers, topic, group_id, starting_offsets).items():
+    for k, v in kafka_options(bootstrap_servers, topic, group_id, starting_offsets,
+                              min_partitions, max_offsets_per_trigger).items():
         r = r.option(k, v)
     return message_value(r.load())
 
