@@ -76,3 +76,14 @@ def activity_graph(spark: SparkSession, sf_dir: str, num: int = ACTIVITY_THRESHO
     pairs = ev.join(types.withColumnRenamed("label", "event_type"), "event_type").select(
         F.col("user_id").alias("src"), F.col("id").alias("dst"))
     return create_graph(types, pairs, num)
+
+
+def supply_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The supply relation as the text files the line readers take:
+    vertex lines ``"id label"`` and one edge line ``"src dst"`` per
+    occurrence."""
+    v = supply_vertices(spark, sf_dir).select(
+        F.concat_ws(" ", F.col("id").cast("string"), F.col("label")).alias("value"))
+    e = supply_pairs(spark, sf_dir).select(
+        F.concat_ws(" ", F.col("src").cast("string"), F.col("dst").cast("string")).alias("value"))
+    return v, e

@@ -232,3 +232,17 @@ SQL["type_window_report"] = f"""
          || string_agg('No. ' || rnk || ' tag: ' || tag || ' 出现数目：' || cnt || chr(10), '' order by rnk)
          || '------------------' || chr(10) as report
   from r where rnk <= 10 group by window_end"""
+
+SQL.update({
+    "supply_subgraph": f"""with se as {_SE}, sv as {_SV},
+      keep as (select id from sv where not starts_with(label, 'blue'))
+      select * from se where weight >= 4
+        and src in (select id from keep) and dst in (select id from keep)""",
+    "supply_lines_triplets": f"""with se as {_SE},
+      vl as (select id, min(split_part(label, ' ', 1)) as label from (
+               select p_partkey as id, p_name as label from part
+               union all select s_suppkey + {_B}, s_name from supplier) group by id),
+      sv as {_vertices_of("se", "vl")}
+      select se.src, a.label as src_label, se.dst, b.label as dst_label, se.weight
+      from se join sv a on a.id = se.src join sv b on b.id = se.dst""",
+})

@@ -18,6 +18,7 @@ from tagloom.session import scratch_path
 from tagloom.sinks import reports
 from tagloom.sinks.gexf import gexf_lines
 from tagloom.sinks.text import document_token_chunks
+from tagloom.sources.lines import edges_from_lines, parse_vertices
 from tagloom.sources.pages import extract_records
 from tagloom.sources.tables import table
 from tagloom.streaming import windowed
@@ -161,6 +162,22 @@ def q_supply_component_lines(spark, sf_dir):
     return components.isolated_groups(q_supply_components(spark, sf_dir))
 
 
+def q_supply_subgraph(spark, sf_dir):
+    """Vertices without "blue" parts, edges seen at least 4 times whose both ends stay."""
+    g = graph.subgraph(gi.supply_graph(spark, sf_dir), ~F.col("label").startswith("blue"),
+                       F.col("weight") >= 4)
+    return g.edges
+
+
+def q_supply_lines_triplets(spark, sf_dir):
+    """The graph built from text lines: raw edge lines counted, then parsed;
+    vertex lines parsed with the JVM split (a label ends at its first blank)."""
+    v_lines, e_lines = gi.supply_lines(spark, sf_dir)
+    edges = edges_from_lines(e_lines, gi.SUPPLY_THRESHOLD, raw_line=True).rows
+    g = graph.Graph(graph.attach_labels(graph.from_edges(edges), parse_vertices(v_lines).rows), edges)
+    return graph.triplets(g)
+
+
 # --- merged graph (three lineitem slices merged by label) ------------------
 
 def q_merged_vertices(spark, sf_dir):
@@ -257,6 +274,8 @@ QUERIES = {
     "supply_low_degree_edges": q_supply_low_degree_edges,
     "supply_component_sizes": q_supply_component_sizes,
     "supply_component_lines": q_supply_component_lines,
+    "supply_subgraph": q_supply_subgraph,
+    "supply_lines_triplets": q_supply_lines_triplets,
     "page_fields": q_page_fields,
     "page_tag_top10": q_page_tag_top10,
     "token_chunks": q_token_chunks,
