@@ -168,3 +168,11 @@ def test_hub_with_a_third_of_edges(spark):
     assert got == _union_find(n, edges)
     deg = {r["id"]: r["degree"] for r in graph.degrees(g).collect()}
     assert deg[0] == 400
+
+
+def test_components_without_edges_and_with_self_loops_only(spark):
+    v = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, label string")
+    for rows in ([], [(2, 2, 5)]):
+        e = spark.createDataFrame(rows, "src long, dst long, weight long")
+        got = {r["id"]: r["component"] for r in components.connected_components(Graph(v, e)).collect()}
+        assert got == {1: 1, 2: 2, 3: 3}
