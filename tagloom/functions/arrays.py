@@ -27,3 +27,11 @@ def count_map_get(m, key, default: int = 0) -> Column:
     """``map[key]`` of a tag -> count map, ``default`` when absent."""
     c = F.col(m) if isinstance(m, str) else m
     return F.coalesce(F.try_element_at(c, key if isinstance(key, Column) else F.lit(key)), F.lit(default))
+
+
+def merge_count_maps(a, b) -> Column:
+    """Add two tag -> count maps of one row (a key in one map only keeps
+    its count). For counts spread over rows use ``merge_counts``."""
+    ca = F.col(a) if isinstance(a, str) else a
+    cb = F.col(b) if isinstance(b, str) else b
+    return F.map_zip_with(ca, cb, lambda k, x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)))

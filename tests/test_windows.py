@@ -92,3 +92,11 @@ def test_wall_clock_round_trip_in_a_dst_zone(spark):
         assert [x["back"] for x in r] == vals
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_merge_count_maps(spark):
+    from tagloom.functions.arrays import merge_count_maps
+    df = spark.createDataFrame([({"a": 1, "b": 2}, {"b": 5, "c": 1})],
+                               "x map<string,bigint>, y map<string,bigint>")
+    got = df.select(merge_count_maps("x", "y").alias("m")).collect()[0]["m"]
+    assert got == {"a": 1, "b": 7, "c": 1}
