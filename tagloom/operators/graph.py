@@ -170,12 +170,15 @@ def fold_flips(n: int) -> list[int]:
     return [n - 1, n - 1] + [n - k + 1 for k in range(3, n + 1)] if n >= 2 else [0] * n
 
 
-def merge_stacked(stacked: Graph, flip: dict | None = None) -> Graph:
+def merge_stacked(stacked: Graph, flip: dict | None = None, materialize: bool = True) -> Graph:
     """Merge all graphs of a stacked graph by label, in one pass.
 
     Equal labels become one vertex (within one graph too); merged
     vertices get dense ids in label order; parallel edges add their
     weights. ``flip`` lists the gids whose edges change direction.
+    With ``materialize`` the merged edges are checkpointed: degrees,
+    sub-graphs, components and writers read them several times, and
+    each read would otherwise redo the relabelling joins.
     """
     v = dense_id(stacked.vertices.select("label").distinct(), ["label"], "id")
     m = stacked.vertices.join(v.select("label", F.col("id").alias("_new")), "label").select(
@@ -190,6 +193,8 @@ def merge_stacked(stacked: Graph, flip: dict | None = None) -> Graph:
     else:
         e = e.select(F.col("_nsrc").alias("src"), F.col("_ndst").alias("dst"), "weight")
     e = e.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    if materialize:
+        e = checkpoint(e)
     return Graph(v.select("id", "label"), e)
 
 

@@ -18,7 +18,7 @@ from tagloom.session import scratch_path
 from tagloom.sinks import reports
 from tagloom.sinks.gexf import gexf_lines
 from tagloom.sinks.text import document_token_chunks
-from tagloom.sources.lines import edges_from_lines, parse_vertices
+from tagloom.sources.lines import graph_from_lines
 from tagloom.sources.pages import extract_records
 from tagloom.sources.tables import table
 from tagloom.streaming import windowed
@@ -173,9 +173,7 @@ def q_supply_lines_triplets(spark, sf_dir):
     """The graph built from text lines: raw edge lines counted, then parsed;
     vertex lines parsed with the JVM split (a label ends at its first blank)."""
     v_lines, e_lines = gi.supply_lines(spark, sf_dir)
-    edges = edges_from_lines(e_lines, gi.SUPPLY_THRESHOLD, raw_line=True).rows
-    g = graph.Graph(graph.attach_labels(graph.from_edges(edges), parse_vertices(v_lines).rows), edges)
-    return graph.triplets(g)
+    return graph.triplets(graph_from_lines(v_lines, e_lines, gi.SUPPLY_THRESHOLD, raw_line=True))
 
 
 # --- merged graph (three lineitem slices merged by label) ------------------

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.tokens import blank_split
 from tagloom.operators.counting import line_count
 from tagloom.operators.graph import Graph, attach_labels, from_edges
+from tagloom.session import checkpoint
 
 
 class Parsed(NamedTuple):
@@ -69,9 +70,22 @@ def edges_from_lines(lines: DataFrame, num: int, raw_line: bool = False,
     return Parsed(edges, p.rejects)
 
 
+def graph_from_lines(vertex_lines: DataFrame, edge_lines: DataFrame, num: int,
+                     raw_line: bool = False, materialize: bool = True) -> Graph:
+    """Vertex lines + edge occurrence lines -> thresholded, labelled graph.
+
+    The thresholded edges are checkpointed (``materialize``): the vertex
+    set and every later view read them instead of re-counting the lines.
+    """
+    v = parse_vertices(vertex_lines).rows
+    e = edges_from_lines(edge_lines, num, raw_line).rows
+    if materialize:
+        e = checkpoint(e)
+    return Graph(attach_labels(from_edges(e), v), e)
+
+
 def graph_from_files(spark: SparkSession, vertex_path: str, edge_path: str, num: int,
                      raw_line: bool = False) -> Graph:
     """Vertex file + edge occurrence file -> thresholded, labelled graph."""
-    v = parse_vertices(read_lines(spark, vertex_path)).rows
-    e = edges_from_lines(read_lines(spark, edge_path), num, raw_line).rows
-    return Graph(attach_labels(from_edges(e), v), e)
+    return graph_from_lines(read_lines(spark, vertex_path), read_lines(spark, edge_path),
+                            num, raw_line)
