@@ -72,10 +72,11 @@ def create_stacked(vertices: DataFrame, pairs: DataFrame, num: int,
     """``create_graph`` for many graphs at once; ``pairs`` carries ``gid``.
 
     One aggregate over all occurrences instead of one scan per graph.
-    The thresholded edges (far fewer rows than the occurrences) are
-    checkpointed once when ``materialize``: a merge reads them three
-    times (labels, relabelling, sums), and every read then starts from
-    the checkpoint instead of from the occurrence scan.
+    The thresholded edges (far fewer rows than the occurrences) and the
+    labelled vertex sets are checkpointed once when ``materialize``: a
+    merge reads them several times (label ids, relabelling, sums), and
+    every read then starts from the checkpoint instead of from the
+    occurrence scan and the vertex-file join.
     """
     edges = (pairs.groupBy("gid", "src", "dst").agg(F.count(F.lit(1)).alias("weight"))
              .filter(F.col("weight") > F.lit(num)))
@@ -85,6 +86,8 @@ def create_stacked(vertices: DataFrame, pairs: DataFrame, num: int,
            .union(edges.select("gid", F.col("dst").alias("id"))).distinct())
     v = (ids.join(unique_labels(vertices), "id", "left")
          .select("gid", "id", F.coalesce(F.col("label"), F.lit("")).alias("label")))
+    if materialize:
+        v = checkpoint(v)
     return Graph(v, edges)
 
 

@@ -30,9 +30,13 @@ def xml_escape(c: Column) -> Column:
     return c
 
 
-def _fixed(spark, section: int, lines: list[str]) -> DataFrame:
-    rows = [(section, i, 0, s) for i, s in enumerate(lines)]
-    return spark.createDataFrame(rows, "section int, k1 bigint, k2 bigint, line string")
+def _fixed(spark) -> DataFrame:
+    """The frame lines as one literal table (built in the JVM, one row each)."""
+    rows = [F.struct(F.lit(sec).alias("section"), F.lit(i).cast("bigint").alias("k1"),
+                     F.lit(0).cast("bigint").alias("k2"), F.lit(text).alias("line"))
+            for sec, lines in ((0, GEXF_HEAD), (2, GEXF_MIDDLE), (4, GEXF_TAIL))
+            for i, text in enumerate(lines)]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def gexf_lines(g: Graph) -> DataFrame:
@@ -47,9 +51,7 @@ def gexf_lines(g: Graph) -> DataFrame:
         F.concat(F.lit('  <edge source="'), F.col("src").cast("string"), F.lit('" target="'),
                  F.col("dst").cast("string"), F.lit('" weight="'), F.col("weight").cast("string"),
                  F.lit('"/>')).alias("line"))
-    return (_fixed(spark, 0, GEXF_HEAD).unionByName(nodes)
-            .unionByName(_fixed(spark, 2, GEXF_MIDDLE)).unionByName(edges)
-            .unionByName(_fixed(spark, 4, GEXF_TAIL)))
+    return _fixed(spark).unionByName(nodes).unionByName(edges)
 
 
 def write_gexf(g: Graph, path: str) -> None:
