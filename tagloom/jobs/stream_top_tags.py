@@ -2,7 +2,7 @@
 
     python -m tagloom.jobs.stream_top_tags --source kafka --servers host:9092 \
         --topic wordcount --size "10 seconds" --slide "5 seconds" --k 10 \
-        --checkpoint CK --out OUT [--chart CHART_DIR] [--console]
+        --checkpoint CK --out OUT [--chart CHART_DIR] [--report REPORT_DIR]
     python -m tagloom.jobs.stream_top_tags --source folder --path IN ... --available-now
 
 Each line is split on blanks; a token's event time is the record's time
@@ -46,6 +46,8 @@ def main(argv=None) -> None:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--chart")
+    p.add_argument("--report", help="folder for the per-window text reports")
+    p.add_argument("--keyed-report", action="store_true", help="report names the window end")
     p.add_argument("--trigger", default="3 seconds")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--master")
@@ -57,6 +59,9 @@ def main(argv=None) -> None:
     queries = [windowed.start_window_top_k(counts, a.out, a.checkpoint + "/top", a.k, trigger)]
     if a.chart:
         queries.append(windowed.start_chart_feed(counts, a.chart, a.checkpoint + "/chart", a.k, trigger))
+    if a.report:
+        queries.append(windowed.start_window_report(counts, a.report, a.checkpoint + "/report", a.k,
+                                                    a.keyed_report, trigger))
     for q in queries:
         windowed.run_until_done(q)
 

@@ -69,6 +69,25 @@ def start_window_top_k(counts: DataFrame, out: str, checkpoint: str, k: int = 10
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
+def start_window_report(counts: DataFrame, out: str, checkpoint: str, k: int = 10,
+                        keyed: bool = False, trigger: dict | None = None):
+    """The text report of each closed window, written per micro-batch
+    (``out/batch_id=N``, one line block per window, oldest first).
+    ``keyed=True`` gives the variant that names the window end."""
+    from tagloom.sinks.reports import keyed_topk_report, topk_report
+    trigger = trigger or {"availableNow": True}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ranked = group_top_k(batch, ["window_start", "window_end"], k)
+        rep = (keyed_topk_report(ranked) if keyed
+               else topk_report(ranked, ["window_start", "window_end"]))
+        (rep.orderBy("window_end").select("report")
+         .write.mode("overwrite").text(f"{out}/batch_id={batch_id}"))
+
+    return (counts.writeStream.outputMode("append").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
 def start_interval_top_k(lines: DataFrame, out: str, checkpoint: str, k: int = 10,
                          text_col: str = "value", trigger: dict | None = None):
     """Per micro-batch word count and top-k (no state carried over).

@@ -149,3 +149,18 @@ def test_tag_events_uses_record_time(spark):
     lines = spark.createDataFrame([("a b", T0)], "value string, timestamp timestamp")
     rows = windowed.tag_events(lines).collect()
     assert [(r["tag"], r["ts"]) for r in rows] == [("a", T0), ("b", T0)]
+
+
+def test_window_report_stream(spark, tmpdir_path):
+    import glob
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    _write(src, 0, [(1, "a"), (2, "a"), (3, "b")])
+    _write(src, 1, [(25, "c")])
+    stream = file_stream(spark, src, max_files_per_trigger=1)
+    counts = windowed.window_counts(stream, "ts", "tag", "10 seconds")
+    out = tmpdir_path + "/rep"
+    windowed.run_until_done(windowed.start_window_report(counts, out, tmpdir_path + "/ck", 10))
+    text = "".join(open(p).read() for p in sorted(glob.glob(out + "/batch_id=*/part-*")))
+    assert text == ("----------\nNo. 1 tag:a The num of it is:  2\nNo. 2 tag:b The num of it is:  1\n"
+                    "--------------------\n\n")
