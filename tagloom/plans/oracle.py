@@ -246,3 +246,10 @@ SQL.update({
       select se.src, a.label as src_label, se.dst, b.label as dst_label, se.weight
       from se join sv a on a.id = se.src join sv b on b.id = se.dst""",
 })
+
+SQL["page_tag_chunks"] = f"""
+  with p as (select page_id, tags from ({_PAGE_FIELDS})),
+  t as (select page_id, unnest(tags) as tag, unnest(range(len(tags))) as pos from p),
+  i as (select tag, row_number() over (order by page_id, pos) - 1 as i from t)
+  select cast(i // 201 as bigint) as chunk, string_agg(tag, ' ' order by i) || ' ' as text
+  from i group by chunk"""

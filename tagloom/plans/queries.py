@@ -17,7 +17,7 @@ from tagloom.plans import graph_inputs as gi
 from tagloom.session import scratch_path
 from tagloom.sinks import reports
 from tagloom.sinks.gexf import gexf_lines
-from tagloom.sinks.text import document_token_chunks
+from tagloom.sinks.text import document_token_chunks, token_chunks
 from tagloom.sources.lines import graph_from_lines
 from tagloom.sources.pages import extract_records
 from tagloom.sources.tables import table
@@ -239,6 +239,12 @@ def q_page_tag_top10(spark, sf_dir):
     return topk.top_k(counting.count_values(tags), 10)
 
 
+def q_page_tag_chunks(spark, sf_dir):
+    """Page tags in (page_id, position) order, 201 per chunk file."""
+    tags = q_page_fields(spark, sf_dir).select("page_id", F.posexplode("tags").alias("pos", "tag"))
+    return token_chunks(tags, ["page_id", "pos"])
+
+
 QUERIES = {
     "token_count": q_token_count,
     "token_top10": q_token_top10,
@@ -276,6 +282,7 @@ QUERIES = {
     "supply_lines_triplets": q_supply_lines_triplets,
     "page_fields": q_page_fields,
     "page_tag_top10": q_page_tag_top10,
+    "page_tag_chunks": q_page_tag_chunks,
     "token_chunks": q_token_chunks,
     "type_window_report": q_type_window_report,
 }
