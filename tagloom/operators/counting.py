@@ -45,9 +45,11 @@ def merge_counts(*counts: DataFrame, key: str = "tag", cnt: str = "cnt",
 
 
 def edge_count(pairs: DataFrame, num: int, src: str = "src", dst: str = "dst",
-               out: str = "weight") -> DataFrame:
-    """Occurrences per (src, dst), keeping counts strictly above ``num``."""
-    return (pairs.groupBy(src, dst).agg(F.count(F.lit(1)).alias(out))
+               out: str = "weight", by: list | None = None) -> DataFrame:
+    """Occurrences per (src, dst) (within ``by`` groups), keeping counts
+    strictly above ``num``."""
+    by = by or []
+    return (pairs.groupBy(*by, src, dst).agg(F.count(F.lit(1)).alias(out))
             .filter(F.col(out) > F.lit(num)))
 
 

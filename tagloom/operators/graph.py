@@ -78,8 +78,7 @@ def create_stacked(vertices: DataFrame, pairs: DataFrame, num: int,
     every read then starts from the checkpoint instead of from the
     occurrence scan and the vertex-file join.
     """
-    edges = (pairs.groupBy("gid", "src", "dst").agg(F.count(F.lit(1)).alias("weight"))
-             .filter(F.col("weight") > F.lit(num)))
+    edges = edge_count(pairs.select("gid", "src", "dst"), num, by=["gid"])
     if materialize:
         edges = checkpoint(edges)
     ids = (edges.select("gid", F.col("src").alias("id"))
@@ -173,7 +172,7 @@ def fold_flips(n: int) -> list[int]:
     return [n - 1, n - 1] + [n - k + 1 for k in range(3, n + 1)] if n >= 2 else [0] * n
 
 
-def merge_stacked(stacked: Graph, flip: dict | None = None, materialize: bool = True) -> Graph:
+def merge_stacked(stacked: Graph, flip: set | None = None, materialize: bool = True) -> Graph:
     """Merge all graphs of a stacked graph by label, in one pass.
 
     Equal labels become one vertex (within one graph too); merged

@@ -79,7 +79,7 @@ def read_concat_objects(spark: SparkSession, path: str) -> DataFrame:
     ``text`` (record text), ``record`` (struct), ``file``.
     """
     chunks = spark.read.option("lineSep", RECORD_SEPARATOR).text(path).withColumn(
-        "file", F.input_file_name())
+        "file", F.col("_metadata.file_path"))
     return parse_concat_objects(chunks).select(F.col("_rec_text").alias("text"), "record", "file")
 
 
