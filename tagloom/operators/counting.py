@@ -58,3 +58,20 @@ def line_count(lines: DataFrame, num: int, text_col: str = "value",
     """Identical raw lines counted, kept when the count exceeds ``num``."""
     return (lines.groupBy(text_col).agg(F.count(F.lit(1)).alias(out))
             .filter(F.col(out) > F.lit(num)))
+
+
+def counts_as_map(counts: DataFrame, group_cols: list, key: str = "tag", cnt: str = "cnt",
+                  max_keys: int = 10000) -> DataFrame:
+    """Each group's counts as ``map<tag, cnt>`` (keys in ascending order).
+
+    A group with more than ``max_keys`` keys is salted by key hash into
+    ceil(keys / max_keys) maps (``part`` > 0); ``merge_count_maps`` adds
+    maps together. No map ever holds an unbounded number of keys.
+    """
+    sizes = counts.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_k"))
+    n = F.lit(max_keys)
+    c = counts.join(sizes, group_cols).withColumn(
+        "part", F.when(F.col("_k") <= n, F.lit(0).cast("bigint")).otherwise(
+            F.pmod(F.xxhash64(key), F.ceil(F.col("_k") / n)) + 1))
+    entries = F.array_sort(F.collect_list(F.struct(F.col(key), F.col(cnt))))
+    return c.groupBy(*group_cols, "part").agg(F.map_from_entries(entries).alias("counts"))

@@ -70,3 +70,21 @@ def test_hot_token_with_a_third_of_rows(spark):
     assert counts["hot"] == 6000 and len(counts) == 3001
     top = topk.top_k(counting.token_count(lines), 2).orderBy("rnk").collect()
     assert [(r["tag"], r["cnt"]) for r in top] == [("hot", 6000), ("w0", 1)]
+
+
+def test_counts_as_map_bounded_parts(spark):
+    from pyspark.sql import functions as F
+    from tagloom.functions.arrays import merge_count_maps
+    counts = spark.createDataFrame([(1, f"t{i}", i) for i in range(10)] + [(2, "x", 4)],
+                                   "w int, tag string, cnt long")
+    maps = counting.counts_as_map(counts, ["w"], max_keys=3).collect()
+    small = [r for r in maps if r["w"] == 2]
+    assert len(small) == 1 and small[0]["counts"] == {"x": 4} and small[0]["part"] == 0
+    big = [r for r in maps if r["w"] == 1]
+    assert len(big) > 1 and all(len(r["counts"]) <= 6 for r in big)
+    merged = {}
+    for r in big:
+        merged.update(r["counts"])
+    assert merged == {f"t{i}": i for i in range(10)}
+    two = spark.createDataFrame([({"a": 1}, {"a": 2, "b": 3})], "x map<string,bigint>, y map<string,bigint>")
+    assert two.select(merge_count_maps("x", "y").alias("m")).collect()[0]["m"] == {"a": 3, "b": 3}
