@@ -1,7 +1,6 @@
 import glob
 import xml.etree.ElementTree as ET
 
-from pyspark.sql import functions as F
 
 from conftest import fixture_path
 from tagloom.operators import components, counting, topk
