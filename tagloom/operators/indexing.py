@@ -1,17 +1,20 @@
-"""Dense 0-based ids in sort order, without a single-partition window.
+"""Dense 0-based ids and running totals in sort order, without a
+single-partition window.
 
 The rows are range-partitioned and sorted on the order columns, so the
 partition index is the high part of the order. Every row takes its
-position inside its partition (the low bits of
-``monotonically_increasing_id``) plus the number of rows in all earlier
-partitions. The per-partition counts table has one row per partition,
-so broadcasting it is bounded by the partition count, not the data.
-The numbered rows are checkpointed to the shared checkpoint folder, so
-a lost executor cannot renumber them.
+position (or running total) inside its partition plus the total of all
+earlier partitions. The per-partition totals are one number per
+partition: they are read once (bounded by the partition count, never by
+the data) and enter the plan as an array literal, so the final ids are a
+plain projection with no join. The numbered rows are checkpointed to the
+shared checkpoint folder, so a lost executor cannot renumber them.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,22 +23,31 @@ from tagloom.session import checkpoint
 _LOW_BITS = (1 << 33) - 1
 
 
+def _keys(order_cols: list) -> list[Column]:
+    return [c if isinstance(c, Column) else F.col(c) for c in order_cols]
+
+
+def _partition_offsets(numbered: DataFrame, n: int, amount: Column) -> Column:
+    """``sum(amount)`` over all partitions before this row's ``_part``."""
+    totals = dict(numbered.groupBy("_part").agg(F.sum(amount).alias("t"))
+                  .select("_part", "t").collect())
+    per_part = [int(totals.get(p) or 0) for p in range(n)]
+    starts = [0] + list(accumulate(per_part))[:-1]
+    return F.element_at(F.lit(starts).cast("array<bigint>"), F.col("_part") + 1)
+
+
 def dense_id(df: DataFrame, order_cols: list, out: str = "id",
              num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 0-based row number in ``order_cols`` order."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [c if isinstance(c, Column) else F.col(c) for c in order_cols]
+    keys = _keys(order_cols)
     numbered = checkpoint(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                           .withColumn("_part", F.spark_partition_id())
                           .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .select("_part", "_off"))
-    return (numbered.join(F.broadcast(offsets), "_part")
-            .withColumn(out, (F.col("_off") + F.col("_pos")).cast("bigint"))
-            .drop("_part", "_pos", "_off"))
+    start = _partition_offsets(numbered, n, F.lit(1))
+    return (numbered.withColumn(out, (start + F.col("_pos")).cast("bigint"))
+            .drop("_part", "_pos"))
 
 
 def weighted_offsets(df: DataFrame, order_cols: list, weight_col: str, out: str = "offset",
@@ -44,21 +56,16 @@ def weighted_offsets(df: DataFrame, order_cols: list, weight_col: str, out: str
     ``order_cols`` order (an exclusive running total, e.g. the index of a
     document's first token in the token order of the whole corpus).
 
-    Same scheme as ``dense_id``: range partitions, a running total inside
-    each partition (a window over one range partition, so its size is
-    bounded by the partition), plus the totals of the earlier partitions
-    from a one-row-per-partition table.
+    Same scheme as ``dense_id``; the running total inside a partition is
+    a window over that one range partition, so its size is bounded by
+    the partition.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [c if isinstance(c, Column) else F.col(c) for c in order_cols]
+    keys = _keys(order_cols)
     inside = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     local = checkpoint(df.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id())
                        .withColumn("_loc", F.coalesce(F.sum(weight_col).over(inside), F.lit(0))))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (local.groupBy("_part").agg(F.sum(weight_col).alias("_n"))
-               .withColumn("_part_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .select("_part", "_part_off"))
-    return (local.join(F.broadcast(offsets), "_part")
-            .withColumn(out, (F.col("_part_off") + F.col("_loc")).cast("bigint"))
-            .drop("_part", "_loc", "_part_off"))
+    start = _partition_offsets(local, n, F.col(weight_col))
+    return (local.withColumn(out, (start + F.col("_loc")).cast("bigint"))
+            .drop("_part", "_loc"))

@@ -36,9 +36,13 @@ def test_window_top_k_limits_before_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_slice_filter_pushed_to_scan(spark):
+def test_pruning_and_pushdown_in_graph_inputs(spark):
     from tagloom.plans import graph_inputs as gi
-    g = gi.supply_slices(spark, SF_SMALL)
-    plan = g.vertices._jdf.queryExecution().executedPlan().toString()
-    # the stacked edges are checkpointed; the vertex file scans only id/label columns
-    assert "p_partkey" in plan and "p_retailprice" not in plan
+    # the vertex-file join reads only id/label columns of part
+    plan = gi.supply_graph(spark, SF_SMALL).vertices._jdf.queryExecution().executedPlan().toString()
+    assert "p_partkey" in plan and "p_retailprice" not in plan and "p_brand" not in plan
+    # a slice's occurrence scan pushes its filter into the parquet reader
+    pairs = gi.supply_pairs(spark, SF_SMALL, "A")
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,A)]" in plan
+    assert "l_quantity" not in plan
