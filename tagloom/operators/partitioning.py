@@ -14,7 +14,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A scan with at least ``min_partitions`` partitions, the normal case
     on a cluster, is returned unchanged: no shuffle is added there.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (Spark Connect): leave the plan as is
         return df
-    return df.repartition(target)
+    return df if have >= target else df.repartition(target)

@@ -56,23 +56,27 @@ def _is_local(spark: SparkSession) -> bool:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The setting is read from the session. Only a local session (tests,
+    The setting is read from the session (``spark.checkpoint.dir``, or a
+    folder already set on the context). Only a local session (tests,
     benchmarks) may fall back to a folder of its own; a cluster job
-    without ``spark.checkpoint.dir`` fails loudly instead of writing to
-    a machine-local temp folder.
+    without one fails loudly instead of writing to a machine-local temp
+    folder. (``spark.checkpoint.dir`` itself cannot change at run time,
+    so the fallback is set on the context only.)
     """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if base:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(base)
-        return base
-    if not _is_local(spark):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    base = tempfile.mkdtemp(prefix="tagloom-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", base)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        base = tempfile.mkdtemp(prefix="tagloom-ckpt-")
     sc.setCheckpointDir(base)
-    return base
+    return sc.getCheckpointDir() or base
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
