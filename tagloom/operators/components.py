@@ -77,7 +77,7 @@ def star_edges(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     Stops when a round changes nothing, or, once a round leaves the edge
     count unchanged, as soon as the edge set is a star forest.
     """
-    e, fp = _checkpoint(_undirected(edges))
+    e, fp = _undirected(edges), (None, None)   # round 1 reads the input directly
     for _ in range(max_rounds):
         e, nfp = _checkpoint(_small_star(_large_star(e)))
         if nfp == fp or (nfp[0] == fp[0] and _is_star_forest(e)):
