@@ -139,3 +139,31 @@ def test_weighted_offsets(spark):
     df = spark.createDataFrame([(k, w) for k, w in ((5, 2), (1, 3), (9, 0), (4, 1))], "k long, w long")
     got = {r["k"]: r["off"] for r in weighted_offsets(df, ["k"], "w", "off", num_partitions=3).collect()}
     assert got == {1: 0, 4: 3, 5: 4, 9: 6}
+
+
+def test_write_records_round_trip_and_graph_persist(spark, tmpdir_path):
+    from tagloom.sinks.text import write_records
+    recs = objects.read_concat_objects(spark, fixture_path("questions_concat.txt")).select("record.*")
+    write_records(recs, tmpdir_path + "/q")
+    back = spark.read.schema(objects.QUESTION_SCHEMA).json(tmpdir_path + "/q")
+    key = ["links", "views", "tags"]
+    assert sorted(map(tuple, back.select(key).collect())) == sorted(map(tuple, recs.select(key).collect()))
+    typed = objects.typed_questions(back).collect()
+    assert all(isinstance(r["views"], int) for r in typed)
+    g = Graph(spark.createDataFrame([(1, "a")], "id long, label string"),
+              spark.createDataFrame([(1, 1, 2)], "src long, dst long, weight long")).persist()
+    assert g.vertices.is_cached and g.edges.is_cached
+    g.unpersist()
+
+
+def test_console_sink_runs(spark, tmpdir_path):
+    import os
+    from tagloom.streaming import windowed
+    from tagloom.streaming.sources import text_lines_stream
+    src = tmpdir_path + "/in"
+    os.makedirs(src)
+    with open(src + "/a.txt", "w") as f:
+        f.write("a b\n")
+    q = windowed.start_console(counting.tokenize(text_lines_stream(spark, src)), 10,
+                               trigger={"availableNow": True})
+    windowed.run_until_done(q)
