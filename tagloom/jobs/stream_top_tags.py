@@ -6,7 +6,7 @@
     python -m tagloom.jobs.stream_top_tags --source folder --path IN ... --available-now
 
 Each line is split on blanks; a token's event time is the record's time
-(the broker timestamp, or the file's arrival time with ``--source
+(the broker timestamp, or the file's modification time with ``--source
 folder``); the watermark delay defaults to 0, so late tokens are dropped.
 ``OUT`` gets the ranked rows of each closed window (``batch_id=N``
 folders), ``CHART_DIR`` the chart JSON of the newest window.
@@ -26,8 +26,9 @@ from tagloom.streaming.sources import kafka_lines, text_lines_stream
 def lines_with_time(spark, a):
     if a.source == "kafka":
         return kafka_lines(spark, a.servers, a.topic, a.group_id, a.starting_offsets)
-    return text_lines_stream(spark, a.path, a.max_files_per_trigger).withColumn(
-        "timestamp", F.current_timestamp())
+    # a file's arrival time: its modification time (deterministic on replay)
+    return text_lines_stream(spark, a.path, a.max_files_per_trigger).select(
+        "value", F.col("_metadata.file_modification_time").alias("timestamp"))
 
 
 def main(argv=None) -> None:

@@ -52,9 +52,20 @@ def test_split_tags_job(spark, tmpdir_path):
 def test_stream_top_tags_job_on_a_folder(spark, tmpdir_path):
     src = tmpdir_path + "/in"
     os.makedirs(src)
-    with open(src + "/a.txt", "w") as f:
-        f.write("x y x\n")
+    for i, text in enumerate(["x y x\n", "y z\n", "q\n"]):
+        path = f"{src}/f{i}.txt"
+        with open(path, "w") as f:
+            f.write(text)
+        os.utime(path, (1_700_000_000 + 20 * i, 1_700_000_000 + 20 * i))
     stream_top_tags.main(["--source", "folder", "--path", src, "--checkpoint", tmpdir_path + "/ck",
-                          "--out", tmpdir_path + "/out", "--available-now", "--size", "1 second",
-                          "--slide", "1 second"])
-    assert os.path.isdir(tmpdir_path + "/ck/top")
+                          "--out", tmpdir_path + "/out", "--report", tmpdir_path + "/rep",
+                          "--available-now", "--size", "10 seconds", "--slide", "10 seconds",
+                          "--max-files-per-trigger", "1"])
+    got = sorted((r["tag"], r["cnt"]) for r in spark.read.parquet(tmpdir_path + "/out").collect())
+    # two closed windows; the last file's window is still open when the input ends
+    assert got == [("x", 2), ("y", 1), ("y", 1), ("z", 1)]
+    assert "No. 1 tag:x The num of it is:  2" in _read_dir_all(tmpdir_path + "/rep")
+
+
+def _read_dir_all(path):
+    return "".join(open(p).read() for p in glob.glob(path + "/**/part-*", recursive=True))
