@@ -27,10 +27,18 @@ def _keys(order_cols: list) -> list[Column]:
     return [c if isinstance(c, Column) else F.col(c) for c in order_cols]
 
 
-def _partition_offsets(numbered: DataFrame, n: int, amount: Column) -> Column:
+def _range_partitioned(df: DataFrame, keys: list[Column], n: int | None) -> DataFrame:
+    """Range partitions in key order. Without an explicit count AQE may
+    merge adjacent small ranges (order is kept), so a small input does
+    not turn into hundreds of one-row partitions."""
+    return df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
+
+
+def _partition_offsets(numbered: DataFrame, amount: Column) -> Column:
     """``sum(amount)`` over all partitions before this row's ``_part``."""
     totals = dict(numbered.groupBy("_part").agg(F.sum(amount).alias("t"))
                   .select("_part", "t").collect())
+    n = max(totals, default=-1) + 1
     per_part = [int(totals.get(p) or 0) for p in range(n)]
     starts = [0] + list(accumulate(per_part))[:-1]
     return F.element_at(F.lit(starts).cast("array<bigint>"), F.col("_part") + 1)
@@ -39,13 +47,11 @@ def _partition_offsets(numbered: DataFrame, n: int, amount: Column) -> Column:
 def dense_id(df: DataFrame, order_cols: list, out: str = "id",
              num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 0-based row number in ``order_cols`` order."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _keys(order_cols)
-    numbered = checkpoint(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    numbered = checkpoint(_range_partitioned(df, keys, num_partitions).sortWithinPartitions(*keys)
                           .withColumn("_part", F.spark_partition_id())
                           .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
-    start = _partition_offsets(numbered, n, F.lit(1))
+    start = _partition_offsets(numbered, F.lit(1))
     return (numbered.withColumn(out, (start + F.col("_pos")).cast("bigint"))
             .drop("_part", "_pos"))
 
@@ -60,12 +66,11 @@ def weighted_offsets(df: DataFrame, order_cols: list, weight_col: str, out: str
     a window over that one range partition, so its size is bounded by
     the partition.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _keys(order_cols)
     inside = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    local = checkpoint(df.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id())
+    local = checkpoint(_range_partitioned(df, keys, num_partitions)
+                       .withColumn("_part", F.spark_partition_id())
                        .withColumn("_loc", F.coalesce(F.sum(weight_col).over(inside), F.lit(0))))
-    start = _partition_offsets(local, n, F.col(weight_col))
+    start = _partition_offsets(local, F.col(weight_col))
     return (local.withColumn(out, (start + F.col("_loc")).cast("bigint"))
             .drop("_part", "_loc"))
