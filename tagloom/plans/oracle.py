@@ -253,3 +253,8 @@ SQL["page_tag_chunks"] = f"""
   i as (select tag, row_number() over (order by page_id, pos) - 1 as i from t)
   select cast(i // 201 as bigint) as chunk, string_agg(tag, ' ' order by i) || ' ' as text
   from i group by chunk"""
+
+SQL["sliding_count_maps"] = f"""
+  select window_start, window_end, cast(0 as bigint) as part,
+         '{{' || string_agg('"' || tag || '":' || cnt, ',' order by tag) || '}}' as json
+  from ({_SLIDING_COUNT}) group by window_start, window_end"""

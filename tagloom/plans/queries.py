@@ -94,6 +94,12 @@ def q_sliding_topk_json(spark, sf_dir):
     return reports.topk_json(q_sliding_top10(spark, sf_dir), ["window_start", "window_end"])
 
 
+def q_sliding_count_maps(spark, sf_dir):
+    """Each window's user -> count map (keys ascending), as JSON text."""
+    maps = counting.counts_as_map(q_sliding_count(spark, sf_dir), ["window_start", "window_end"])
+    return maps.select("window_start", "window_end", "part", F.to_json("counts").alias("json"))
+
+
 def q_type_window_report(spark, sf_dir):
     """Daily top-10 event types (only 5 exist) as the keyed report."""
     ranked = windows.window_top_k(_events(spark, sf_dir), "ts", "event_type", DAY, None, 10)
@@ -255,6 +261,7 @@ QUERIES = {
     "sliding_top10": q_sliding_top10,
     "sliding_report": q_sliding_report,
     "sliding_topk_json": q_sliding_topk_json,
+    "sliding_count_maps": q_sliding_count_maps,
     "stream_sliding_count": q_stream_sliding_count,
     "stream_sliding_top10": q_stream_sliding_top10,
     "stream_interval_top10": q_stream_interval_top10,
