@@ -176,3 +176,30 @@ def test_kafka_without_connector_fails_at_definition(spark):
     else:  # a connector is installed: the stream has the documented columns
         assert df.columns == ["value", "timestamp"]
         pytest.skip("Kafka connector present; no broker to read from")
+
+
+def test_window_counts_on_instant_timestamps(spark, tmpdir_path):
+    # broker-style TIMESTAMP (instant) event time; window bounds come back as UTC wall clock
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    schema = pa.schema([("timestamp", pa.timestamp("us", tz="UTC")), ("value", pa.string())])
+    for i, (sec, text) in enumerate([(1, "a b a"), (12, "b"), (30, "c")]):
+        t = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=sec)
+        path = os.path.join(src, f"p{i}.parquet")
+        pq.write_table(pa.table({"timestamp": [t], "value": [text]}, schema=schema), path)
+        _stamp(path, i)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        tags = windowed.tag_events(file_stream(spark, src, max_files_per_trigger=1))
+        counts = windowed.window_counts(tags, "ts", "tag", "10 seconds")
+        got = _collect_stream(spark, counts, tmpdir_path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [(T0, "a", 2), (T0, "b", 1), (T0 + dt.timedelta(seconds=10), "b", 1)]
+
+
+def _collect_stream(spark, counts, tmpdir_path):
+    out, ck = tmpdir_path + "/out", tmpdir_path + "/ck"
+    windowed.run_until_done(windowed.start_to_parquet(counts, out, ck))
+    return sorted((r["window_start"], r["tag"], r["cnt"]) for r in spark.read.parquet(out).collect())
