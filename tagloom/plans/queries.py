@@ -108,6 +108,14 @@ def q_type_window_report(spark, sf_dir):
 
 # --- streaming (availableNow into a fresh folder, then read back) ----------
 
+def _cores(spark) -> int | None:
+    """State partitions for the window streams: one per core."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return None
+
+
 def _stream_events(spark, sf_dir):
     return file_stream(spark, os.path.join(sf_dir, "events.parquet"))
 
@@ -115,14 +123,18 @@ def _stream_events(spark, sf_dir):
 def q_stream_sliding_count(spark, sf_dir):
     counts = windowed.window_counts(_stream_events(spark, sf_dir), "ts", "user_id", DAY, HALF_DAY)
     out, ck = scratch_path(spark, "stream-count"), scratch_path(spark, "stream-count-ckpt")
-    windowed.run_until_done(windowed.start_to_parquet(counts, out, ck))
+    with windowed.state_partitions(spark, _cores(spark)):
+        q = windowed.start_to_parquet(counts, out, ck)
+    windowed.run_until_done(q)
     return spark.read.parquet(out)
 
 
 def q_stream_sliding_top10(spark, sf_dir):
     counts = windowed.window_counts(_stream_events(spark, sf_dir), "ts", "user_id", DAY, HALF_DAY)
     out, ck = scratch_path(spark, "stream-top"), scratch_path(spark, "stream-top-ckpt")
-    windowed.run_until_done(windowed.start_window_top_k(counts, out, ck, 10))
+    with windowed.state_partitions(spark, _cores(spark)):
+        q = windowed.start_window_top_k(counts, out, ck, 10)
+    windowed.run_until_done(q)
     return spark.read.parquet(out).drop("batch_id")
 
 

@@ -10,6 +10,8 @@ plan (at most K rows per window leave each task).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,26 @@ from tagloom.operators.partitioning import spread
 from tagloom.operators.topk import group_top_k, top_k
 
 
+@contextmanager
+def state_partitions(spark, n: int | None):
+    """Start a stream with ``n`` state partitions.
+
+    A stream clones its session when it starts, and its state-store
+    partitions follow ``spark.sql.shuffle.partitions`` at that moment
+    (then fixed by the checkpoint). The setting is changed only around
+    ``start()`` and restored right after, so batch queries keep theirs.
+    """
+    if not n:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def event_time(df: DataFrame, time_col: str, out: str = "event_time") -> DataFrame:
     """Add a TIMESTAMP event-time column (watermarks reject TIMESTAMP_NTZ)."""
     t = df.schema[time_col].dataType.simpleString()

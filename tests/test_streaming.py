@@ -203,3 +203,18 @@ def _collect_stream(spark, counts, tmpdir_path):
     out, ck = tmpdir_path + "/out", tmpdir_path + "/ck"
     windowed.run_until_done(windowed.start_to_parquet(counts, out, ck))
     return sorted((r["window_start"], r["tag"], r["cnt"]) for r in spark.read.parquet(out).collect())
+
+
+def test_state_partitions_only_for_the_started_stream(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    _write(src, 0, [(1, "a"), (12, "b")])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    counts = windowed.window_counts(file_stream(spark, src), "ts", "tag", "10 seconds")
+    with windowed.state_partitions(spark, 3):
+        q = windowed.start_to_parquet(counts, tmpdir_path + "/out", tmpdir_path + "/ck")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    windowed.run_until_done(q)
+    # the state store was laid out with 3 partitions
+    parts = [d for d in os.listdir(tmpdir_path + "/ck/state/0") if d.isdigit()]
+    assert sorted(parts) == ["0", "1", "2"]
