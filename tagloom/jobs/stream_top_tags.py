@@ -51,18 +51,22 @@ def main(argv=None) -> None:
     p.add_argument("--keyed-report", action="store_true", help="report names the window end")
     p.add_argument("--trigger", default="3 seconds")
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--state-partitions", type=int, help="state-store partitions (default: one per core)")
     p.add_argument("--master")
     a = p.parse_args(argv)
     spark = get_session(a.master, "tagloom-stream-top-tags")
     trigger = {"availableNow": True} if a.available_now else {"processingTime": a.trigger}
     tags = windowed.tag_events(lines_with_time(spark, a))
     counts = windowed.window_counts(tags, "ts", "tag", a.size, a.slide, a.delay)
-    queries = [windowed.start_window_top_k(counts, a.out, a.checkpoint + "/top", a.k, trigger)]
-    if a.chart:
-        queries.append(windowed.start_chart_feed(counts, a.chart, a.checkpoint + "/chart", a.k, trigger))
-    if a.report:
-        queries.append(windowed.start_window_report(counts, a.report, a.checkpoint + "/report", a.k,
-                                                    a.keyed_report, trigger))
+    n = a.state_partitions or spark.sparkContext.defaultParallelism
+    with windowed.state_partitions(spark, n):
+        queries = [windowed.start_window_top_k(counts, a.out, a.checkpoint + "/top", a.k, trigger)]
+        if a.chart:
+            queries.append(windowed.start_chart_feed(counts, a.chart, a.checkpoint + "/chart", a.k,
+                                                     trigger))
+        if a.report:
+            queries.append(windowed.start_window_report(counts, a.report, a.checkpoint + "/report",
+                                                        a.k, a.keyed_report, trigger))
     for q in queries:
         windowed.run_until_done(q)
 
