@@ -59,7 +59,11 @@ def plan_group(pieces: list[tuple[int, int, int]], tiers: tuple[int, ...], last:
         low = tiers[k + 1] if k + 1 < len(tiers) else 0
         while pool and pool[-1][0] > low:
             chosen, gap, put = [], window, []
-            if sum_at_least(pool, window):
+            if pool[-1][0] > window:        # left over from a longer tier
+                n, doc, start = pool.pop()
+                out.append((window, [(window, doc, start)]))
+                insort(pool, (n - window, doc, start + window))
+            elif sum_at_least(pool, window):
                 chosen.append(pool.pop())
                 gap -= chosen[0][0]
                 while gap:
