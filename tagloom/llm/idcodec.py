@@ -314,7 +314,9 @@ class _Writer:
         cuts = [(k * BLOCK, (k + 1) * BLOCK) for k in range(full)]
         if last and len(ids) > full * BLOCK:
             cuts.append((full * BLOCK, len(ids)))
-        coded = encode_group([ids[a:b] for a, b in cuts[:full]], self.vocab) if full else []
+        coded = []
+        for k in range(0, full, GROUP):
+            coded += encode_group([ids[a:b] for a, b in cuts[k:min(k + GROUP, full)]], self.vocab)
         coded += [encode_group([ids[a:b]], self.vocab)[0] for a, b in cuts[full:]]
         rows = []
         begins = ends - n
