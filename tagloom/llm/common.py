@@ -77,6 +77,3 @@ def crc32_ids(ids) -> int:
     """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(ids.astype("<u4").tobytes())
 
-
-def as_list(col: str):
-    return F.coalesce(F.col(col), F.lit(""))

@@ -9,7 +9,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import common, idcodec, packing
+from tagloom.llm import chat, classifier, common, idcodec, mixing, packing, secrets
 from tagloom.llm.common import documents
 from tagloom.session import scratch_path
 
@@ -26,6 +26,46 @@ def op2_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", start.alias("start"), F.col("n_ids").alias("n_tokens"), "ids_crc32")
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = common.written(documents(spark, sf_dir, "doc_id", "source", "text")
+                           .select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "mix-rows")
+    weights = mixing.cyclic_weights(mixing.source_sizes(sized, "source", "size"))
+    return mixing.mix(sized, weights).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+def held_out(doc_id: str):
+    """Documents whose labels are never learnt."""
+    return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    model = classifier.fit(docs, _table(spark, sf_dir, "labels").filter(~held_out("doc_id")))
+    return classifier.score(docs, model).select(
+        "doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat.read_back(common.written(chat.format_chats(turns.unionByName(extra)), "chats"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "source", "text")
+    found = common.written(secrets.candidates(docs, keep=("doc_id",)), "secret-found")
+    spans = secrets.scan(found)
+    kinds = [f"n_{k}" for k in secrets.ORDER]
+    return (found.select("row", "doc_id").join(spans, "row", "left")
+            .select("doc_id", *(F.coalesce(k, F.lit(0)).cast("long").alias(k) for k in [*kinds, "n_example"]),
+                    F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),
+                    F.coalesce("spans", F.lit("")).alias("spans")))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(documents(spark, sf_dir, "doc_id", "text"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -34,6 +74,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_id_files": op2_token_id_files,
+    "op3_source_mix": op3_source_mix,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_chat_format": op7_chat_format,
+    "op8_secret_scan": op8_secret_scan,
     "op10_packing": op10_packing,
 }
 
