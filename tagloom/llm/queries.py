@@ -9,7 +9,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, classifier, common, idcodec, mixing, packing, secrets
+from tagloom.llm import chat, classifier, common, cws, idcodec, minhash, mixing, packing, secrets
 from tagloom.llm.common import documents
 from tagloom.session import scratch_path
 
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op1_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.against_next(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op2_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     idcodec.write_ids(documents(spark, sf_dir, "doc_id", "text"), path)
@@ -34,6 +38,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def held_out(doc_id: str):
     """Documents whose labels are never learnt."""
     return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
@@ -73,8 +82,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_weighted_sampling": op1_weighted_sampling,
     "op2_token_id_files": op2_token_id_files,
     "op3_source_mix": op3_source_mix,
+    "op5_minhash": op5_minhash,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_chat_format": op7_chat_format,
     "op8_secret_scan": op8_secret_scan,
