@@ -27,7 +27,8 @@ from tagloom.llm.tokens import small_batches
 
 BUCKETS = 1 << 17
 DIM = 16
-MAX_TRAIN = 6000
+MAX_TRAIN = 5000
+BATCH_BYTES = 4 << 20       # texts whose n-grams a worker holds at a time
 REPEAT_WEIGHT = 10          # a repeated word counts like so many n-grams
 _REPEAT = BUCKETS           # table row of "same word as before"
 _EMPTY = BUCKETS + 1        # table row every document has once (bias; all an empty text has)
@@ -37,19 +38,19 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(29))) * _MUL
-    return ((h ^ (h >> np.uint64(32))) & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return ((h ^ (h >> np.uint64(32))) & np.uint64(BUCKETS - 1)).astype(np.int32)
 
 
 def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(word number, table row) of every feature of distinct words."""
     words = pc.fill_null(words, "")
     if not len(words):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     n = np.asarray(pc.utf8_length(words)).astype(np.int64) + 2
     text = "<" + "><".join(words.to_pylist()) + ">"
     cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     ends = np.cumsum(n)
-    word = np.repeat(np.arange(len(n)), n)
+    word = np.repeat(np.arange(len(n), dtype=np.int32), n)
     left = np.repeat(ends, n) - np.arange(len(cp))      # code points from here to the word's end
     h = np.zeros(len(cp), np.uint64)
     out_w, out_f = [], []
@@ -57,7 +58,7 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     pos = np.arange(len(cp)) - np.repeat(ends - n, n)
     power = np.cumprod(np.full(int(n.max(initial=1)) + 1, 0x100000001B3, np.uint64))
     whole = np.add.reduceat(cp * power[pos], ends - n)
-    out_w.append(np.arange(len(n)))
+    out_w.append(np.arange(len(n), dtype=np.int32))
     out_f.append(_mix(whole))
     for k in range(5):
         at = cp[k:] + np.uint64(1)
@@ -136,7 +137,7 @@ def document_features(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         weight = np.concatenate([np.repeat(times, n), [r, 1]]).astype(np.float64)
         rows, where = np.unique(rows, return_inverse=True)
         weight = np.bincount(where, weight)
-        out.append((rows, (weight / weight.sum()).astype(np.float32)))
+        out.append((rows.astype(np.int32), (weight / weight.sum()).astype(np.float32)))
     return out
 
 
@@ -185,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
     def run(batches):
         ids, features, y = [], [], []
-        for b in small_batches(batches):
+        for b in small_batches(batches, BATCH_BYTES):
             ids += b.column(0).to_pylist()
             y += b.column(1).to_pylist()
             features += document_features(b.column(2))
@@ -212,6 +213,6 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
         return pd.Series(np.concatenate([np.zeros(0)] + [
             scores(folded.value, b.column(0))
             for b in small_batches([pa.RecordBatch.from_arrays([pa.Array.from_pandas(text, type=pa.large_string())],
-                                                               names=["text"])])]))
+                                                               names=["text"])], BATCH_BYTES)]))
 
     return docs.withColumn(out, probability(F.col(text_col)))
