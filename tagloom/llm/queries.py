@@ -9,7 +9,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, classifier, common, cws, idcodec, minhash, mixing, packing, secrets
+from tagloom.llm import chat, classifier, common, covertree, cws, idcodec, minhash, mixing, packing, secrets
 from tagloom.llm.common import documents
 from tagloom.session import scratch_path
 
@@ -75,6 +75,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.coalesce("spans", F.lit("")).alias("spans")))
 
 
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = covertree.near_vectors(_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(documents(spark, sf_dir, "doc_id", "text"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -89,6 +94,7 @@ QUERIES = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_chat_format": op7_chat_format,
     "op8_secret_scan": op8_secret_scan,
+    "op9_cover_tree": op9_cover_tree,
     "op10_packing": op10_packing,
 }
 
