@@ -140,12 +140,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                     percent: int = PERCENT) -> DataFrame:
-    """``row, doc_id, n_shingles, component_id`` of every document.
+    """``row, doc_id, n_shingles, component, component_id`` of every document.
 
     Documents with equal sets, and documents whose sets share at least
     ``percent`` % of their union, are linked; ``component_id`` is the least
     doc_id reachable. A text without words has an empty set and is its own
-    component; one with fewer than ``width`` words has its whole sequence
+    component (``component`` is null); one with fewer than ``width`` words has its whole sequence
     as the only shingle. Repeated rows are linked to each other (equal
     sets). Null ids are allowed: a component of them alone has a null id.
     An empty table has no rows. ``docs`` should come from files, since it
@@ -181,13 +181,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_class = common.written(of_class, "minhash-of")
     least = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
     named = common.written(of_class.select("class", "component").join(least, "component"), "minhash-named")
-    return (sketch.select("row", "doc_id", "n_shingles", "class")
-            .join(named.select("class", "component_id"), "class", "left")
-            .select("row", "doc_id", "n_shingles",
+    return (sketch.select("row", "doc_id", "n_shingles", "class").join(named, "class", "left")
+            .select("row", "doc_id", "n_shingles", "component",
                     F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
                     .alias("component_id")))
 
 
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
+                  percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each group of linked ones: the one with
+    the least id (a null id is the greatest), then the first in ``docs``.
+    Texts without words all stay. Columns are unchanged."""
+    found = common.written(near_duplicates(docs, id_col, text_col, width, percent), "minhash-found")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    stay = (found.filter("component is null").select("row").unionAll(
+        found.filter("component is not null").groupBy("component").agg(first.alias("f")).select("f.row")))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc"))
+    kept = rows.join(common.written(stay, "minhash-stay"), "row", "left_semi")
+    return kept.select(*(F.col("doc")[c].alias(c) for c in docs.columns))
+
+
 def _across(members: DataFrame, comp: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between classes that share a bucket but no component yet.
 

@@ -104,7 +104,8 @@ def mix(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", source_col:
         F.monotonically_increasing_id().alias("row"),
         ((F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11) + 0.5) / float(1 << 53)).alias("u"))
     per_doc = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    sizes = source_sizes(rows, "source", "size")
+    light = common.written(rows.drop("doc"), "mix-light")
+    sizes = source_sizes(light, "source", "size")
     state = (targets(sizes, weights, share, max_copies)
              # a fraction that is 0 or 1 but for rounding is 0 or 1
              .withColumn("due", F.round(per_doc, 12)).withColumn("whole", F.floor("due").cast("int"))
@@ -123,7 +124,6 @@ def mix(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", source_col:
         return (rows.join(s, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
                 .withColumn("v", F.when(F.col("p") > 0, F.shiftleft(top, 22).bitwiseOR(low)).otherwise(F.lit(1 << _BITS))))
 
-    light = rows.drop("doc")
     wide = (F.col("need") > 0) & (F.col("n") > CELL) & (F.col("shift") > 0)
     while not state.filter(wide).isEmpty():
         state = common.written(_narrower(with_state(light, state.filter(wide)), state, wide), "mix-state")

@@ -9,7 +9,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, classifier, common, covertree, cws, idcodec, minhash, mixing, packing, secrets
+from tagloom.llm import chat, classifier, common, covertree, cws, idcodec, minhash, mixing, packing, secrets, suffix
 from tagloom.llm.common import documents
 from tagloom.session import scratch_path
 
@@ -38,6 +38,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
@@ -90,6 +94,7 @@ QUERIES = {
     "op1_weighted_sampling": op1_weighted_sampling,
     "op2_token_id_files": op2_token_id_files,
     "op3_source_mix": op3_source_mix,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_minhash": op5_minhash,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_chat_format": op7_chat_format,

@@ -158,7 +158,8 @@ def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source",
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc"))
     found = common.written(candidates(docs, text_col, owner_col), "secret-found")
-    spans = scan(found, example_owners).filter(F.size("live_spans") > 0).select("row", "live_spans")
+    spans = common.written(scan(found, example_owners).filter(F.size("live_spans") > 0).select("row", "live_spans"),
+                           "secret-spans")
     text = F.col("doc")[text_col]
 
     def step(acc, s):
