@@ -141,7 +141,7 @@ def document_features(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def train(features, labels: np.ndarray, epochs: int = 6, rate: float = 0.3, seed: int = 7) -> Model:
+def train(features, labels: np.ndarray, epochs: int = 6, rate: float = 1.0, seed: int = 7) -> Model:
     """Stochastic gradient descent, one document a step, with per-row
     adaptive rates. The sample is passed at least ``epochs`` times and at
     least 20,000 documents are seen."""

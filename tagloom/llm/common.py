@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,23 +54,26 @@ def _times(mat: list[int], vec: int) -> int:
     return out
 
 
+def _squared(mat: list[int]) -> list[int]:
+    return [_times(mat, m) for m in mat]
+
+
+@cache
+def _zero_bits(k: int) -> list[int]:
+    """The linear map on a crc32 of appending ``2 ** k`` zero bits."""
+    return [0xEDB88320] + [1 << i for i in range(31)] if k == 0 else _squared(_zero_bits(k - 1))
+
+
 def crc32_concat(crc1: int, crc2: int, len2: int) -> int:
-    """crc32 of A+B from crc32(A), crc32(B) and len(B).
-
-    Appending one zero bit to a message is a linear map on the 32-bit
-    state; squaring that map gives 2, 4, 8 ... zero bits, so appending
-    ``8 * len2`` zero bits takes log2 steps.
-    """
-    if not len2:
-        return crc1
-    mat = [0xEDB88320] + [1 << i for i in range(31)]
-    bits = 8 * len2
+    """crc32 of A+B from crc32(A), crc32(B) and len(B): appending a zero
+    bit is a linear map on the 32-bit state, and its squares append 2, 4,
+    8 ... zero bits."""
+    bits, k = 8 * len2, 0
     while bits:
         if bits & 1:
-            crc1 = _times(mat, crc1)
+            crc1 = _times(_zero_bits(k), crc1)
         bits >>= 1
-        if bits:
-            mat = [_times(mat, m) for m in mat]
+        k += 1
     return crc1 ^ crc2
 
 

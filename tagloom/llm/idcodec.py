@@ -29,22 +29,22 @@ from __future__ import annotations
 import struct
 import zlib
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tagloom.llm import common
 from tagloom.llm.common import crc32_concat
 from tagloom.llm.tokens import END_ID, encoder, small_batches, tokenizer_path, with_end
 
-STRIPS, STEPS = 256, 256
+STRIPS, STEPS = 4096, 128
 BLOCK = STRIPS * STEPS
-GROUP = 32                       # blocks coded side by side (bounds memory)
-_REFRESH = frozenset((2, 8, 32, 96, 176))
+GROUP = 1                        # blocks coded side by side (the tables of more leave the cache)
+_REFRESH = frozenset((1, 4, 16, 48, 88))
 _BITS = 24
 _TOTAL = 1 << _BITS
 _LEAST = 16                      # least order-0 frequency of an id
@@ -67,7 +67,7 @@ class _Model:
         self.t1, self.t2 = np.zeros(g * vocab, np.int32), np.zeros(g * _SLOTS, np.int32)
         self.events = np.tile(np.array([2.0, 2.0, 4.0]), (g * _CTX, 1))
         self.counts = np.zeros(g * vocab, np.int64)
-        self.step, self.pending = 0, []
+        self.step, self.pending, self.at = 0, [], None
         self._order0()
         self._weights()
 
@@ -87,7 +87,7 @@ class _Model:
         np.cumsum(freq.astype(np.int32) + _LEAST, axis=1, out=cum[:, 1:])
         cum[:, -1] = _TOTAL
         cum += (np.arange(self.g, dtype=np.int32) << (_BITS + 1))[:, None]
-        self.cum = cum.ravel()                  # GROUP << 25 stays below 2^31
+        self.cum = cum.ravel()                  # GROUP << 25 must stay below 2^31
 
     def _weights(self) -> None:
         part = self.events[:, :2] / self.events.sum(1, keepdims=True)
@@ -96,7 +96,7 @@ class _Model:
         self.w1[1::2] = 0           # both predict the same id
 
     def predict(self, prev1, prev2):
-        self.i1 = self.base1 + prev1
+        self.i1 = self.base1 + prev1 if self.at is None else self.at
         self.i2 = self.base2 + ((prev1 * 40503 + prev2 * 30011) & (_SLOTS - 1))
         self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
         self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
@@ -135,7 +135,8 @@ class _Model:
         return x, hit2, hit1
 
     def update(self, x, hit2, hit1):
-        self.pending.append(self.base1 + x)
+        self.at = self.base1 + x
+        self.pending.append(self.at)
         event = np.where(hit2, 0, np.where(hit1, 1, 2))
         seen = np.bincount(self.ctx * 3 + event, minlength=self.g * _CTX * 3)
         self.events = self.events * 0.98 + seen.reshape(-1, 3)
@@ -168,7 +169,7 @@ def encode_group(blocks: list[np.ndarray], vocab: int) -> list[tuple[int, np.nda
     x = np.ascontiguousarray(x.reshape(g * STRIPS, steps).T)
     lanes = g * STRIPS
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    out, n = np.zeros((lanes, steps + 2), np.uint32), np.zeros(lanes, np.int64)
+    out, n = np.zeros((lanes, steps + 1), np.uint32), np.zeros(lanes, np.int64)
     model = _Model(g, vocab)
     prev1 = prev2 = np.zeros(lanes, np.int64)
     for now in x:
@@ -185,14 +186,13 @@ def encode_group(blocks: list[np.ndarray], vocab: int) -> list[tuple[int, np.nda
             n[at] += 1
         model.update(now, hit2, hit1)
         prev1, prev2 = now, prev1
-    every = np.arange(lanes)
-    for word in (low >> _WORD, low & _LOW32):
-        out[every, n] = word
-        n += 1
+    # a range is wider than 2^32 here, so one more word names a point in it
+    out[np.arange(lanes), n] = (low + _LOW32) >> _WORD
+    n += 1
     res = []
     for b in range(g):
         rows, lens = out[b * STRIPS:(b + 1) * STRIPS], n[b * STRIPS:(b + 1) * STRIPS]
-        res.append((steps, lens, rows[np.arange(steps + 2) < lens[:, None]]))
+        res.append((steps, lens, rows[np.arange(steps + 1) < lens[:, None]]))
     return res
 
 
@@ -202,10 +202,19 @@ def decode_group(coded: list[tuple[int, np.ndarray, np.ndarray]], vocab: int) ->
     lanes = g * STRIPS
     words = np.concatenate([w for _, _, w in coded] + [np.zeros(1, np.uint32)]).astype(np.uint64)
     lens = np.concatenate([c for _, c, _ in coded]).astype(np.int64)
-    at = np.cumsum(lens) - lens
+    end = np.cumsum(lens)
+    at = end - lens
+
+    def take(which):
+        """The next word of strips; 0 past a strip's end."""
+        word = np.where(at[which] < end[which], words[np.minimum(at[which], len(words) - 1)], np.uint64(0))
+        at[which] += 1
+        return word
+
+    every = np.arange(lanes)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    code = (words[at] << _WORD) | words[at + 1]
-    at += 2
+    code = take(every) << _WORD
+    code |= take(every)
     model = _Model(g, vocab)
     prev1 = prev2 = np.zeros(lanes, np.int64)
     x = np.zeros((steps, lanes), np.int64)
@@ -220,8 +229,7 @@ def decode_group(coded: list[tuple[int, np.ndarray, np.ndarray]], vocab: int) ->
         need = np.flatnonzero(rng <= _LOW32)
         if len(need):
             _narrow(low, rng, need)
-            code[need] = (code[need] << _WORD) | words[np.minimum(at[need], len(words) - 1)]
-            at[need] += 1
+            code[need] = (code[need] << _WORD) | take(need)
         model.update(now, hit2, hit1)
         x[i] = now
         prev1, prev2 = now, prev1
@@ -427,12 +435,9 @@ def documents_of(pieces: DataFrame) -> DataFrame:
                 F.sum("n_ids").alias("n_ids"),
                 F.sort_array(F.collect_list(F.struct("start", "n_ids", "crc"))).alias("pieces")))
 
-    @F.udf(T.LongType())
+    @F.pandas_udf("long")
     def joined(pieces):
-        crc = 0
-        for p in pieces:
-            crc = crc32_concat(crc, p["crc"], 4 * p["n_ids"])
-        return crc
+        return pieces.map(lambda ps: reduce(lambda crc, p: crc32_concat(crc, p["crc"], 4 * p["n_ids"]), ps, 0))
 
     cols = ["file", "doc_no", "doc_id", "start", "n_ids"]
     return (digest.filter("whole").select(*cols, F.col("crc").alias("ids_crc32"))

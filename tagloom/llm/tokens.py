@@ -22,7 +22,7 @@ END_ID = 1
 # run of it is one pre-token); no
 # apostrophe, which the tokenizer treats on its own ('s, 't, 're ...).
 _TAIL = ".,!?:;#$%&*()|"
-_MAX_CACHE = 600_000    # cached units per worker (memory bound, not a result bound)
+_MAX_CACHE = 1_200_000    # cached units per worker (memory bound, not a result bound)
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -148,7 +148,7 @@ def with_end(ids: np.ndarray, per_text: np.ndarray, end_id: int = END_ID) -> tup
     return np.insert(ids, np.cumsum(per_text), end_id), per_text + 1
 
 
-def small_batches(batches, max_bytes: int = 16 << 20):
+def small_batches(batches, max_bytes: int = 8 << 20):
     """Arrow batches cut so that each holds about ``max_bytes`` (a row is
     never cut)."""
     for b in batches:
