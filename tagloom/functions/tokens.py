@@ -24,5 +24,3 @@ def blank_split(text) -> Column:
                    F.array().cast("array<string>"))
             .otherwise(F.split(body, " ")))
 
-
-java_split = blank_split

@@ -9,7 +9,9 @@ Each line is split on blanks; a token's event time is the record's time
 (the broker timestamp, or the file's modification time with ``--source
 folder``); the watermark delay defaults to 0, so late tokens are dropped.
 ``OUT`` gets the ranked rows of each closed window (``batch_id=N``
-folders), ``CHART_DIR`` the chart JSON of the newest window.
+folders), ``CHART_DIR`` the chart JSON of the newest window. All outputs
+come from one streaming query, so a topic is read by one consumer and a
+failing output ends the job.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ def lines_with_time(spark, a):
         "value", F.col("_metadata.file_modification_time").alias("timestamp"))
 
 
-def main(argv=None) -> None:
-    p = argparse.ArgumentParser(description=__doc__.split("\n")[0])
+def source_arguments(p: argparse.ArgumentParser) -> None:
+    """Arguments every stream job takes."""
     p.add_argument("--source", choices=["kafka", "folder"], required=True)
     p.add_argument("--servers")
     p.add_argument("--topic", default="wordcount")
@@ -40,35 +42,34 @@ def main(argv=None) -> None:
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--path")
     p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--checkpoint", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--trigger", default="3 seconds")
+    p.add_argument("--available-now", action="store_true")
+    p.add_argument("--master")
+
+
+def main(argv=None) -> None:
+    p = argparse.ArgumentParser(description=__doc__.split("\n")[0])
+    source_arguments(p)
     p.add_argument("--size", default="10 seconds")
     p.add_argument("--slide", default="5 seconds")
     p.add_argument("--delay", default="0 seconds")
     p.add_argument("--k", type=int, default=10)
-    p.add_argument("--checkpoint", required=True)
-    p.add_argument("--out", required=True)
     p.add_argument("--chart")
     p.add_argument("--report", help="folder for the per-window text reports")
     p.add_argument("--keyed-report", action="store_true", help="report names the window end")
-    p.add_argument("--trigger", default="3 seconds")
-    p.add_argument("--available-now", action="store_true")
-    p.add_argument("--state-partitions", type=int, help="state-store partitions (default: one per core)")
-    p.add_argument("--master")
+    p.add_argument("--state-partitions", type=int, help="state-store partitions (default: the session's shuffle partitions)")
     a = p.parse_args(argv)
     spark = get_session(a.master, "tagloom-stream-top-tags")
     trigger = {"availableNow": True} if a.available_now else {"processingTime": a.trigger}
     tags = windowed.tag_events(lines_with_time(spark, a))
     counts = windowed.window_counts(tags, "ts", "tag", a.size, a.slide, a.delay)
-    n = a.state_partitions or spark.sparkContext.defaultParallelism
-    with windowed.state_partitions(spark, n):
-        queries = [windowed.start_window_top_k(counts, a.out, a.checkpoint + "/top", a.k, trigger)]
-        if a.chart:
-            queries.append(windowed.start_chart_feed(counts, a.chart, a.checkpoint + "/chart", a.k,
-                                                     trigger))
-        if a.report:
-            queries.append(windowed.start_window_report(counts, a.report, a.checkpoint + "/report",
-                                                        a.k, a.keyed_report, trigger))
-    for q in queries:
-        windowed.run_until_done(q)
+    # State partitions are fixed by the first start of a checkpoint: the
+    # session's shuffle partitions, unless set for this stream.
+    with windowed.state_partitions(spark, a.state_partitions):
+        q = windowed.start_window_outputs(counts, a.checkpoint, a.k, a.out, a.report, a.keyed_report, a.chart, trigger)
+    windowed.run_until_done(q)
 
 
 if __name__ == "__main__":

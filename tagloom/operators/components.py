@@ -10,9 +10,10 @@ checkpoint is written). The component id of a
 vertex is the least vertex id in its component.
 
 Skew: a hub (in the end every component is a star around its least id)
-is a hot join key on the edge side only; the other side holds one row
-per vertex, so AQE splits the hot partition instead of sending it to one
-task.
+is a hot join key on the edge side only; the other side holds one row per
+vertex. That side is checkpointed before the join: as a plain scan it gets
+a shuffle of its own, and only then does AQE split the hot partition (an
+aggregate that is already partitioned on the key blocks it).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tagloom.operators.graph import Graph
+from tagloom.operators.indexing import group_position
 from tagloom.session import checkpoint
 
 
@@ -33,7 +35,7 @@ def _undirected(edges: DataFrame) -> DataFrame:
 def _large_star(e: DataFrame) -> DataFrame:
     """Link every neighbour v > u to m(u) = min(u, N(u))."""
     both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    m = checkpoint(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     # No distinct here: the output has at most one row per input edge, and
     # the small-star step (min, join, distinct) absorbs duplicates.
     return both.filter(F.col("v") > F.col("u")).join(m, "u").select(
@@ -43,7 +45,7 @@ def _large_star(e: DataFrame) -> DataFrame:
 def _small_star(e: DataFrame) -> DataFrame:
     """For each u, link u and its smaller neighbours to m(u) = min(N<(u) + u)."""
     down = e.select(F.col("v").alias("x"), F.col("u").alias("y"))   # x > y
-    m = down.groupBy("x").agg(F.min("y").alias("m"))
+    m = checkpoint(down.groupBy("x").agg(F.min("y").alias("m")))
     linked = (down.join(m, "x").select(F.col("y").alias("a"), "m")
               .unionAll(m.select(F.col("x").alias("a"), "m")))
     return (linked.filter(F.col("a") != F.col("m"))
@@ -74,12 +76,15 @@ def _is_star_forest(e: DataFrame) -> bool:
 def star_edges(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """Iterate to the fixed point: every component a star (root, member).
 
+    ``max_rounds`` drops nothing: the rounds needed grow with the logarithm
+    of the vertex count, and a run that exceeds the bound raises.
+
     Stops when a round changes nothing, or, once a round leaves the edge
     count unchanged, as soon as the edge set is a star forest.
     """
     e, fp = _undirected(edges), (None, None)   # round 1 reads the input directly
     for _ in range(max_rounds):
-        e, nfp = _checkpoint(_small_star(_large_star(e)))
+        e, nfp = _checkpoint(_small_star(checkpoint(_large_star(e))))
         if nfp == fp or (nfp[0] == fp[0] and _is_star_forest(e)):
             return e
         fp = nfp
@@ -102,15 +107,12 @@ def component_sizes(components: DataFrame) -> DataFrame:
 def isolated_groups(components: DataFrame, max_members_per_line: int = 10000) -> DataFrame:
     """Members of each component as text lines, ids ascending, ``", "``-joined.
 
-    A component with at most ``max_members_per_line`` members is one
-    line. A bigger one is salted into ceil(size / max) groups by id hash,
-    each written as its own line (``chunk`` > 0 tells them apart), so no
-    task ever gathers an unbounded component.
+    One rule for every size: line ``chunk`` (0, 1, ...) holds the members
+    at positions ``chunk * max_members_per_line`` onward, so lines follow
+    each other in id order and no line is longer than the bound. Lines are
+    formed on (component, chunk), which deals a giant component over many
+    tasks.
     """
-    sizes = component_sizes(components)
-    n = F.lit(max_members_per_line)
-    c = components.join(sizes, "component").withColumn(
-        "chunk", F.when(F.col("size") <= n, F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / n)) + 1))
-    return (c.groupBy("component", "chunk")
+    placed = group_position(components.select("component", "id"), ["component"], ["id"], "_at")
+    return (placed.groupBy("component", F.floor(F.col("_at") / F.lit(max_members_per_line)).cast("bigint").alias("chunk"))
             .agg(F.array_join(F.sort_array(F.collect_list("id")), ", ").alias("members")))

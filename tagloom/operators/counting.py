@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.tokens import blank_split
+from tagloom.operators.indexing import group_position
 
 
 def tokenize(lines: DataFrame, text_col: str = "value", out: str = "tag",
@@ -64,14 +65,20 @@ def counts_as_map(counts: DataFrame, group_cols: list, key: str = "tag", cnt: st
                   max_keys: int = 10000) -> DataFrame:
     """Each group's counts as ``map<tag, cnt>`` (keys in ascending order).
 
-    A group with more than ``max_keys`` keys is salted by key hash into
-    ceil(keys / max_keys) maps (``part`` > 0); ``merge_count_maps`` adds
-    maps together. No map ever holds an unbounded number of keys.
+    One rule for every size: map ``part`` (0, 1, ...) holds the keys at
+    positions ``part * max_keys`` onward of the group's key order, so a
+    group is the maps of its parts one after the other, and no map holds
+    more than ``max_keys`` keys. ``merge_count_maps`` adds maps together.
     """
-    sizes = counts.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_k"))
-    n = F.lit(max_keys)
-    c = counts.join(sizes, group_cols).withColumn(
-        "part", F.when(F.col("_k") <= n, F.lit(0).cast("bigint")).otherwise(
-            F.pmod(F.xxhash64(key), F.ceil(F.col("_k") / n)) + 1))
+    placed = group_position(counts.select(*group_cols, key, cnt), group_cols, [key], "_at")
     entries = F.array_sort(F.collect_list(F.struct(F.col(key), F.col(cnt))))
-    return c.groupBy(*group_cols, "part").agg(F.map_from_entries(entries).alias("counts"))
+    return (placed.groupBy(*group_cols, F.floor(F.col("_at") / F.lit(max_keys)).cast("bigint").alias("part"))
+            .agg(F.map_from_entries(entries).alias("counts")))
+
+
+def counts_as_pairs(counts: DataFrame, group_cols: list, key: str = "tag", cnt: str = "cnt",
+                    max_keys: int = 10000) -> DataFrame:
+    """``counts_as_map`` with each map as a list of (key, value) pairs in
+    key order."""
+    return (counts_as_map(counts, group_cols, key, cnt, max_keys)
+            .select(*group_cols, "part", F.map_entries("counts").alias("pairs")))

@@ -3,8 +3,9 @@
 ``vertices(id BIGINT, label STRING)`` and ``edges(src BIGINT, dst BIGINT,
 weight BIGINT)``; edges are directed and may repeat (a multigraph).
 Every operator is a DataFrame plan: the joins are equi-joins on vertex
-ids or labels (AQE splits a hub vertex's partition; a side is broadcast
-only after AQE measured it), and the aggregates combine map-side.
+ids or labels. The side with one row per vertex is checkpointed before
+such a join: a plain scan has a shuffle of its own, which AQE needs on
+both sides to split a hub vertex's partition. Aggregates combine map-side.
 """
 
 from __future__ import annotations
@@ -57,14 +58,15 @@ def create_graph(vertices: DataFrame, pairs: DataFrame, num: int,
     vertices = the ids on those edges with their labels.
 
     With ``materialize`` the thresholded edges (far fewer rows than the
-    occurrences) are checkpointed once; the vertex set, the triplet joins
-    and the degree counts then read them instead of re-aggregating the
-    occurrences.
+    occurrences) and the labelled vertices are checkpointed once; the
+    triplet joins and the degree counts then read them instead of
+    re-aggregating the occurrences.
     """
     edges = edge_count(pairs.select("src", "dst"), num)
     if materialize:
         edges = checkpoint(edges)
-    return Graph(attach_labels(from_edges(edges), vertices), edges)
+    v = attach_labels(from_edges(edges), vertices)
+    return Graph(checkpoint(v) if materialize else v, edges)
 
 
 def create_stacked(vertices: DataFrame, pairs: DataFrame, num: int,
@@ -119,6 +121,7 @@ def edges_touching(edges: DataFrame, ids: DataFrame) -> DataFrame:
     An OR of two memberships would plan as a nested-loop join; two
     equi left-joins keep it a pair of hash/sort-merge joins.
     """
+    ids = checkpoint(ids)
     s = ids.select(F.col("id").alias("src"), F.lit(True).alias("_s"))
     d = ids.select(F.col("id").alias("dst"), F.lit(True).alias("_d"))
     return (edges.join(s, "src", "left").join(d, "dst", "left")
@@ -128,6 +131,7 @@ def edges_touching(edges: DataFrame, ids: DataFrame) -> DataFrame:
 
 def edges_within(edges: DataFrame, ids: DataFrame) -> DataFrame:
     """Edges with both src AND dst in ``ids`` (distinct ids)."""
+    ids = checkpoint(ids)
     return (edges.join(ids.select(F.col("id").alias("src")), "src", "left_semi")
             .join(ids.select(F.col("id").alias("dst")), "dst", "left_semi"))
 
@@ -180,9 +184,21 @@ def merge_stacked(stacked: Graph, flip: set | None = None, materialize: bool = T
     weights. ``flip`` lists the gids whose edges change direction.
     With ``materialize`` the merged edges are checkpointed: degrees,
     sub-graphs, components and writers read them several times, and
-    each read would otherwise redo the relabelling joins.
+    each read would otherwise redo the relabelling joins. Callers that
+    need the vertices only use ``merged_vertices``.
     """
+    v = merged_vertices(stacked)
+    return Graph(v, merged_edges(stacked, v, flip, materialize))
+
+
+def merged_vertices(stacked: Graph) -> DataFrame:
+    """``id, label`` of the merge: distinct labels with dense ids in label order."""
     v = dense_id(stacked.vertices.select("label").distinct(), ["label"], "id")
+    return v.select("id", "label")
+
+
+def merged_edges(stacked: Graph, v: DataFrame, flip: set | None = None, materialize: bool = True) -> DataFrame:
+    """Edges of the merge between the ids of ``v``, parallel weights added."""
     m = stacked.vertices.join(v.select("label", F.col("id").alias("_new")), "label").select(
         "gid", F.col("id").alias("_old"), "_new")
     s = m.select("gid", F.col("_old").alias("src"), F.col("_new").alias("_nsrc"))
@@ -197,7 +213,7 @@ def merge_stacked(stacked: Graph, flip: set | None = None, materialize: bool = T
     e = e.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
     if materialize:
         e = checkpoint(e)
-    return Graph(v.select("id", "label"), e)
+    return e
 
 
 def merge_many(graphs: list[Graph], reverse: bool = False) -> Graph:

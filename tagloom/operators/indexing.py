@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,15 +63,58 @@ def weighted_offsets(df: DataFrame, order_cols: list, weight_col: str, out: str
     ``order_cols`` order (an exclusive running total, e.g. the index of a
     document's first token in the token order of the whole corpus).
 
-    Same scheme as ``dense_id``; the running total inside a partition is
-    a window over that one range partition, so its size is bounded by
-    the partition.
+    Same scheme as ``dense_id``. The running total inside a partition is
+    an Arrow cumulative sum over its sorted rows, batch by batch: no
+    second exchange, and one batch in memory.
     """
     keys = _keys(order_cols)
-    inside = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    local = checkpoint(_range_partitioned(df, keys, num_partitions)
-                       .withColumn("_part", F.spark_partition_id())
-                       .withColumn("_loc", F.coalesce(F.sum(weight_col).over(inside), F.lit(0))))
+    ordered = (_range_partitioned(df, keys, num_partitions).sortWithinPartitions(*keys)
+               .withColumn("_part", F.spark_partition_id()).withColumn("_loc", F.col(weight_col).cast("bigint")))
+    at = len(ordered.columns) - 1
+
+    def run(batches):
+        total = 0
+        for b in batches:
+            weight = pc.fill_null(b.column(at), 0)
+            upto = pc.add(pc.cumulative_sum(weight), total)
+            yield b.set_column(at, "_loc", pc.subtract(upto, weight))
+            if len(upto):
+                total = upto[-1].as_py()
+
+    local = checkpoint(ordered.mapInArrow(run, ordered.schema))
     start = _partition_offsets(local, F.col(weight_col))
     return (local.withColumn(out, (start + F.col("_loc")).cast("bigint"))
             .drop("_part", "_loc"))
+
+
+def group_position(df: DataFrame, group_cols: list, order_cols: list, out: str = "pos",
+                   num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 0-based position of each row in its group, in
+    ``order_cols`` order.
+
+    The rows are range-partitioned on (group, order), so a giant group
+    lies in many partitions. A row's position is its place in its piece
+    of the group (a group within one partition) plus the rows of the
+    group in earlier partitions. Only a partition's first group can have
+    such rows, so one number per partition is enough.
+    """
+    keys = _keys(group_cols) + _keys(order_cols)
+    numbered = checkpoint(_range_partitioned(df, keys, num_partitions).sortWithinPartitions(*keys)
+                          .withColumn("_part", F.spark_partition_id())
+                          .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
+    pieces = (numbered.groupBy("_part", *group_cols).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")))
+    # first and last group of each partition: at most two rows per partition
+    ends = (pieces.select("_part", F.struct("_first", F.struct(*group_cols).alias("g"), "_n").alias("p"))
+            .groupBy("_part").agg(F.min("p").alias("first"), F.max("p").alias("last")).orderBy("_part").collect())
+    carry, group, rows = {}, None, 0
+    for e in ends:
+        first, last = e["first"], e["last"]
+        carry[e["_part"]] = rows if rows and first["g"] == group else 0
+        rows = last["_n"] + (carry[e["_part"]] if last["g"] == first["g"] else 0)
+        group = last["g"]
+    before = F.lit([carry.get(p, 0) for p in range(max(carry, default=0) + 1)]).cast("array<bigint>")
+    inside = Window.partitionBy("_part", *group_cols).orderBy("_pos")
+    first = F.min("_pos").over(inside)
+    return (numbered.withColumn(out, (F.col("_pos") - first + F.when(
+                first == 0, F.element_at(before, F.col("_part") + 1)).otherwise(0)).cast("bigint"))
+            .drop("_part", "_pos"))

@@ -9,7 +9,9 @@ occurrence, so no pairs are generated inside a group:
   names, so merging by label collapses parts) and suppliers;
 * activity graph: every event row is one occurrence of "user did
   event_type"; only the event types have a vertex-file entry, so user
-  vertices get the default label "".
+  vertices get the default label "";
+* loyalty graph: every order is one occurrence of "customer buys in its
+  block"; many components, missing labels and self-loops.
 
 Parts and suppliers share key ranges; suppliers (and event types) are
 moved into their own id range by adding ``ID_BASE``.
@@ -17,18 +19,21 @@ moved into their own id range by adding ``ID_BASE``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.operators.graph import Graph, create_graph, create_stacked, merge_stacked, fold_flips
+from tagloom.operators.graph import (Graph, attach_labels, create_graph, create_stacked, fold_flips,
+                                     from_edges, merge_stacked)
 from tagloom.operators.indexing import dense_id
+from tagloom.session import checkpoint
 from tagloom.sources.tables import table
 
 ID_BASE = 10 ** 12
 SUPPLY_THRESHOLD = 2        # edges seen more than twice
 SLICE_THRESHOLD = 1         # per-slice graphs for the merge
 ACTIVITY_THRESHOLD = 15
-SLICES = ("A", "N", "R")    # l_returnflag values: three graphs to merge
+LOYALTY_THRESHOLD = 4       # a customer's orders of one priority
+BLOCK = 12                  # customers per block in the loyalty graph
 
 
 def supply_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,33 +54,66 @@ def supply_graph(spark: SparkSession, sf_dir: str, num: int = SUPPLY_THRESHOLD)
     return create_graph(supply_vertices(spark, sf_dir), supply_pairs(spark, sf_dir), num)
 
 
-def supply_slices(spark: SparkSession, sf_dir: str, num: int = SLICE_THRESHOLD) -> Graph:
-    """One graph per l_returnflag value, stacked (``gid`` = index in SLICES)."""
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag").isin(list(SLICES)))
+def slices(df: DataFrame, col: str) -> tuple[Column, int]:
+    """(``gid`` of each row, number of graphs): one graph per value of
+    ``col``, in value order, a null value first. The distinct values (a
+    handful by nature of a slicing column) are read from the data."""
+    values = [r[0] for r in df.select(col).distinct().orderBy(F.col(col).asc_nulls_first()).collect()]
     gid = F.lit(None).cast("int")
-    for i, f in enumerate(SLICES):
-        gid = F.when(F.col("l_returnflag") == F.lit(f), F.lit(i)).otherwise(gid)
+    for i, v in enumerate(values):
+        gid = F.when(F.col(col).eqNullSafe(F.lit(v)), F.lit(i)).otherwise(gid)
+    return gid, len(values)
+
+
+def supply_slices(spark: SparkSession, sf_dir: str, num: int = SLICE_THRESHOLD) -> tuple[Graph, int]:
+    """One graph per l_returnflag value, stacked; and their number."""
+    li = table(spark, sf_dir, "lineitem")
+    gid, n = slices(li, "l_returnflag")
     pairs = li.select(gid.alias("gid"), F.col("l_partkey").alias("src"),
                       (F.col("l_suppkey") + F.lit(ID_BASE)).alias("dst"))
-    return create_stacked(supply_vertices(spark, sf_dir), pairs, num)
+    return create_stacked(supply_vertices(spark, sf_dir), pairs, num), n
 
 
 def merged_supply_graph(spark: SparkSession, sf_dir: str, reverse: bool = False) -> Graph:
     """The slice graphs merged by label, as one graph. ``reverse``: edge
     directions of merge(g3, merge(g1, g2)) with (dst, src)-keyed sums."""
-    flip = None
-    if reverse:
-        flip = {i for i, k in enumerate(fold_flips(len(SLICES))) if k % 2 == 1}
-    return merge_stacked(supply_slices(spark, sf_dir), flip)
+    stacked, n = supply_slices(spark, sf_dir)
+    flip = {i for i, k in enumerate(fold_flips(n)) if k % 2 == 1} if reverse else None
+    return merge_stacked(stacked, flip)
+
+
+def loyalty_graph(spark: SparkSession, sf_dir: str, num: int = LOYALTY_THRESHOLD) -> Graph:
+    """Orders as occurrences of "customer buys in its block", one graph per
+    order priority, merged by label.
+
+    A block is ``BLOCK`` customers in key order, so the number of blocks,
+    and of components, grows with the table. Every fifth block is missing
+    in the vertex file, as are its customers with a balance below 2000:
+    they get the default label, collapse into one vertex, and edges between
+    two of them become a self-loop.
+    """
+    cust, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    block = F.floor(F.col("c_custkey") / BLOCK)
+    blocks = (cust.select(block.alias("b")).distinct().filter(F.col("b") % 5 != 0)
+              .select((F.col("b") + F.lit(ID_BASE)).alias("id"),
+                      F.concat(F.lit("block "), F.col("b").cast("string")).alias("label")))
+    known = (block % 5 != 0) | (F.col("c_acctbal") >= 2000)
+    vertices = cust.filter(known).select(F.col("c_custkey").alias("id"), F.col("c_name").alias("label")).unionByName(blocks)
+    gid, _ = slices(orders, "o_orderpriority")
+    pairs = orders.select(gid.alias("gid"), F.col("o_custkey").alias("src"),
+                          (F.floor(F.col("o_custkey") / BLOCK) + F.lit(ID_BASE)).alias("dst"))
+    return merge_stacked(create_stacked(vertices, pairs, num))
 
 
 def activity_graph(spark: SparkSession, sf_dir: str, num: int = ACTIVITY_THRESHOLD) -> Graph:
     ev = table(spark, sf_dir, "events").select("user_id", "event_type")
     types = dense_id(ev.select("event_type").distinct(), ["event_type"], "_k")
     types = types.select((F.col("_k") + F.lit(ID_BASE)).alias("id"), F.col("event_type").alias("label"))
-    pairs = ev.join(types.withColumnRenamed("label", "event_type"), "event_type").select(
-        F.col("user_id").alias("src"), F.col("id").alias("dst"))
-    return create_graph(types, pairs, num)
+    # count by type name first, then join ids to the counts
+    counts = ev.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("weight")).filter(F.col("weight") > num)
+    edges = checkpoint(counts.join(types.withColumnRenamed("label", "event_type"), "event_type")
+                       .select(F.col("user_id").alias("src"), F.col("id").alias("dst"), "weight"))
+    return Graph(checkpoint(attach_labels(from_edges(edges), types)), edges)
 
 
 def supply_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+# Sizes the registered queries use, small enough that both sides of them occur.
+LINE_MEMBERS = 20       # ids of a component line
+MAP_KEYS = 20           # keys of a count map
+
 # Tokens of documents.text split like a JVM String.split(" ").
 _TOKENS = """
   select unnest(case when rtrim(text, ' ') = '' and text <> '' then []::varchar[]
@@ -100,13 +104,22 @@ def _components(edges: str, vertices: str) -> str:
                select a as id, min(l) as component from r group by a)"""
 
 
+def _component_lines(components: str, per_line: int = LINE_MEMBERS) -> str:
+    return f"""
+      select component, chunk, string_agg(cast(id as varchar), ', ' order by id) as members from (
+        select component, id,
+               (row_number() over (partition by component order by id) - 1) // {per_line} as chunk
+        from {components})
+      group by component, chunk"""
+
+
 _SE = _supply_edges(2)
 _SV = _vertices_of("se", _SUPPLY_LABELS)
 
 # Three slices (l_returnflag), threshold > 1, merged by label.
 _MERGED = f"""
   s as (select l_returnflag as f, l_partkey as src, l_suppkey + {_B} as dst, count(*) as w
-        from lineitem where l_returnflag in ('A', 'N', 'R')
+        from lineitem
         group by l_returnflag, l_partkey, l_suppkey having count(*) > 1),
   vl as {_SUPPLY_LABELS},
   sl as (select s.f, s.w, coalesce(a.label, '') as sl, coalesce(b.label, '') as dl
@@ -144,8 +157,9 @@ SQL.update({
     "merged_edges": f"with {_MERGED} select src, dst, weight from me",
     "merged_edges_reversed": f"""with {_MERGED}
       select src, dst, cast(sum(w) as bigint) as weight from (
-        select case when f = 'R' then dst else src end as src,
-               case when f = 'R' then src else dst end as dst, w from me0)
+        select case when f = last then dst else src end as src,
+               case when f = last then src else dst end as dst, w
+        from me0, (select max(l_returnflag) as last from lineitem))
       group by src, dst""",
     "merged_low_degree": f"with {_MERGED} select id from low",
     "merged_low_degree_edges": f"""with {_MERGED}
@@ -155,26 +169,24 @@ SQL.update({
     "merged_components": f"with {_MERGED} select * from {_components('me', 'mv')}",
     "merged_component_sizes": f"""with {_MERGED}
       select component, count(*) as size from {_components('me', 'mv')} group by component""",
-    "merged_component_lines": f"""with {_MERGED}
-      select component, cast(0 as bigint) as chunk, string_agg(cast(id as varchar), ', ' order by id) as members
-      from {_components('me', 'mv')} group by component""",
+    "merged_component_lines": f"with {_MERGED} {_component_lines(_components('me', 'mv'))}",
     "merged_gexf": f"""with {_MERGED}
       select * from (values
         (0, 0, 0, '<?xml version="1.0" encoding="UTF-8"?>'),
         (0, 1, 0, '<gexf xmlns="http://www.gexf.net/1.2draft" version="1.2">'),
-        (0, 2, 0, ' <graph mode="static" defaultedgetype="directed">'),
-        (0, 3, 0, '  <nodes>'),
+        (0, 2, 0, '<graph mode="static" defaultedgetype="directed">'),
+        (0, 3, 0, '<nodes>'),
         (2, 0, 0, '</nodes>'),
-        (2, 1, 0, '  <edges>'),
+        (2, 1, 0, '<edges>'),
         (4, 0, 0, '</edges>'),
-        (4, 1, 0, '        </graph>'),
-        (4, 2, 0, '      </gexf>')) t(section, k1, k2, line)
+        (4, 1, 0, '</graph>'),
+        (4, 2, 0, '</gexf>')) t(section, k1, k2, line)
       union all
-      select 1, id, 0, '  <node id="' || id || '" label="'
+      select 1, id, 0, '<node id="' || id || '" label="'
              || replace(replace(replace(replace(label, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')
              || '" />' from mv
       union all
-      select 3, src, dst, '  <edge source="' || src || '" target="' || dst || '" weight="' || weight || '"/>'
+      select 3, src, dst, '<edge source="' || src || '" target="' || dst || '" weight="' || weight || '"/>'
       from me""",
     "activity_edges": f"""with {_ACTIVITY}
       select ae.src, a.label as src_label, ae.dst, b.label as dst_label, ae.weight
@@ -190,18 +202,35 @@ SQL.update({
       select * from se where src in (select id from low) or dst in (select id from low)""",
     "supply_component_sizes": f"""with se as {_SE}, sv as {_SV}
       select component, count(*) as size from {_components('se', 'sv')} group by component""",
-    "supply_component_lines": f"""with se as {_SE}, sv as {_SV}
-      select component, cast(0 as bigint) as chunk, string_agg(cast(id as varchar), ', ' order by id) as members
-      from {_components('se', 'sv')} group by component""",
+    "supply_component_lines": f"with se as {_SE}, sv as {_SV} {_component_lines(_components('se', 'sv'))}",
 })
 
-_PAGE_FIELDS = """
-  select page_id,
-         regexp_extract(html, '<title>(.*?)</title>', 1) as title,
-         regexp_extract(html, '<h1>(.*?)</h1>', 1) as heading,
-         regexp_extract_all(html, '<li><a href="/[^"]*">([^<]*)</a></li>', 1) as tags,
-         regexp_extract_all(html, '<li><a href="/([^"]*)">', 1) as links
-  from pages"""
+
+
+def _decoded(text: str) -> str:
+    """Named entities decoded; ``&amp;`` last, so nothing is decoded twice."""
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "''"), ("#39", "''"), ("nbsp", "\u00a0"),
+                       ("amp", "&")):
+        text = f"replace({text}, '&{name};', '{char}')"
+    return text
+
+
+def _between(a: str, b: str) -> str:
+    """Text between the first ``a`` and the next ``b``; null without either."""
+    rest = f"substr(html, strpos(html, '{a}') + {len(a)})"
+    return f"""case when strpos(html, '{a}') > 0 and strpos({rest}, '{b}') > 0
+               then {_decoded(f"substr({rest}, 1, strpos({rest}, '{b}') - 1)")} end"""
+
+
+# List items are cut out by position, not with the query's patterns.
+_PAGE_FIELDS = f"""
+  select page_id, {_between('<title>', '</title>')} as title, {_between('<h1>', '</h1>')} as heading,
+         list_transform(items, lambda x: {_decoded("substr(x, strpos(x, '\">') + 2)")}) as tags,
+         list_transform(items, lambda x: {_decoded("substr(x, 1, strpos(x, '\">') - 1)")}) as links
+  from (select page_id, html,
+               list_transform(list_filter(string_split(html, '<li><a href="/')[2:], lambda x: strpos(x, '</a></li>') > 0),
+                              lambda x: substr(x, 1, strpos(x, '</a></li>') - 1)) as items
+        from pages)"""
 
 SQL.update({
     "page_fields": _PAGE_FIELDS,
@@ -254,7 +283,50 @@ SQL["page_tag_chunks"] = f"""
   select cast(i // 201 as bigint) as chunk, string_agg(tag, ' ' order by i) || ' ' as text
   from i group by chunk"""
 
+_MAP_ROWS = f"""
+  select *, (row_number() over (partition by window_start order by tag) - 1) // {MAP_KEYS} as part
+  from ({_SLIDING_COUNT})"""
 SQL["sliding_count_maps"] = f"""
-  select window_start, window_end, cast(0 as bigint) as part,
+  select window_start, window_end, part,
          '{{' || string_agg('"' || tag || '":' || cnt, ',' order by tag) || '}}' as json
-  from ({_SLIDING_COUNT}) group by window_start, window_end"""
+  from ({_MAP_ROWS}) group by window_start, window_end, part"""
+SQL["sliding_count_pairs"] = f"""
+  select window_start, window_end, part,
+         '[' || string_agg('{{"key":' || tag || ',"value":' || cnt || '}}', ',' order by tag) || ']' as json
+  from ({_MAP_ROWS}) group by window_start, window_end, part"""
+SQL["stream_sliding_batches"] = SQL["stream_sliding_count"]
+
+# Customers and their blocks of 12 by order priority, merged by label.
+_LOYALTY = f"""
+  occ as (select o_orderpriority as f, o_custkey as src, o_custkey // 12 + {_B} as dst, count(*) as w
+          from orders group by all having count(*) > 4),
+  vl as (select c_custkey as id, c_name as label from customer
+         where (c_custkey // 12) % 5 <> 0 or c_acctbal >= 2000
+         union all
+         select distinct c_custkey // 12 + {_B}, 'block ' || (c_custkey // 12) from customer
+         where (c_custkey // 12) % 5 <> 0),
+  lab as (select occ.w, coalesce(a.label, '') as sl, coalesce(b.label, '') as dl
+          from occ left join vl a on a.id = occ.src left join vl b on b.id = occ.dst),
+  lv as (select row_number() over (order by label) - 1 as id, label
+         from (select sl as label from lab union select dl from lab)),
+  le as (select va.id as src, vb.id as dst, cast(sum(w) as bigint) as weight
+         from lab join lv va on va.label = lab.sl join lv vb on vb.label = lab.dl group by all),
+  low as (select id from (select src as id from le union all select dst from le) group by id having count(*) <= 2)
+"""
+SQL.update({
+    "loyalty_edges": f"with {_LOYALTY} select src, dst, weight from le",
+    "loyalty_low_degree": f"with {_LOYALTY} select id from low",
+    "loyalty_low_degree_edges": f"""with {_LOYALTY}
+      select * from le where src in (select id from low) or dst in (select id from low)""",
+    "loyalty_low_degree_induced": f"""with {_LOYALTY}
+      select * from le where src in (select id from low) and dst in (select id from low)""",
+    "loyalty_components": f"with {_LOYALTY} select * from {_components('le', 'lv')}",
+    "loyalty_component_lines": f"with {_LOYALTY} {_component_lines(_components('le', 'lv'))}",
+    "type_counts_sorted": """
+      select event_type as tag, count(*) as cnt from events group by event_type order by cnt desc, tag""",
+    "window_value_stats": f"""
+      select make_timestamp((epoch_us(ts) // {_DAY_US}) * {_DAY_US}) as window_start,
+             make_timestamp((epoch_us(ts) // {_DAY_US}) * {_DAY_US}) + interval 1 day as window_end,
+             event_type, count(*) as n, max(value) as top, min(value) as low
+      from events group by all""",
+})

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from tagloom.operators import components, counting, graph, topk, windows
 from tagloom.operators.partitioning import spread
 from tagloom.plans import graph_inputs as gi
+from tagloom.plans.oracle import LINE_MEMBERS, MAP_KEYS
 from tagloom.session import scratch_path
 from tagloom.sinks import reports
 from tagloom.sinks.gexf import gexf_lines
-from tagloom.sinks.text import document_token_chunks, token_chunks
+from tagloom.sinks.text import document_token_chunks, list_token_chunks
 from tagloom.sources.lines import graph_from_lines
 from tagloom.sources.pages import extract_records
 from tagloom.sources.tables import table
@@ -28,6 +29,7 @@ from tagloom.streaming.sources import file_stream
 # seconds-long stream).
 DAY = "1 day"
 HALF_DAY = "12 hours"
+STREAM_SLICES = 3
 
 
 def documents(spark: SparkSession, sf_dir: str, *cols) -> DataFrame:
@@ -96,10 +98,28 @@ def q_sliding_topk_json(spark, sf_dir):
 
 def q_sliding_count_maps(spark, sf_dir):
     """Each window's user -> count map (keys ascending), as JSON text."""
-    maps = counting.counts_as_map(q_sliding_count(spark, sf_dir), ["window_start", "window_end"])
+    maps = counting.counts_as_map(q_sliding_count(spark, sf_dir), ["window_start", "window_end"], max_keys=MAP_KEYS)
     return maps.select("window_start", "window_end", "part", F.to_json("counts").alias("json"))
 
 
+def q_sliding_count_pairs(spark, sf_dir):
+    """The same as lists of (key, value) pairs."""
+    pairs = counting.counts_as_pairs(q_sliding_count(spark, sf_dir), ["window_start", "window_end"], max_keys=MAP_KEYS)
+    return pairs.select("window_start", "window_end", "part", F.to_json("pairs").alias("json"))
+
+
+def q_type_counts_sorted(spark, sf_dir):
+    """All event types, most frequent first (sort_desc)."""
+    ev = _events(spark, sf_dir).select(F.col("event_type").alias("tag"))
+    return topk.sort_desc(counting.count_values(ev))
+
+
+def q_window_value_stats(spark, sf_dir):
+    """Other aggregates per daily window and type (window_agg)."""
+    return windows.window_agg(_events(spark, sf_dir).select("ts", "event_type", "value"), "ts", DAY, None, ["event_type"],
+                              F.count(F.lit(1)).alias("n"), F.max("value").alias("top"), F.min("value").alias("low"))
+
+
 def q_type_window_report(spark, sf_dir):
     """Daily top-10 event types (only 5 exist) as the keyed report."""
     ranked = windows.window_top_k(_events(spark, sf_dir), "ts", "event_type", DAY, None, 10)
@@ -108,14 +128,6 @@ def q_type_window_report(spark, sf_dir):
 
 # --- streaming (availableNow into a fresh folder, then read back) ----------
 
-def _cores(spark) -> int | None:
-    """State partitions for the window streams: one per core."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return None
-
-
 def _stream_events(spark, sf_dir):
     return file_stream(spark, os.path.join(sf_dir, "events.parquet"))
 
@@ -123,21 +135,35 @@ def _stream_events(spark, sf_dir):
 def q_stream_sliding_count(spark, sf_dir):
     counts = windowed.window_counts(_stream_events(spark, sf_dir), "ts", "user_id", DAY, HALF_DAY)
     out, ck = scratch_path(spark, "stream-count"), scratch_path(spark, "stream-count-ckpt")
-    with windowed.state_partitions(spark, _cores(spark)):
-        q = windowed.start_to_parquet(counts, out, ck)
-    windowed.run_until_done(q)
+    windowed.run_until_done(windowed.start_to_parquet(counts, out, ck))
     return spark.read.parquet(out)
 
 
 def q_stream_sliding_top10(spark, sf_dir):
     counts = windowed.window_counts(_stream_events(spark, sf_dir), "ts", "user_id", DAY, HALF_DAY)
     out, ck = scratch_path(spark, "stream-top"), scratch_path(spark, "stream-top-ckpt")
-    with windowed.state_partitions(spark, _cores(spark)):
-        q = windowed.start_window_top_k(counts, out, ck, 10)
-    windowed.run_until_done(q)
+    windowed.run_until_done(windowed.start_window_top_k(counts, out, ck, 10))
     return spark.read.parquet(out).drop("batch_id")
 
 
+def q_stream_sliding_batches(spark, sf_dir):
+    """The same counts over several micro-batches: the events arrive as
+    ``STREAM_SLICES`` slices of their time span, each appended to a watched
+    folder and drained by a run of the stream that goes on from the same
+    checkpoint. Windows that span slices live on in the state."""
+    events = _events(spark, sf_dir).select("ts", "user_id")
+    src, out, ck = (scratch_path(spark, f"stream-batches-{x}") for x in ("in", "out", "ckpt"))
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) / STREAM_SLICES
+    for i in range(STREAM_SLICES):
+        late = F.col("ts") >= F.lit(lo + i * step)
+        early = F.lit(True) if i == STREAM_SLICES - 1 else F.col("ts") < F.lit(lo + (i + 1) * step)
+        events.filter(late & early).write.mode("append").parquet(src)
+        counts = windowed.window_counts(file_stream(spark, src, schema=events.schema), "ts", "user_id", DAY, HALF_DAY)
+        windowed.run_until_done(windowed.start_to_parquet(counts, out, ck))
+    return spark.read.parquet(out)
+
+
 def q_stream_interval_top10(spark, sf_dir):
     """Micro-batch word count + top 10 over documents read as a stream."""
     lines = _lines(file_stream(spark, os.path.join(sf_dir, "documents.parquet")))
@@ -177,7 +203,7 @@ def q_supply_component_sizes(spark, sf_dir):
 
 
 def q_supply_component_lines(spark, sf_dir):
-    return components.isolated_groups(q_supply_components(spark, sf_dir))
+    return components.isolated_groups(q_supply_components(spark, sf_dir), LINE_MEMBERS)
 
 
 def q_supply_subgraph(spark, sf_dir):
@@ -197,7 +223,7 @@ def q_supply_lines_triplets(spark, sf_dir):
 # --- merged graph (three lineitem slices merged by label) ------------------
 
 def q_merged_vertices(spark, sf_dir):
-    return gi.merged_supply_graph(spark, sf_dir).vertices
+    return graph.merged_vertices(gi.supply_slices(spark, sf_dir)[0])
 
 
 def q_merged_edges(spark, sf_dir):
@@ -229,13 +255,39 @@ def q_merged_component_sizes(spark, sf_dir):
 
 
 def q_merged_component_lines(spark, sf_dir):
-    return components.isolated_groups(q_merged_components(spark, sf_dir))
+    return components.isolated_groups(q_merged_components(spark, sf_dir), LINE_MEMBERS)
 
 
 def q_merged_gexf(spark, sf_dir):
     return gexf_lines(gi.merged_supply_graph(spark, sf_dir))
 
 
+# --- loyalty graph (orders: customer buys in its block) ----------------------
+
+def q_loyalty_edges(spark, sf_dir):
+    return gi.loyalty_graph(spark, sf_dir).edges
+
+
+def q_loyalty_low_degree(spark, sf_dir):
+    return graph.low_degree_vertices(gi.loyalty_graph(spark, sf_dir))
+
+
+def q_loyalty_low_degree_edges(spark, sf_dir):
+    return graph.low_degree_subgraph(gi.loyalty_graph(spark, sf_dir)).edges
+
+
+def q_loyalty_low_degree_induced(spark, sf_dir):
+    return graph.low_degree_induced(gi.loyalty_graph(spark, sf_dir)).edges
+
+
+def q_loyalty_components(spark, sf_dir):
+    return components.connected_components(gi.loyalty_graph(spark, sf_dir))
+
+
+def q_loyalty_component_lines(spark, sf_dir):
+    return components.isolated_groups(q_loyalty_components(spark, sf_dir), LINE_MEMBERS)
+
+
 # --- activity graph (events: user did event type) --------------------------
 
 def q_activity_edges(spark, sf_dir):
@@ -259,8 +311,7 @@ def q_page_tag_top10(spark, sf_dir):
 
 def q_page_tag_chunks(spark, sf_dir):
     """Page tags in (page_id, position) order, 201 per chunk file."""
-    tags = q_page_fields(spark, sf_dir).select("page_id", F.posexplode("tags").alias("pos", "tag"))
-    return token_chunks(tags, ["page_id", "pos"])
+    return list_token_chunks(q_page_fields(spark, sf_dir).select("page_id", "tags"), "page_id", "tags")
 
 
 QUERIES = {
@@ -303,5 +354,15 @@ QUERIES = {
     "page_tag_top10": q_page_tag_top10,
     "page_tag_chunks": q_page_tag_chunks,
     "token_chunks": q_token_chunks,
+    "sliding_count_pairs": q_sliding_count_pairs,
+    "type_counts_sorted": q_type_counts_sorted,
+    "window_value_stats": q_window_value_stats,
+    "stream_sliding_batches": q_stream_sliding_batches,
+    "loyalty_edges": q_loyalty_edges,
+    "loyalty_low_degree": q_loyalty_low_degree,
+    "loyalty_low_degree_edges": q_loyalty_low_degree_edges,
+    "loyalty_low_degree_induced": q_loyalty_low_degree_induced,
+    "loyalty_components": q_loyalty_components,
+    "loyalty_component_lines": q_loyalty_component_lines,
     "type_window_report": q_type_window_report,
 }

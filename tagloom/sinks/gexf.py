@@ -16,11 +16,11 @@ from tagloom.operators.graph import Graph
 GEXF_HEAD = [
     '<?xml version="1.0" encoding="UTF-8"?>',
     '<gexf xmlns="http://www.gexf.net/1.2draft" version="1.2">',
-    ' <graph mode="static" defaultedgetype="directed">',
-    '  <nodes>',
+    '<graph mode="static" defaultedgetype="directed">',
+    '<nodes>',
 ]
-GEXF_MIDDLE = ['</nodes>', '  <edges>']
-GEXF_TAIL = ['</edges>', '        </graph>', '      </gexf>']
+GEXF_MIDDLE = ['</nodes>', '<edges>']
+GEXF_TAIL = ['</edges>', '</graph>', '</gexf>']
 
 
 def xml_escape(c: Column) -> Column:
@@ -44,11 +44,11 @@ def gexf_lines(g: Graph) -> DataFrame:
     spark = g.vertices.sparkSession
     nodes = g.vertices.select(
         F.lit(1).alias("section"), F.col("id").alias("k1"), F.lit(0).cast("bigint").alias("k2"),
-        F.concat(F.lit('  <node id="'), F.col("id").cast("string"), F.lit('" label="'),
+        F.concat(F.lit('<node id="'), F.col("id").cast("string"), F.lit('" label="'),
                  xml_escape(F.coalesce(F.col("label"), F.lit(""))), F.lit('" />')).alias("line"))
     edges = g.edges.select(
         F.lit(3).alias("section"), F.col("src").alias("k1"), F.col("dst").alias("k2"),
-        F.concat(F.lit('  <edge source="'), F.col("src").cast("string"), F.lit('" target="'),
+        F.concat(F.lit('<edge source="'), F.col("src").cast("string"), F.lit('" target="'),
                  F.col("dst").cast("string"), F.lit('" weight="'), F.col("weight").cast("string"),
                  F.lit('"/>')).alias("line"))
     return _fixed(spark).unionByName(nodes).unionByName(edges)

@@ -25,20 +25,28 @@ def token_chunks(tokens: DataFrame, order_cols: list, token_col: str = "tag",
 def document_token_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           per_chunk: int = TOKENS_PER_CHUNK) -> DataFrame:
     """``token_chunks`` of every document's blank-split tokens, in
-    (document id, position) order.
-
-    A document's first token has the global index ``offset`` (running
-    total of token counts over the documents before it, computed on one
-    row per document). Knowing it, each document cuts its own token array
-    into the pieces that fall into each chunk (array slices, no row per
-    token); a chunk then joins its pieces (at most ``per_chunk``) in
-    offset order.
+    (document id, position) order."""
+    return _array_chunks(docs.select(id_col, F.col(text_col).alias("_src")), id_col, blank_split("_src"), per_chunk)
+
+
+def list_token_chunks(rows: DataFrame, id_col: str, list_col: str,
+                      per_chunk: int = TOKENS_PER_CHUNK) -> DataFrame:
+    """``token_chunks`` of token lists, in (id, list position) order."""
+    return _array_chunks(rows.select(id_col, F.col(list_col).alias("_src")), id_col, F.col("_src"), per_chunk)
+
+
+def _array_chunks(rows: DataFrame, id_col: str, tokens, per_chunk: int) -> DataFrame:
+    """Chunks of the token arrays that ``tokens`` gives on column ``_src``.
+
+    The rows are range-partitioned by id once and carry their source along;
+    a row's first token has the global index ``_off`` (running total of
+    token counts). Knowing it, each row cuts its own tokens into the pieces
+    that fall into each chunk (array slices, no row per token, no join),
+    and a chunk joins its pieces (at most ``per_chunk``) in offset order.
     """
     P = F.lit(per_chunk)
-    toks = docs.select(id_col, blank_split(text_col).alias("_t"))
-    sized = toks.select(id_col, F.size("_t").alias("_n"))
-    offs = weighted_offsets(sized.filter(F.col("_n") > 0), [id_col], "_n", "_off")
-    cut = (toks.join(offs.select(id_col, "_off", "_n"), id_col)
+    sized = rows.withColumn("_n", F.size(tokens)).filter(F.col("_n") > 0)
+    cut = (weighted_offsets(sized, [id_col], "_n", "_off").withColumn("_t", tokens)
            .withColumn("_c", F.sequence(F.floor(F.col("_off") / P),
                                         F.floor((F.col("_off") + F.col("_n") - 1) / P))))
 
@@ -62,9 +70,14 @@ def _chunks(idx: DataFrame, token_col: str, per_chunk: int) -> DataFrame:
                                       F.lit(" ")).alias("text")))
 
 
-def write_token_chunks(chunks: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One folder per chunk (``chunk=N``); ``mode="append"`` adds to it."""
-    chunks.write.mode(mode).partitionBy("chunk").text(path)
+def write_token_chunks(chunks: DataFrame, path: str, mode: str = "overwrite", folders: bool = False) -> None:
+    """Chunk rows (``chunk, text``) as JSON lines in part files. With
+    ``folders`` each chunk gets a text folder of its own (``chunk=N``): for
+    few chunks only, since it makes one file per 201 tokens."""
+    if folders:
+        chunks.write.mode(mode).partitionBy("chunk").text(path)
+    else:
+        chunks.write.mode(mode).json(path)
 
 
 def write_components(components: DataFrame, path: str, max_members_per_line: int = 10000) -> None:
@@ -73,10 +86,6 @@ def write_components(components: DataFrame, path: str, max_members_per_line: int
     lines.orderBy("component", "chunk").select("members").write.mode("overwrite").text(path)
 
 
-def write_lines(df: DataFrame, col: str, path: str) -> None:
-    df.select(F.col(col).cast("string")).write.mode("overwrite").text(path)
-
-
 def write_records(df: DataFrame, path: str, fmt: str = "json") -> None:
     """Persist records (JSON lines by default; parquet also fine)."""
     df.write.mode("overwrite").format(fmt).save(path)

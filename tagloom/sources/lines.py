@@ -1,7 +1,8 @@
 """Line files: vertex files ("id label") and edge files ("src dst").
 
-Parsing never fails the job: a line with a bad id or too few fields
-goes to a reject table instead (``try_cast`` / ``get`` return null).
+A line with a bad id or too few fields goes to a reject table
+(``try_cast`` / ``get`` return null); building a graph writes that table
+or fails.
 """
 
 from __future__ import annotations
@@ -70,22 +71,36 @@ def edges_from_lines(lines: DataFrame, num: int, raw_line: bool = False,
     return Parsed(edges, p.rejects)
 
 
+class RejectedLines(ValueError):
+    """Lines that could not be parsed, when no place for them was given."""
+
+
 def graph_from_lines(vertex_lines: DataFrame, edge_lines: DataFrame, num: int,
-                     raw_line: bool = False, materialize: bool = True) -> Graph:
+                     raw_line: bool = False, materialize: bool = True,
+                     rejects: str | None = None) -> Graph:
     """Vertex lines + edge occurrence lines -> thresholded, labelled graph.
 
-    The thresholded edges are checkpointed (``materialize``): the vertex
-    set and every later view read them instead of re-counting the lines.
+    Lines that cannot be parsed are written to the folder ``rejects``
+    (``kind=vertex`` and ``kind=edge``); without it any such line raises
+    ``RejectedLines``. The thresholded edges are checkpointed
+    (``materialize``): the vertex set and every later view read them
+    instead of re-counting the lines.
     """
-    v = parse_vertices(vertex_lines).rows
-    e = edges_from_lines(edge_lines, num, raw_line).rows
-    if materialize:
-        e = checkpoint(e)
-    return Graph(attach_labels(from_edges(e), v), e)
+    v, e = parse_vertices(vertex_lines), edges_from_lines(edge_lines, num, raw_line)
+    bad = (v.rejects.select(F.lit("vertex").alias("kind"), "line")
+           .unionAll(e.rejects.select(F.lit("edge").alias("kind"), "line")))
+    if rejects is not None:
+        bad.write.mode("overwrite").partitionBy("kind").text(rejects)
+    else:
+        first = bad.take(1)
+        if first:
+            raise RejectedLines(f"{first[0]['kind']} line cannot be parsed: {first[0]['line']!r}")
+    edges = checkpoint(e.rows) if materialize else e.rows
+    return Graph(attach_labels(from_edges(edges), v.rows), edges)
 
 
 def graph_from_files(spark: SparkSession, vertex_path: str, edge_path: str, num: int,
-                     raw_line: bool = False) -> Graph:
+                     raw_line: bool = False, rejects: str | None = None) -> Graph:
     """Vertex file + edge occurrence file -> thresholded, labelled graph."""
     return graph_from_lines(read_lines(spark, vertex_path), read_lines(spark, edge_path),
-                            num, raw_line)
+                            num, raw_line, rejects=rejects)

@@ -8,7 +8,7 @@ question of a listing page).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Patterns for the `pages` table markup.
@@ -31,10 +31,36 @@ QUESTION_FIELDS = {
 }
 
 
+# The named entities that are decoded, and their code points.
+ENTITIES = {"amp": 38, "lt": 60, "gt": 62, "quot": 34, "apos": 39, "nbsp": 160}
+_ENTITY = "&(?=#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|(?:" + "|".join(ENTITIES) + ");)"
+
+
+def decode_entities(c: Column) -> Column:
+    """Text with ``&name;`` (``ENTITIES``), ``&#N;`` and ``&#xN;`` decoded
+    once; anything else that starts with ``&`` stays as it is."""
+    pieces = F.split(c, _ENTITY, -1)
+    named = F.create_map(*(F.lit(x) for k, v in ENTITIES.items() for x in (k, v)))
+
+    def decoded(p):
+        name = F.substring_index(p, ";", 1)
+        hexed = F.conv(F.regexp_extract(name, "^#[xX](.+)$", 1), 16, 10)
+        code = F.coalesce(F.try_element_at(named, name), F.nullif(hexed, F.lit("")).cast("int"),
+                          F.nullif(F.regexp_extract(name, "^#([0-9]+)$", 1), F.lit("")).cast("int"))
+        ok = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(ok, F.concat(char, p.substr(F.length(name) + 2, F.length(p)))).otherwise(F.concat(F.lit("&"), p))
+
+    rest = F.transform(F.slice(pieces, 2, F.size(pieces)), decoded)
+    return F.when(~c.contains("&"), c).otherwise(F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, "")))
+
+
 def _extract(c, pattern: str, kind: str):
+    """Decoded text of the first match (null if the field is absent), or of
+    all matches."""
     if kind == "all":
-        return F.regexp_extract_all(c, F.lit(pattern), 1)
-    return F.regexp_extract(c, pattern, 1)
+        return F.transform(F.regexp_extract_all(c, F.lit(pattern), 1), decode_entities)
+    return F.when(c.rlike(pattern), decode_entities(F.regexp_extract(c, pattern, 1)))
 
 
 def extract_records(pages: DataFrame, fields: dict = PAGE_FIELDS, html_col: str = "html",
@@ -43,8 +69,9 @@ def extract_records(pages: DataFrame, fields: dict = PAGE_FIELDS, html_col: str
     """One row per page (or per block), one column per field pattern.
 
     With ``block_pattern`` the page is split before each match and the
-    text before the first block is dropped; ``max_blocks`` keeps only the
-    first blocks of each page (a listing page shows 50 questions).
+    text before the first block is dropped; every block of a page is kept
+    unless ``max_blocks`` is given. An absent field is null (``one``) or an
+    empty list (``all``); entities in extracted text are decoded.
     """
     keep = keep if keep is not None else ["page_id"]
     if block_pattern:
@@ -62,5 +89,5 @@ def extract_records(pages: DataFrame, fields: dict = PAGE_FIELDS, html_col: str
 
 def extract_questions(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Question rows of listing pages; ``views`` digits without commas."""
-    q = extract_records(pages, QUESTION_FIELDS, html_col, QUESTION_BLOCK, 50)
+    q = extract_records(pages, QUESTION_FIELDS, html_col, QUESTION_BLOCK)
     return q.withColumn("views", F.replace(F.col("views"), F.lit(","), F.lit("")))

@@ -74,40 +74,68 @@ def start_to_parquet(stream_df: DataFrame, out: str, checkpoint: str,
             .trigger(**trigger).start())
 
 
-def start_window_top_k(counts: DataFrame, out: str, checkpoint: str, k: int = 10,
-                       trigger: dict | None = None):
-    """Top-k tags of each window as it closes, written per micro-batch.
+def start_window_outputs(counts: DataFrame, checkpoint: str, k: int = 10, rows: str | None = None,
+                         report: str | None = None, keyed: bool = False, chart: str | None = None,
+                         trigger: dict | None = None):
+    """Top-k of each window as it closes, to any of several outputs.
+
+    One query reads the source and keeps the window state once; its
+    micro-batches are ranked once and written to
+
+    * ``rows``: the ranked rows as Parquet, ``batch_id=N`` folders;
+    * ``report``: the text report, oldest window first, ``batch_id=N``
+      folders (``keyed``: the variant that names the window end);
+    * ``chart``: the chart JSON of the newest closed window, in place.
 
-    Each batch is written to ``out/batch_id=N`` with overwrite, so a
-    batch replayed after a failure replaces its own output.
+    Folders are overwritten, so a batch replayed after a failure replaces
+    its own output. A failing output fails the query.
     """
+    from tagloom.sinks.reports import keyed_topk_report, topk_json, topk_report
     trigger = trigger or {"availableNow": True}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         ranked = group_top_k(batch, ["window_start", "window_end"], k)
-        ranked.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        several = (rows is not None) + (report is not None) + 2 * (chart is not None) > 1
+        if several:         # rank the micro-batch once, not once per output
+            ranked = ranked.persist()
+        try:
+            if rows is not None:
+                ranked.write.mode("overwrite").parquet(f"{rows}/batch_id={batch_id}")
+            if report is not None:
+                rep = (keyed_topk_report(ranked) if keyed
+                       else topk_report(ranked, ["window_start", "window_end"]))
+                (rep.orderBy("window_end").select("report")
+                 .write.mode("overwrite").text(f"{report}/batch_id={batch_id}"))
+            if chart is not None:
+                newest = ranked.groupBy().agg(F.max("window_end").alias("_last"))
+                latest = ranked.join(newest, F.col("window_end") == F.col("_last")).drop("_last")
+                out = topk_json(latest, ["window_end"]).select("json")
+                if not out.isEmpty():
+                    out.coalesce(1).write.mode("overwrite").text(chart)
+        finally:
+            if several:
+                ranked.unpersist()
 
     return (counts.writeStream.outputMode("append").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
+def start_window_top_k(counts: DataFrame, out: str, checkpoint: str, k: int = 10,
+                       trigger: dict | None = None):
+    """Ranked rows of each closed window (see ``start_window_outputs``)."""
+    return start_window_outputs(counts, checkpoint, k, rows=out, trigger=trigger)
+
+
 def start_window_report(counts: DataFrame, out: str, checkpoint: str, k: int = 10,
                         keyed: bool = False, trigger: dict | None = None):
-    """The text report of each closed window, written per micro-batch
-    (``out/batch_id=N``, one line block per window, oldest first).
-    ``keyed=True`` gives the variant that names the window end."""
-    from tagloom.sinks.reports import keyed_topk_report, topk_report
-    trigger = trigger or {"availableNow": True}
+    """Text report of each closed window (see ``start_window_outputs``)."""
+    return start_window_outputs(counts, checkpoint, k, report=out, keyed=keyed, trigger=trigger)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        ranked = group_top_k(batch, ["window_start", "window_end"], k)
-        rep = (keyed_topk_report(ranked) if keyed
-               else topk_report(ranked, ["window_start", "window_end"]))
-        (rep.orderBy("window_end").select("report")
-         .write.mode("overwrite").text(f"{out}/batch_id={batch_id}"))
 
-    return (counts.writeStream.outputMode("append").foreachBatch(write)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+def start_chart_feed(counts: DataFrame, path: str, checkpoint: str, k: int = 10,
+                     trigger: dict | None = None):
+    """Chart JSON of the newest closed window (see ``start_window_outputs``)."""
+    return start_window_outputs(counts, checkpoint, k, chart=path, trigger=trigger)
 
 
 def start_interval_top_k(lines: DataFrame, out: str, checkpoint: str, k: int = 10,
@@ -135,32 +163,6 @@ def tag_events(lines: DataFrame, text_col: str = "value", time_col: str | None =
     return tokenize(lines.select(text_col, t.alias("ts")), text_col, keep=["ts"])
 
 
-def start_chart_feed(counts: DataFrame, path: str, checkpoint: str, k: int = 10,
-                     trigger: dict | None = None):
-    """Keep ``path`` holding the chart JSON of the newest closed window.
-
-    Each micro-batch ranks its closed windows, keeps the newest one and
-    overwrites ``path`` with its ``[{"name","count"}...]`` array.
-    """
-    from tagloom.sinks.reports import topk_json
-    trigger = trigger or {"availableNow": True}
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # read twice below: keep the micro-batch instead of re-running it
-        ranked = group_top_k(batch, ["window_start", "window_end"], k).persist()
-        try:
-            newest = ranked.groupBy().agg(F.max("window_end").alias("_last"))
-            latest = ranked.join(newest, F.col("window_end") == F.col("_last")).drop("_last")
-            out = topk_json(latest, ["window_end"]).select("json")
-            if not out.isEmpty():
-                out.coalesce(1).write.mode("overwrite").text(path)
-        finally:
-            ranked.unpersist()
-
-    return (counts.writeStream.outputMode("append").foreachBatch(write)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
-
-
 def late_row_report(batch_counts: DataFrame, stream_counts: DataFrame) -> DataFrame:
     """Windows/tags the stream counted lower than a batch run over the same
     input: ``dropped`` = rows lost to the watermark."""

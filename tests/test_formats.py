@@ -68,8 +68,10 @@ def test_token_chunks_201_per_file(spark, tmpdir_path):
         assert [len(r["text"].split(" ")) - 1 for r in chunks] == want
         assert chunks[0]["text"].startswith("t0 t1 t2 ") and chunks[0]["text"].endswith(" ")
     out = tmpdir_path + "/tags"
-    write_token_chunks(token_chunks(toks, ["doc", "pos"]), out)
+    write_token_chunks(token_chunks(toks, ["doc", "pos"]), out, folders=True)
     assert sorted(p.rsplit("/", 1)[1] for p in glob.glob(out + "/chunk=*")) == ["chunk=0", "chunk=1"]
+    write_token_chunks(token_chunks(toks, ["doc", "pos"]), out + "-rows")
+    assert sorted(r["chunk"] for r in spark.read.json(out + "-rows").collect()) == [0, 1]
 
 
 def test_component_lines_split_big_components(spark):

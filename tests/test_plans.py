@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tagloom.plans.queries import QUERIES
 
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 
@@ -13,7 +14,7 @@ def _plan(df):
     return qe.executedPlan().toString() + "\n" + qe.optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(k for k in E.queries() if not k.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(k for k in QUERIES if not k.startswith("stream_")))
 def test_no_cross_join_or_row_udf(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     for op in BANNED:
