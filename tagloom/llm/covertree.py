@@ -10,9 +10,9 @@ starts with the pair (root, root) and replaces pairs by the pairs of their
 children, an equi-join a level; a pair is pruned if the distance of its
 centres exceeds both radii plus the threshold.
 
-A pair of leaf cells is one row, whose task builds a cover tree in numpy on
-each side (nested levels whose radii halve) and walks both together with
-the same bound; leaves are compared by matrix products. It returns link
+Every leaf cell gets a cover tree in numpy, once (nested levels whose radii
+halve). A pair of leaf cells is one row, whose task walks both trees
+together with the same bound; leaves are compared by matrix products. It returns link
 counts per class and the edges of a spanning forest, so the number of
 linked pairs is never a number of rows.
 """
@@ -50,66 +50,102 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 # --- numpy cover tree -------------------------------------------------------------
 
-class _Node:
-    """``points`` are row numbers; a leaf has no children."""
-    __slots__ = ("center", "radius", "points", "children")
-
-    def __init__(self, center, radius, points, children):
-        self.center, self.radius, self.points, self.children = center, radius, points, children
-
-
-def build(x: np.ndarray, points: np.ndarray, level: float = 2.0) -> _Node:
-    """Cover tree over rows ``points`` of ``x``: the node's centre is its
-    first point, and its children are a net of half the level's radius."""
-    center = points[0]
-    radius = float(_distance(x[points], x[center][None])[:, 0].max())
-    while level / 2 >= radius > 0:
-        level /= 2
-    if len(points) <= LEAF or radius == 0:
-        return _Node(center, radius, points, [])
-    half, rest, children = level / 2, points, []
-    while len(rest):
-        near = _distance(x[rest], x[rest[0]][None])[:, 0] <= half
-        near[0] = True
-        children.append((rest[near], half))
-        rest = rest[~near]
-    if len(children) > len(points) // 2:      # a net of almost all points separates nothing below
-        return _Node(center, radius, points, [_Node(p[0], float(_distance(x[p], x[p[0]][None]).max()), p, [])
-                                              for p, _ in children])
-    return _Node(center, radius, points, [build(x, p, h) for p, h in children])
-
-
-def dual_links(x: np.ndarray, a: _Node, y: np.ndarray, b: _Node, cosine: float):
-    """(rows of x, rows of y) arrays of linked vectors of two trees."""
+class Tree:
+    """Cover tree over the rows of ``x``, which it puts in its own order.
+
+    Node i covers rows ``lo[i]`` to ``hi[i]``; its centre is row ``lo[i]``,
+    all its rows lie within ``radius[i]`` of it, and its children are nodes
+    ``first[i]`` to ``end[i]`` (none: a leaf). Node 0 is the root.
+    """
+
+    def __init__(self, x, order, lo, hi, radius, first, end):
+        self.x, self.order = x, order
+        self.lo, self.hi, self.radius, self.first, self.end = lo, hi, radius, first, end
+        self.center = x[lo]
+        self.leaf = first == end
+
+    @classmethod
+    def build(cls, x: np.ndarray) -> "Tree":
+        """Each node's children are a net of half the level's radius; rows
+        that such a net does not gather stay together in one leaf."""
+        order = np.arange(len(x))
+        nodes = [[0, len(x), 0.0, 0, 0]]
+        levels = [2.0]
+        i = 0
+        while i < len(nodes):
+            lo, hi = nodes[i][:2]
+            rows, level = order[lo:hi].copy(), levels[i]
+            d = _distance(x[rows], x[rows[:1]])[:, 0]
+            nodes[i][2] = radius = float(d.max())
+            while level / 2 >= radius > 0:
+                level /= 2
+            if len(rows) > LEAF and radius > 0:
+                half, rest, parts = level / 2, rows, []
+                while len(rest):
+                    near = d <= half if not parts else _distance(x[rest], x[rest[:1]])[:, 0] <= half
+                    near[0] = True
+                    parts.append(rest[near])
+                    rest = rest[~near]
+                    if len(parts) % 32 == 0 and len(rows) - len(rest) < 2 * len(parts):
+                        break
+                if len(rest):       # the net gathers next to nothing
+                    single = [p for p in parts if len(p) == 1]
+                    parts = [p for p in parts if len(p) > 1] + [np.concatenate([*single, rest])]
+                if len(parts) > 1:
+                    nodes[i][3], nodes[i][4] = len(nodes), len(nodes) + len(parts)
+                    order[lo:hi] = np.concatenate(parts)
+                    for p in parts:
+                        nodes.append([lo, lo + len(p), 0.0, 0, 0])
+                        levels.append(half)
+                        lo += len(p)
+            i += 1
+        lo, hi, radius, first, end = (np.array(c) for c in zip(*nodes, strict=True))
+        return cls(x[order], order, lo, hi, radius, first, end)
+
+    def dump(self) -> bytes:
+        table = np.stack([self.lo, self.hi, self.first, self.end]).astype(np.int64)
+        return np.int64(len(self.lo)).tobytes() + table.tobytes() + self.radius.tobytes()
+
+    @classmethod
+    def load(cls, x: np.ndarray, data: bytes) -> "Tree":
+        """The tree of rows that are already in its order."""
+        n = int(np.frombuffer(data, np.int64, 1)[0])
+        lo, hi, first, end = np.frombuffer(data, np.int64, 4 * n, 8).reshape(4, n)
+        return cls(x, None, lo, hi, np.frombuffer(data, np.float64, n, 8 + 32 * n), first, end)
+
+
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    n = hi - lo
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def dual_links(a: Tree, b: Tree, cosine: float):
+    """(rows of a, rows of b) arrays of linked vectors."""
     reach = float(np.sqrt(2 - 2 * cosine)) + _SLACK
-    stack = [([a], [b])]
+    stack = [(np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while stack:
         left, right = stack.pop()
-        d = _distance(x[[n.center for n in left]], y[[n.center for n in right]])
-        d -= np.array([n.radius for n in left])[:, None]
-        d -= np.array([n.radius for n in right])
-        for i, j in _grouped(np.nonzero(d <= reach)):
-            n, others = left[i], [right[k] for k in j]
-            leaves = [m for m in others if not m.children]
-            inner = [m for m in others if m.children]
-            if n.children:
-                if leaves:
-                    stack.append((n.children, leaves))
-            elif leaves:
-                q = np.concatenate([m.points for m in leaves])
-                p, k = np.nonzero(x[n.points] @ y[q].T >= cosine)
+        d = _distance(a.center[left], b.center[right])
+        d -= a.radius[left][:, None]
+        d -= b.radius[right]
+        i, j = np.nonzero(d <= reach)
+        cut = np.flatnonzero(np.diff(i)) + 1
+        for part in np.split(np.arange(len(i)), cut):
+            if not len(part):
+                continue
+            n, others = int(left[i[part[0]]]), right[j[part]]
+            leaf = b.leaf[others]
+            leaves, inner = others[leaf], others[~leaf]
+            below = np.array([n]) if a.leaf[n] else np.arange(a.first[n], a.end[n])
+            if len(leaves) and not a.leaf[n]:
+                stack.append((below, leaves))
+            elif len(leaves):
+                q = _ranges(b.lo[leaves], b.hi[leaves])
+                p, k = np.nonzero(a.x[a.lo[n]:a.hi[n]] @ b.x[q].T >= cosine)
                 if len(p):
-                    yield n.points[p], q[k]
-            for m in inner:
-                stack.append((n.children or [n], m.children))
-
-
-def _grouped(pairs):
-    rows, cols = pairs
-    cut = np.flatnonzero(np.diff(rows)) + 1
-    for r, c in zip(np.split(rows, cut), np.split(cols, cut), strict=True):
-        if len(r):
-            yield int(r[0]), c
+                    yield p + a.lo[n], q[k]
+            if len(inner):
+                stack.append((below, _ranges(b.first[inner], b.end[inner])))
 
 
 # --- Spark -------------------------------------------------------------------------
@@ -253,28 +289,44 @@ def cell_pairs(tree: DataFrame, cosine: float) -> DataFrame:
         done = done.unionAll(pairs.filter("leaf_a and leaf_b"))
 
 
+CELL_SCHEMA = "cell long, cids array<long>, copies array<long>, x binary, tree binary"
+
+
+def _planted(batches):
+    """Leaf cells with their cover trees, built once per cell."""
+    for b in batches:
+        for cell, m in zip(b.column(0), b.column(1), strict=True):
+            v = m.values
+            tree = Tree.build(_vectors(v.field(1).to_pylist()))
+            order = pa.array(tree.order)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([cell.as_py()], pa.int64()), pa.array([v.field(0).take(order).to_pylist()], pa.list_(pa.int64())),
+                 pa.array([v.field(2).take(order).to_pylist()], pa.list_(pa.int64())),
+                 pa.array([tree.x.tobytes()], pa.binary()), pa.array([tree.dump()], pa.binary())],
+                names=["cell", "cids", "copies", "x", "tree"])
+
+
 def _compare(cosine: float):
+    def side(c):
+        c = c.as_py()
+        cids = np.array(c["cids"], np.int64)
+        return cids, np.array(c["copies"], np.int64), Tree.load(np.frombuffer(c["x"]).reshape(len(cids), -1), c["tree"])
+
     def run(batches):
         for b in batches:
             out_x, out_y, out_n = [], [], []
             for same, xs, ys in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-                xs = xs.values
-                cx, mx, x = np.asarray(xs.field(0)), np.asarray(xs.field(2)), _vectors(xs.field(1).to_pylist())
-                tx = build(x, np.arange(len(x)))
-                if same:
-                    cy, my, y, ty = cx, mx, x, tx
-                else:
-                    ys = ys.values
-                    cy, my, y = np.asarray(ys.field(0)), np.asarray(ys.field(2)), _vectors(ys.field(1).to_pylist())
-                    ty = build(y, np.arange(len(y)))
+                cx, mx, tx = side(xs)
+                cy, my, ty = (cx, mx, tx) if same else side(ys)
                 nx, ny = np.zeros(len(cx), np.int64), np.zeros(len(cy), np.int64)
-                parent = np.arange(len(cx) + (0 if same else len(cy)))
-                for i, j in dual_links(x, tx, y, ty, cosine):
+                every = cx if same else np.concatenate([cx, cy])
+                parent = np.arange(len(every))
+                for i, j in dual_links(tx, ty, cosine):
                     if same:
                         keep = i < j            # the pair of a cell with itself meets each link twice
                         i, j = i[keep], j[keep]
-                    np.add.at(nx, i, my[j])
-                    np.add.at(ny, j, mx[i])
+                    nx += np.bincount(i, my[j], len(nx)).astype(np.int64)
+                    ny += np.bincount(j, mx[i], len(ny)).astype(np.int64)
                     for p, q in zip(i.tolist(), (j if same else j + len(cx)).tolist(), strict=True):
                         while parent[p] != p:
                             parent[p] = parent[parent[p]]
@@ -284,7 +336,6 @@ def _compare(cosine: float):
                             q = parent[q]
                         if p != q:
                             parent[max(p, q)] = min(p, q)
-                            every = cx if same else np.concatenate([cx, cy])
                             out_x.append(int(every[p]))
                             out_y.append(int(every[q]))
                             out_n.append(0)
@@ -312,10 +363,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     keyed, one = classes(vectors, id_col, vector_col)
     cells, tree = upper_tree(one)
     pairs = common.written(cell_pairs(tree, cosine), "vec-cell-pairs")
-    held = common.written(cells.groupBy("cell").agg(F.collect_list(F.struct("cid", "raw", "copies")).alias("m")),
-                          "vec-held")
-    both = (pairs.join(held.toDF("a", "xs"), "a")
-            .join(held.toDF("b", "ys"), "b")
+    held = common.written(cells.groupBy("cell").agg(F.collect_list(F.struct("cid", "raw", "copies")).alias("m"))
+                          .mapInArrow(_planted, CELL_SCHEMA), "vec-held")
+    held = held.select("cell", F.struct("cids", "copies", "x", "tree").alias("side"))
+    both = (pairs.join(held.toDF("a", "xs"), "a").join(held.toDF("b", "ys"), "b")
             .select((F.col("a") == F.col("b")).alias("same"), "xs", "ys"))
     n = max(1, common.shuffle_partitions(vectors.sparkSession))
     found = common.written(both.repartition(n).mapInArrow(_compare(cosine), "x long, y long, n long"), "vec-found")
