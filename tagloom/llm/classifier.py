@@ -197,6 +197,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
             names=["table", "layer"])
 
     got = rows.repartition(1).mapInArrow(run, "table binary, layer binary").collect()
+    if not got:
+        return Model(np.zeros((ROWS, DIM), np.float32), np.zeros((DIM, 2), np.float32))
     return Model(np.frombuffer(got[0]["table"], np.float32).reshape(ROWS, DIM),
                  np.frombuffer(got[0]["layer"], np.float32).reshape(DIM, 2))
 

@@ -1,8 +1,9 @@
 """Token-id files coded by an adaptive context-mixing range coder.
 
 A block holds up to ``BLOCK`` ids of consecutive documents. Its ids are
-laid out as ``STRIPS`` strips that are coded side by side, one numpy step
-per strip position, by 64-bit range coders (one per strip). All strips of
+laid out as strips (up to ``STRIPS``, fewer in a short block) that are
+coded side by side, one numpy step per strip position, by 64-bit range
+coders (one per strip). All strips of
 a block share one model, which every step updates:
 
 * order 2 and order 1 each predict one id (the one seen last in that
@@ -18,7 +19,7 @@ the range coder. Every block starts from an empty model and carries a
 crc32 of its ids, so blocks decode alone, in any order, and damage shows.
 
 Block layout (little-endian): magic ``TLI1``; u32 vocabulary size, ids,
-documents, steps, crc32 of the ids as u32; u64 ids before the block and
+documents, strips, steps, crc32 of the ids as u32; u64 ids before the block and
 documents before it in its file; per document i64 doc_id, u32 ids in this
 block, u8 flags (1 null doc_id, 2 begins here, 4 ends here); per strip
 u16 words; the strips' 32-bit words.
@@ -52,16 +53,16 @@ _SLOTS = 1 << 16                 # order-2 contexts of a block
 _CTX = 32
 _LOW32 = np.uint64(0xFFFFFFFF)
 _WORD = np.uint64(32)
-_HEAD = struct.Struct("<4s5I2Q")
+_HEAD = struct.Struct("<4s6I2Q")
 NULL_ID, BEGINS, ENDS = 1, 2, 4
 
 
 class _Model:
-    """Shared model of ``g`` independent blocks, ``STRIPS`` lanes each."""
+    """Shared model of ``g`` independent blocks, ``strips`` lanes each."""
 
-    def __init__(self, g: int, vocab: int):
+    def __init__(self, g: int, strips: int, vocab: int):
         self.g, self.vocab = g, vocab
-        block = np.repeat(np.arange(g, dtype=np.int64), STRIPS)
+        block = np.repeat(np.arange(g, dtype=np.int64), strips)
         self.base1, self.base2, self.base_ctx = block * vocab, block * _SLOTS, block * _CTX
         self.base0, self.shift0 = block * (vocab + 1), block << (_BITS + 1)
         self.t1, self.t2 = np.zeros(g * vocab, np.int32), np.zeros(g * _SLOTS, np.int32)
@@ -159,18 +160,25 @@ def _narrow(low, rng, at):
     return lo >> _WORD
 
 
+def shape(n: int) -> tuple[int, int]:
+    """(strips, steps) of a block of ``n`` ids: strips are a power of two,
+    and a short block has few, so that its model still learns step by step."""
+    strips = min(STRIPS, max(16, 1 << max(0, (n // STEPS).bit_length() - 1)))
+    return strips, -(-n // strips)
+
+
 def encode_group(blocks: list[np.ndarray], vocab: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """Code blocks of equal step count: (steps, words per strip, words)."""
+    """Code blocks of one shape: (steps, words per strip, words)."""
     g = len(blocks)
-    steps = -(-max(len(b) for b in blocks) // STRIPS)
-    x = np.zeros((g, STRIPS * steps), np.int64)
+    strips, steps = shape(max(len(b) for b in blocks))
+    x = np.zeros((g, strips * steps), np.int64)
     for row, b in zip(x, blocks, strict=True):
         row[:len(b)] = b
-    x = np.ascontiguousarray(x.reshape(g * STRIPS, steps).T)
-    lanes = g * STRIPS
+    x = np.ascontiguousarray(x.reshape(g * strips, steps).T)
+    lanes = g * strips
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     out, n = np.zeros((lanes, steps + 1), np.uint32), np.zeros(lanes, np.int64)
-    model = _Model(g, vocab)
+    model = _Model(g, strips, vocab)
     prev1 = prev2 = np.zeros(lanes, np.int64)
     for now in x:
         model.predict(prev1, prev2)
@@ -191,15 +199,15 @@ def encode_group(blocks: list[np.ndarray], vocab: int) -> list[tuple[int, np.nda
     n += 1
     res = []
     for b in range(g):
-        rows, lens = out[b * STRIPS:(b + 1) * STRIPS], n[b * STRIPS:(b + 1) * STRIPS]
+        rows, lens = out[b * strips:(b + 1) * strips], n[b * strips:(b + 1) * strips]
         res.append((steps, lens, rows[np.arange(steps + 1) < lens[:, None]]))
     return res
 
 
 def decode_group(coded: list[tuple[int, np.ndarray, np.ndarray]], vocab: int) -> list[np.ndarray]:
-    """Ids (with the padding of the last strip) of blocks of equal steps."""
-    g, steps = len(coded), coded[0][0]
-    lanes = g * STRIPS
+    """Ids (with the padding of the last strip) of blocks of one shape."""
+    g, steps, strips = len(coded), coded[0][0], len(coded[0][1])
+    lanes = g * strips
     words = np.concatenate([w for _, _, w in coded] + [np.zeros(1, np.uint32)]).astype(np.uint64)
     lens = np.concatenate([c for _, c, _ in coded]).astype(np.int64)
     end = np.cumsum(lens)
@@ -215,7 +223,7 @@ def decode_group(coded: list[tuple[int, np.ndarray, np.ndarray]], vocab: int) ->
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     code = take(every) << _WORD
     code |= take(every)
-    model = _Model(g, vocab)
+    model = _Model(g, strips, vocab)
     prev1 = prev2 = np.zeros(lanes, np.int64)
     x = np.zeros((steps, lanes), np.int64)
     for i in range(steps):
@@ -233,7 +241,7 @@ def decode_group(coded: list[tuple[int, np.ndarray, np.ndarray]], vocab: int) ->
         model.update(now, hit2, hit1)
         x[i] = now
         prev1, prev2 = now, prev1
-    flat = x.T.reshape(g, STRIPS * steps)
+    flat = x.T.reshape(g, strips * steps)
     return list(flat)
 
 
@@ -249,7 +257,7 @@ class Docs:
 
 def pack_block(coded, ids: np.ndarray, docs: Docs, vocab: int, id_start: int, doc_start: int) -> bytes:
     steps, lens, words = coded
-    head = _HEAD.pack(b"TLI1", vocab, len(ids), len(docs.doc_id), steps,
+    head = _HEAD.pack(b"TLI1", vocab, len(ids), len(docs.doc_id), len(lens), steps,
                       common.crc32_ids(ids), id_start, doc_start)
     return b"".join((head, docs.doc_id.astype("<i8").tobytes(), docs.n_ids.astype("<u4").tobytes(),
                      docs.flags.astype("u1").tobytes(), lens.astype("<u2").tobytes(),
@@ -257,7 +265,7 @@ def pack_block(coded, ids: np.ndarray, docs: Docs, vocab: int, id_start: int, do
 
 
 def unpack_block(data: bytes):
-    magic, vocab, n, n_docs, steps, crc, id_start, doc_start = _HEAD.unpack_from(data)
+    magic, vocab, n, n_docs, strips, steps, crc, id_start, doc_start = _HEAD.unpack_from(data)
     if magic != b"TLI1":
         raise ValueError("not a token-id block")
     at = _HEAD.size
@@ -269,7 +277,7 @@ def unpack_block(data: bytes):
         return out
 
     docs = Docs(take("<i8", n_docs), take("<u4", n_docs).astype(np.int64), take("u1", n_docs))
-    lens = take("<u2", STRIPS).astype(np.int64)
+    lens = take("<u2", strips).astype(np.int64)
     return vocab, n, crc, id_start, doc_start, docs, (steps, lens, take("<u4", int(lens.sum())))
 
 
@@ -279,8 +287,8 @@ def decode_blocks(datas: list[bytes]):
     heads = [unpack_block(d) for d in datas]
     shapes: dict = {}
     for i, h in enumerate(heads):
-        shapes.setdefault((h[0], h[6][0]), []).append(i)
-    for (vocab, _), members in shapes.items():
+        shapes.setdefault((h[0], h[6][0], len(h[6][1])), []).append(i)
+    for (vocab, *_), members in shapes.items():
         for k in range(0, len(members), GROUP):
             part = members[k:k + GROUP]
             for i, ids in zip(part, decode_group([heads[j][6] for j in part], vocab), strict=True):

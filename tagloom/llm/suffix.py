@@ -179,15 +179,15 @@ def kasai(data: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndar
     heads = np.flatnonzero(~follows)
     grow(heads, np.zeros(len(heads), np.int64))
     # a chain's pairs inherit the head's prefix less their distance; where the
-    # head was cut at the limit the rest is compared
+    # head was cut at the limit, or nothing is left of it, bytes are compared
     chain = np.cumsum(~follows) - 1
     rest = np.flatnonzero(follows)
     if len(rest):
         base = out[heads[chain[rest]]]
         have = np.maximum(base - (rest - heads[chain[rest]]), 0)
-        full = base == limit
-        out[rest[~full]] = have[~full]
-        grow(rest[full], have[full])
+        open_ = (base == limit) | (have == 0)
+        out[rest[~open_]] = have[~open_]
+        grow(rest[open_], have[open_])
     return out
 
 
