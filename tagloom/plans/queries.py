@@ -15,7 +15,7 @@ from tagloom.operators import components, counting, graph, topk, windows
 from tagloom.operators.partitioning import spread
 from tagloom.plans import graph_inputs as gi
 from tagloom.plans.oracle import LINE_MEMBERS, MAP_KEYS
-from tagloom.session import scratch_path
+from tagloom.session import drop_scratch, scratch_path
 from tagloom.sinks import reports
 from tagloom.sinks.gexf import gexf_lines
 from tagloom.sinks.text import document_token_chunks, list_token_chunks
@@ -136,6 +136,7 @@ def q_stream_sliding_count(spark, sf_dir):
     counts = windowed.window_counts(_stream_events(spark, sf_dir), "ts", "user_id", DAY, HALF_DAY)
     out, ck = scratch_path(spark, "stream-count"), scratch_path(spark, "stream-count-ckpt")
     windowed.run_until_done(windowed.start_to_parquet(counts, out, ck))
+    drop_scratch(spark, ck)
     return spark.read.parquet(out)
 
 
@@ -143,6 +144,7 @@ def q_stream_sliding_top10(spark, sf_dir):
     counts = windowed.window_counts(_stream_events(spark, sf_dir), "ts", "user_id", DAY, HALF_DAY)
     out, ck = scratch_path(spark, "stream-top"), scratch_path(spark, "stream-top-ckpt")
     windowed.run_until_done(windowed.start_window_top_k(counts, out, ck, 10))
+    drop_scratch(spark, ck)
     return spark.read.parquet(out).drop("batch_id")
 
 
@@ -161,6 +163,8 @@ def q_stream_sliding_batches(spark, sf_dir):
         events.filter(late & early).write.mode("append").parquet(src)
         counts = windowed.window_counts(file_stream(spark, src, schema=events.schema), "ts", "user_id", DAY, HALF_DAY)
         windowed.run_until_done(windowed.start_to_parquet(counts, out, ck))
+    drop_scratch(spark, src)
+    drop_scratch(spark, ck)
     return spark.read.parquet(out)
 
 
@@ -169,6 +173,7 @@ def q_stream_interval_top10(spark, sf_dir):
     lines = _lines(file_stream(spark, os.path.join(sf_dir, "documents.parquet")))
     out, ck = scratch_path(spark, "stream-interval"), scratch_path(spark, "stream-interval-ckpt")
     windowed.run_until_done(windowed.start_interval_top_k(lines, out, ck, 10))
+    drop_scratch(spark, ck)
     return spark.read.parquet(out).drop("batch_id")
 
 

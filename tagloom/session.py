@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import SparkSession
 
 # Settings every tagloom job relies on. AQE coalesces small shuffles,
@@ -65,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+    except (PySparkAttributeError, PySparkNotImplementedError):  # Spark Connect: the server's setting applies
         return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
@@ -85,6 +86,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tagloom", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a path in any store Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named, once nothing reads it."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def checkpoint(df):
     """Eager, reliable checkpoint into the shared checkpoint folder.
 

@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.session import is_file
+
 
 def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", schema=None,
                 max_files_per_trigger: int | None = None) -> DataFrame:
@@ -18,7 +20,7 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
     if schema is None and fmt != "text":
         schema = spark.read.format(fmt).load(path).schema
     r = spark.readStream.format(fmt)
-    if os.path.isfile(path):
+    if is_file(spark, path):
         # A file source watches a folder: watch the file's folder and
         # admit only files with this name.
         r = r.option("pathGlobFilter", os.path.basename(path))

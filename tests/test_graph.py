@@ -122,7 +122,7 @@ def test_create_graph_from_files(spark, tmpdir_path):
         f.write("1 alpha\n2 beta extra\n2 aardvark\nbad line\n4\n")
     with open(ep, "w") as f:
         f.write("1 2\n" * 3 + "2 3\n" * 4 + "1 2 x\n" + "1 4\n")
-    g = graph_from_files(spark, vp, ep, 2)
+    g = graph_from_files(spark, vp, ep, 2, rejects=tmpdir_path + "/rejects")
     assert {(r["src"], r["dst"], r["weight"]) for r in g.edges.collect()} == {(1, 2, 4), (2, 3, 4)}
     # duplicate id 2 -> least label; id 3 has no line -> ""
     assert {r["id"]: r["label"] for r in g.vertices.collect()} == {1: "alpha", 2: "aardvark", 3: ""}

@@ -40,7 +40,7 @@ def test_window_top_k_limits_before_shuffle(spark):
 def test_pruning_and_pushdown_in_graph_inputs(spark):
     from tagloom.plans import graph_inputs as gi
     # the vertex-file join reads only id/label columns of part
-    plan = gi.supply_graph(spark, SF_SMALL).vertices._jdf.queryExecution().executedPlan().toString()
+    plan = gi.supply_vertices(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "p_partkey" in plan and "p_retailprice" not in plan and "p_brand" not in plan
     # a slice's occurrence scan pushes its filter into the parquet reader
     pairs = gi.supply_pairs(spark, SF_SMALL, "A")
