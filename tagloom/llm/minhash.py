@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm import common
 from tagloom.llm.components import components
-from tagloom.llm.tokens import small_batches
+from tagloom.llm.tokens import released, small_batches
 from tagloom.llm.words import shingles, word_hashes
 
 WIDTH = 5
@@ -105,7 +105,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, text_col: str = "text", width: i
                 [b.column(0), pa.array([s.tobytes() for s in shingle_sets(b.column(1), width)], pa.binary())],
                 names=["row", "set"])
 
-    return rows.join(wanted, "row", "left_semi").mapInArrow(run, "row long, set binary")
+    return rows.join(wanted.hint("merge"), "row", "left_semi").mapInArrow(run, "row long, set binary")
 
 
 def _agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def _agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     both = (pairs.join(sig.toDF("y", "sy"), "y").join(sig.toDF("x", "sx"), "x").select("x", "y", "sx", "sy"))
 
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             sx, sy = (np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, PERMS) for c in b.columns[2:])
             ok = (sx == sy).mean(axis=1) >= SIGNATURE_LEAST
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok)), b.column(1).filter(pa.array(ok))],
@@ -129,7 +129,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("x", "y", "set_x", "set_y"))
 
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             keep = [_share(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
                     for x, y in zip(b.column(2), b.column(3), strict=True)]
             ok = pa.array(keep, pa.bool_())
@@ -197,7 +197,9 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stay = (found.filter("component is null").select("row").unionAll(
         found.filter("component is not null").groupBy("component").agg(first.alias("f")).select("f.row")))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc"))
-    kept = rows.join(common.written(stay, "minhash-stay"), "row", "left_semi")
+    # a merge join at every size: most documents stay, so the list of rows
+    # is no small side
+    kept = rows.join(common.written(stay, "minhash-stay").hint("merge"), "row", "left_semi")
     return kept.select(*(F.col("doc")[c].alias(c) for c in docs.columns))
 
 
@@ -230,7 +232,7 @@ def _across(members: DataFrame, comp: DataFrame, reps: DataFrame, sets: DataFram
               .select("main", "xs", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")))
 
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             found = [(int(x), int(y)) for main, xs, ys in zip(*b.columns, strict=True)
                      for x, y in _block_links(main.as_py(), xs, ys, percent)]
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()),
