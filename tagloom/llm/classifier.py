@@ -27,8 +27,8 @@ from tagloom.llm.tokens import small_batches
 
 BUCKETS = 1 << 17
 DIM = 16
-MAX_TRAIN = 5000
-BATCH_BYTES = 4 << 20       # texts whose n-grams a worker holds at a time
+MAX_TRAIN = 3000
+BATCH_BYTES = 2 << 20       # texts whose n-grams a worker holds at a time
 REPEAT_WEIGHT = 10          # a repeated word counts like so many n-grams
 _REPEAT = BUCKETS           # table row of "same word as before"
 _EMPTY = BUCKETS + 1        # table row every document has once (bias; all an empty text has)
@@ -122,7 +122,8 @@ def scores(folded: np.ndarray, texts: pa.Array) -> np.ndarray:
 
 
 def document_features(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(distinct table rows, weights that sum to 1) of each text."""
+    """(distinct table rows, weights that sum to 1) of each text; all views
+    into two arrays, so that a sample is two blocks of memory."""
     words, idx, offs = split_words(texts)
     w, f = word_features(words)
     order = np.argsort(w, kind="stable")
@@ -138,7 +139,11 @@ def document_features(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         rows, where = np.unique(rows, return_inverse=True)
         weight = np.bincount(where, weight)
         out.append((rows.astype(np.int32), (weight / weight.sum()).astype(np.float32)))
-    return out
+    if not out:
+        return out
+    rows, weights = (np.concatenate(c) for c in zip(*out, strict=True))
+    ends = np.cumsum([len(r) for r, _ in out])
+    return list(zip(np.split(rows, ends[:-1]), np.split(weights, ends[:-1]), strict=True))
 
 
 def train(features, labels: np.ndarray, epochs: int = 6, rate: float = 1.0, seed: int = 7) -> Model:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm import common
 from tagloom.llm.components import components
+from tagloom.llm.tokens import released
 
 COSINE = 0.95
 CELL = 4096                 # classes of a leaf cell
@@ -156,7 +157,7 @@ def classes(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
 
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             keys, raws = [], []
             for v in b.column(1):
                 raw = key = None
@@ -234,7 +235,7 @@ def _child_id(parent, i):
 
 def _assign(batches):
     """Blocks of a cell's members to their nearest centre."""
-    for b in batches:
+    for b in released(batches):
         out = [[] for _ in range(5)]
         for cell, m, c in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
             x = _vectors(m.values.field(1).to_pylist())
@@ -258,7 +259,7 @@ def cell_pairs(tree: DataFrame, cosine: float) -> DataFrame:
     near_schema = "a long, b long, leaf_a boolean, leaf_b boolean"
 
     def near(batches):
-        for b in batches:
+        for b in released(batches):
             if not b.num_rows:
                 continue
             x, y = (b.column(i).to_pylist() for i in (2, 3))
@@ -294,7 +295,7 @@ CELL_SCHEMA = "cell long, cids array<long>, copies array<long>, x binary, tree b
 
 def _planted(batches):
     """Leaf cells with their cover trees, built once per cell."""
-    for b in batches:
+    for b in released(batches):
         for cell, m in zip(b.column(0), b.column(1), strict=True):
             v = m.values
             tree = Tree.build(_vectors(v.field(1).to_pylist()))
@@ -313,7 +314,7 @@ def _compare(cosine: float):
         return cids, np.array(c["copies"], np.int64), Tree.load(np.frombuffer(c["x"]).reshape(len(cids), -1), c["tree"])
 
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             out_x, out_y, out_n = [], [], []
             for same, xs, ys in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
                 cx, mx, tx = side(xs)

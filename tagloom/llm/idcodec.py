@@ -40,10 +40,11 @@ from pyspark.sql import functions as F
 
 from tagloom.llm import common
 from tagloom.llm.common import crc32_concat
-from tagloom.llm.tokens import END_ID, encoder, small_batches, tokenizer_path, with_end
+from tagloom.llm.tokens import END_ID, encoder, released, small_batches, tokenizer_path, with_end
 
 STRIPS, STEPS = 4096, 128
 BLOCK = STRIPS * STEPS
+MAX_UNITS = 1_200_000            # cached word parts of a worker (about 250 MB)
 GROUP = 1                        # blocks coded side by side (the tables of more leave the cache)
 _REFRESH = frozenset((1, 4, 16, 48, 88))
 _BITS = 24
@@ -378,7 +379,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, id_col:
 
     def code(batches):
         part = TaskContext.get().partitionId()
-        enc = encoder(tok)
+        enc = encoder(tok, MAX_UNITS)
         w = _Writer(len(enc.last), part)
         for b in small_batches(batches):
             ids, n = with_end(*enc.encode(b.column(1)), end_id)
@@ -421,7 +422,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                                                 strict=True)],
                 names=["file", "doc_no", "doc_id", "start", "n_ids", "whole", "ids"])
 
-        for b in batches:
+        for b in released(batches):
             for f, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 held.append((f, p))
                 if len(held) == GROUP:

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm import common
+from tagloom.llm.tokens import released
 from tagloom.llm.words import mix
 
 WINDOW = 400
@@ -256,7 +257,7 @@ def _rows(docs: DataFrame, text_col: str) -> DataFrame:
 
 def _runs(window: int):
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             rows = np.asarray(b.column(0))
             text, first, n, anchor, string = runs_of(b.column(1).to_pylist(), window)
             yield pa.RecordBatch.from_arrays(
@@ -321,7 +322,7 @@ def _bucketed(df: DataFrame, key: str) -> DataFrame:
 
 def _cut(window: int):
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             out = [[] for _ in range(7)]
             for row, data, wanted in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 data = data.as_buffer().to_pybytes()
@@ -396,7 +397,7 @@ def removed(spans: DataFrame, texts: DataFrame, window: int = WINDOW) -> DataFra
     per_row = common.written(spans.groupBy("row").agg(F.collect_list(F.struct("begin", "last")).alias("w")), "suffix-spans")
 
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             out = [[] for _ in range(5)]
             for row, data, w in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
                 data = data.as_buffer().to_pybytes()

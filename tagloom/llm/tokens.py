@@ -10,7 +10,9 @@ gathers the ids of all chunks with numpy. The result equals
 
 from __future__ import annotations
 
+import ctypes
 import os
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ END_ID = 1
 # run of it is one pre-token); no
 # apostrophe, which the tokenizer treats on its own ('s, 't, 're ...).
 _TAIL = ".,!?:;#$%&*()|"
-_MAX_CACHE = 1_200_000    # cached units per worker (memory bound, not a result bound)
+MAX_UNITS = 300_000     # cached units per worker (a memory bound; results do not depend on it)
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -33,7 +35,8 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
 class WordEncoder:
     """Encodes Arrow string columns; one per Python worker."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, max_units: int = MAX_UNITS):
+        self.max_units = max_units
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
@@ -110,7 +113,7 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after the other, ids per text) of a string column
         (null: no ids)."""
-        if len(self.units) > _MAX_CACHE:
+        if len(self.units) > self.max_units:
             self.units = {"": b""}
         texts = texts.cast(pa.large_string())
         if texts.null_count:
@@ -136,10 +139,11 @@ def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, max_units: int = MAX_UNITS) -> WordEncoder:
     """The worker's encoder for a tokenizer file (built once per worker)."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+    _ENCODERS[path].max_units = max_units
     return _ENCODERS[path]
 
 
@@ -151,9 +155,21 @@ def with_end(ids: np.ndarray, per_text: np.ndarray, end_id: int = END_ID) -> tup
 def small_batches(batches, max_bytes: int = 8 << 20):
     """Arrow batches cut so that each holds about ``max_bytes`` (a row is
     never cut)."""
-    for b in batches:
+    for b in released(batches):
         if not b.num_rows:
             continue
         step = max(1, int(b.num_rows * max_bytes / max(b.nbytes, 1)))
         for i in range(0, b.num_rows, step):
             yield b.slice(i, min(step, b.num_rows - i))
+
+
+def released(batches):
+    """The batches of a task; after the last one, memory that the worker
+    holds but does not use goes back to the system, since Spark keeps idle
+    workers beside other tasks."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):     # not a GNU system
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
