@@ -49,6 +49,7 @@ GROUP = 1                        # blocks coded side by side (the tables of more
 _REFRESH = frozenset((1, 4, 16, 48, 88))
 _BITS = 24
 _TOTAL = 1 << _BITS
+_FINE = 10                       # bits of the 24 that a coarse search leaves open
 _LEAST = 16                      # least order-0 frequency of an id
 _SLOTS = 1 << 16                 # order-2 contexts of a block
 _CTX = 32
@@ -66,6 +67,7 @@ class _Model:
         block = np.repeat(np.arange(g, dtype=np.int64), strips)
         self.base1, self.base2, self.base_ctx = block * vocab, block * _SLOTS, block * _CTX
         self.base0, self.shift0 = block * (vocab + 1), block << (_BITS + 1)
+        self.base_coarse = block * ((_TOTAL >> _FINE) + 1)
         self.t1, self.t2 = np.zeros(g * vocab, np.int32), np.zeros(g * _SLOTS, np.int32)
         self.events = np.tile(np.array([2.0, 2.0, 4.0]), (g * _CTX, 1))
         self.counts = np.zeros(g * vocab, np.int64)
@@ -90,6 +92,10 @@ class _Model:
         cum[:, -1] = _TOTAL
         cum += (np.arange(self.g, dtype=np.int32) << (_BITS + 1))[:, None]
         self.cum = cum.ravel()                  # GROUP << 25 must stay below 2^31
+        # places in ``cum`` of every 2^_FINE-th point: where a search starts
+        edges = np.arange((_TOTAL >> _FINE) + 1, dtype=np.int32) << _FINE
+        every = (np.arange(self.g, dtype=np.int32) << (_BITS + 1))[:, None] + edges
+        self.coarse = np.searchsorted(self.cum, every.ravel(), side="right") - 1
 
     def _weights(self) -> None:
         part = self.events[:, :2] / self.events.sum(1, keepdims=True)
@@ -132,15 +138,26 @@ class _Model:
         x = np.where(hit2, self.p2, self.p1)
         miss = np.flatnonzero(slot >= head)
         u = (((slot[miss] - head[miss] + 1) << _BITS) - 1) // self.rest[miss]
-        at = np.searchsorted(self.cum, (u + self.shift0[miss]).astype(np.int32), side="right") - 1
-        x[miss] = at - self.base0[miss]
+        key = u + self.shift0[miss]
+        place = self.base_coarse[miss] + (u >> _FINE)
+        lo, hi = self.coarse.take(place), self.coarse.take(place + 1)
+        for _ in range(int((hi - lo).max(initial=0)).bit_length()):
+            mid = (lo + hi + 1) >> 1
+            below = self.cum.take(mid) <= key
+            np.copyto(lo, mid, where=below)
+            np.copyto(hi, mid - 1, where=~below & (lo < mid))
+        x[miss] = lo - self.base0[miss]
         return x, hit2, hit1
 
     def update(self, x, hit2, hit1):
         self.at = self.base1 + x
         self.pending.append(self.at)
-        event = np.where(hit2, 0, np.where(hit1, 1, 2))
-        seen = np.bincount(self.ctx * 3 + event, minlength=self.g * _CTX * 3)
+        event = self.ctx * 3
+        event += 2
+        event -= hit1
+        event -= hit2
+        event -= hit2               # 0: order 2 was right, 1: order 1, 2: neither
+        seen = np.bincount(event, minlength=self.g * _CTX * 3)
         self.events = self.events * 0.98 + seen.reshape(-1, 3)
         fresh = x << 2
         for table, at, e, p in ((self.t1, self.i1, self.e1, self.p1), (self.t2, self.i2, self.e2, self.p2)):
@@ -164,7 +181,7 @@ def _narrow(low, rng, at):
 def shape(n: int) -> tuple[int, int]:
     """(strips, steps) of a block of ``n`` ids: strips are a power of two,
     and a short block has few, so that its model still learns step by step."""
-    strips = min(STRIPS, max(16, 1 << max(0, (n // STEPS).bit_length() - 1)))
+    strips = min(STRIPS, max(16, 1 << ((n - 1) // STEPS).bit_length()))
     return strips, -(-n // strips)
 
 
