@@ -131,9 +131,11 @@ class WordEncoder:
 
 def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The runs ``flat[start:start + len]``, one after the other."""
-    at = np.repeat(starts - (np.cumsum(lens) - lens), lens)
-    at += np.arange(len(at))
-    return flat[at]
+    shift = starts - (np.cumsum(lens) - lens)
+    small = max(len(flat), int(lens.sum())) < 1 << 31      # 32-bit places: half the memory to move
+    at = np.repeat(shift.astype(np.int32) if small else shift, lens)
+    at += np.arange(len(at), dtype=at.dtype)
+    return flat.take(at)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
