@@ -35,7 +35,7 @@ SPLIT = 2048                # classes a new cell should have
 FANOUT = 64
 LEAF = 48                   # vectors of a leaf in the numpy trees
 BLOCK = 1024                # vectors assigned to centres together
-_SLACK = 1e-9               # distances are rounded; bounds are not
+_SLACK = 1e-6               # distances near zero are good to about 1e-8 only, the more so the longer the vectors
 _ROOT_RADIUS = 2.0
 
 
@@ -91,7 +91,10 @@ class Tree:
                         break
                 if len(rest):       # the net gathers next to nothing
                     single = [p for p in parts if len(p) == 1]
-                    parts = [p for p in parts if len(p) > 1] + [np.concatenate([*single, rest])]
+                    left, alone = np.concatenate([*single, rest]), len(parts[0]) == 1
+                    parts = [p for p in parts if len(p) > 1]
+                    # rows[0] is the centre of this node: its part stays the first
+                    parts = [left, *parts] if alone else [*parts, left]
                 if len(parts) > 1:
                     nodes[i][3], nodes[i][4] = len(nodes), len(nodes) + len(parts)
                     order[lo:hi] = np.concatenate(parts)

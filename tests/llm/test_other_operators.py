@@ -231,6 +231,25 @@ def test_vector_links_match_brute_force(spark, monkeypatch):
     assert _links(stored(spark, rows, VEC)) == _links_brute(rows, 0.95)
 
 
+def _loose(seed, dim, centers, spread):
+    """Clusters of which the first parts of a net gather little."""
+    r = np.random.default_rng(seed)
+    x = r.normal(size=(centers, dim))[r.integers(0, centers, 1200)] + spread * r.normal(size=(1200, dim))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize(("dim", "centers", "spread"), [(8, 300, 0.5), (16, 40, 0.5), (32, 40, 0.3)])
+def test_every_radius_covers_its_rows(dim, centers, spread):
+    for seed in range(3):
+        x = _loose(seed, dim, centers, spread)
+        tree = covertree.Tree.build(x)
+        assert sorted(tree.order.tolist()) == list(range(len(x)))
+        for lo, hi, radius in zip(tree.lo, tree.hi, tree.radius, strict=True):
+            assert np.linalg.norm(tree.x[lo:hi] - tree.x[lo], axis=1).max() <= radius + covertree._SLACK / 2
+        got = sum(len(i) for i, _ in covertree.dual_links(tree, tree, 0.95))
+        assert got == int((x @ x.T >= 0.95).sum())
+
+
 def test_odd_vectors(spark):
     rows = [(1, None), (2, []), (3, [0.0] * 3), (4, [1.0, None, 2.0]), (5, [float("nan"), 1.0, 1.0]), (5, [1.0, float("inf"), 0.0]),
             (6, [1.0, 2.0, 3.0]), (7, [2.0, 4.0, 6.0]), (6, [1.0, 2.0, 3.0]), (9, [1.0, 2.0]), (10, [-1.0, -2.0, -3.0]),
