@@ -32,6 +32,8 @@ KINDS = {
 }
 BASE = ("assign", "access", "hex")
 ORDER = ("assign", "access", "hex", "live", "blob")
+# Words, numbers and abbreviations; a capital belongs to the small letters after it.
+PIECE = "[A-Z]?[a-z]+|[A-Z]+|[0-9]+"
 EXAMPLE_OWNERS = 3
 TAG = "[SECRET]"
 
@@ -83,6 +85,18 @@ def looks_live(value: Column) -> Column:
             & ~value.rlike("(?i)example|sample|dummy|changeme|placeholder|your_|xxxx"))
 
 
+def looks_random(value: Column) -> Column:
+    """Mixes upper and lower case letters and digits, not in the way of
+    paths and identifiers: more than two changes of case or digit to 9
+    letters, those at ``+ / _ -`` aside, or one to 3 in a part of 8 or more
+    (random letters and digits: one to 2)."""
+    n = F.length(F.regexp_replace(value, "[^A-Za-z0-9]", ""))
+    inner = F.regexp_count(value, F.lit(PIECE)) - F.regexp_count(value, F.lit("[A-Za-z0-9]+"))
+    part = F.exists(F.split(value, "[+/_-]+"),
+                    lambda s: (F.length(s) >= 8) & (F.length(s) < 3 * F.regexp_count(s, F.lit(PIECE))))
+    return (value.rlike("[0-9]") & value.rlike("[a-z]") & value.rlike("[A-Z]")) & ((2 * n < 9 * inner) | part)
+
+
 def ownership(hits: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """``hash, repositories, owners, verdict`` of every candidate value:
     ``example``, ``live`` or ``other``. A null owner is an owner."""
@@ -97,11 +111,9 @@ def ownership(hits: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFram
 
 
 def judged(found: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """Candidates with the verdict on their value. A ``blob`` must mix
-    upper and lower case letters and digits."""
-    hits = located(found).filter(
-        (F.col("kind") != "blob") | (F.col("value").rlike("[0-9]") & F.col("value").rlike("[a-z]")
-                                     & F.col("value").rlike("[A-Z]")))
+    """Candidates with the verdict on their value. A ``blob`` must look
+    random: paths and identifiers are none."""
+    hits = located(found).filter((F.col("kind") != "blob") | looks_random(F.col("value")))
     hits = common.written(hits, "secret-hits")
     verdicts = common.written(ownership(hits, example_owners), "secret-values")
     return (hits.withColumn("hash", F.md5("value")).join(verdicts.select("hash", "owners", "verdict"), "hash")

@@ -178,6 +178,26 @@ def test_base_spans_and_verdicts(spark):
     assert clean[1] == "api_key=[SECRET]" and clean[7] == "Bearer [SECRET]"
 
 
+CLEAN_TEXTS = [
+    "see https://en.example.org/wiki/List_of_2012_Summer_Olympics and /usr/local/lib/Python3/site-packages/Foo_Bar",
+    "src/main/java/Org2/shop/MyClassName calls getHTTPResponseCode2FromServer", "ISO8601DateTimeFormatterTest",
+    "Report_2021-03-04_Final_Version2 /en-US/docs/Web/HTML5/Element/input", "/2019/05/12/How-To-Write-A-Regex",
+    "test_TokenIdFiles_roundTrip_4096 dayOfYear2012InGregorianCalendar My-Blog-Post-About-10-Things-To-Do",
+]
+TRUE_BLOBS = [
+    "Zx9Yw8Vu7Ts6Rq5Po4Nm3Lk2", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYKEYKEYKEY", "ghp_16C7e42F292c6912E7710c838347Ae178B4a",
+    "xoxb-123456789012-1234567890123-uE4tkXq9LmPw2ZsVbN7cYd8R", "Ab3-d9F-kL2-Q8s-Zt5-9Pw-x2M-4Rn",
+    "/documents/settings/aB3xK9dQ2mZ7", "q7Lm+/Xc2VbN9zRt4Ks8Wd1Hf6Jy",
+]
+
+
+def test_redact_leaves_paths_and_identifiers_and_finds_random_tokens(spark):
+    docs = stored(spark, list(enumerate(CLEAN_TEXTS + ["Bearer " + t for t in TRUE_BLOBS])), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(docs.withColumn("source", F.lit("own"))).collect()}
+    assert [got[i] for i in range(len(CLEAN_TEXTS))] == CLEAN_TEXTS
+    assert {got[i] for i in range(len(CLEAN_TEXTS), len(got))} == {"Bearer [SECRET]"}
+
+
 def test_secrets_of_odd_documents(spark):
     docs = odd_documents(spark)
     out = secrets.redact(docs)
