@@ -41,7 +41,7 @@ WINDOW = 400
 GRAM = 32                       # bytes of an anchor
 SHARD_BYTES = 3 << 20
 HOT = 2048                      # distinct strings of an anchor that one shard takes
-RANGES = 64
+RANGE_BYTES = 32 << 20           # fingerprints of all hot shards that a range takes, about
 CHUNK = 1 << 20                 # window starts handled at a time
 _P = 0x9E3779B97F4A7C15
 
@@ -305,7 +305,8 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     spans = whole.unionAll(common.written(inside, "suffix-inside"))
     hot = cut.filter("hot")
     if not hot.isEmpty():
-        spans = spans.unionAll(common.written(_across(hot, window), "suffix-across"))
+        starts = hot.agg(F.sum("n")).first()[0]
+        spans = spans.unionAll(common.written(_across(hot, ranges_of(starts), window), "suffix-across"))
     return spans, texts.select("row", "bytes")
 
 
@@ -352,15 +353,28 @@ def _in_shard(window: int):
     return run
 
 
-def _across(hot: DataFrame, window: int) -> DataFrame:
+def ranges_of(windows: int) -> int:
+    """Ranges of fingerprints, so that one holds about ``RANGE_BYTES`` of
+    those of all shards; at least 64, which small inputs spread over."""
+    return max(64, -(-8 * int(windows) // RANGE_BYTES))
+
+
+def range_edges(prints: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of ``ranges`` equal parts of the 64-bit numbers begins in
+    sorted ``prints``, and their end."""
+    at = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
+    return np.r_[0, np.searchsorted(prints, at), len(prints)]
+
+
+def _across(hot: DataFrame, ranges: int, window: int) -> DataFrame:
     """Windows of hot anchors that several shards hold."""
     def export(table: pa.Table) -> pa.Table:
         prints = np.unique(np.concatenate([window_prints(s, window) for s in table["data"].to_pylist()]))
-        edges = np.searchsorted(prints, np.arange(RANGES + 1).astype(np.float64) * 2.0**64 / RANGES)
-        shard = table["shard"][0].as_py()
-        return pa.table({"part": pa.array(range(RANGES), pa.int32()), "shard": pa.array([shard] * RANGES, pa.int64()),
-                         "prints": pa.array([prints[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)],
-                                            pa.binary())})
+        edges = range_edges(prints, ranges)
+        part = np.flatnonzero(edges[1:] > edges[:-1])      # ranges this shard has any in
+        return pa.table({"part": pa.array(part, pa.int32()),
+                         "shard": pa.array([table["shard"][0].as_py()] * len(part), pa.int64()),
+                         "prints": pa.array([prints[edges[i]:edges[i + 1]].tobytes() for i in part.tolist()], pa.binary())})
 
     def merge(table: pa.Table) -> pa.Table:
         arrays = [np.frombuffer(p, np.uint64) for p in table["prints"].to_pylist()]

@@ -290,6 +290,32 @@ def test_repeats_match_brute_force(spark, monkeypatch, hot):
     assert suffix.remove_repeats(docs.filter("false"), window=100).count() == 0
 
 
+def test_ranges_of_hot_windows_grow_with_them():
+    assert suffix.ranges_of(1) == 64
+    for windows in (10**9, 10**11):
+        assert 8 * windows / suffix.ranges_of(windows) <= suffix.RANGE_BYTES
+    prints = np.unique(np.random.default_rng(1).integers(0, 1 << 64, 50_000, np.uint64, endpoint=False))
+    for ranges in (64, 1000):
+        edges = suffix.range_edges(prints, ranges)
+        assert edges[0] == 0 and edges[-1] == len(prints) and len(edges) == ranges + 1
+        assert np.diff(edges).max() < 2 * len(prints) / ranges and (np.diff(edges) >= 0).all()
+
+
+def test_repeats_over_many_ranges_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT", 5)
+    monkeypatch.setattr(suffix, "SHARD_BYTES", 8000)
+    monkeypatch.setattr(suffix, "RANGE_BYTES", 80)
+    used = []
+    across = suffix._across
+    monkeypatch.setattr(suffix, "_across", lambda hot, ranges, window: used.append(ranges) or across(hot, ranges, window))
+    r = random.Random(8)
+    passage = "".join(r.choice("abcdefg h") for _ in range(1500))
+    rows = [(i, prose(i, 5) + passage[(a := r.randint(0, 600)):a + r.randint(150, 900)] + prose(90 + i, 5)) for i in range(50)]
+    docs = stored(spark, rows, DOC)
+    assert _repeats(docs, 100) == _repeats_brute(rows, 100)
+    assert used[0] > 64
+
+
 def test_repeats_of_odd_documents(spark):
     docs = odd_documents(spark)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect() if len(r["text"] or "") < 50_000]
