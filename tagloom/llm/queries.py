@@ -9,7 +9,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, classifier, common, covertree, cws, idcodec, minhash, mixing, packing, secrets, suffix
+from tagloom.llm import chat, classifier, common, covertree, cws, idcodec, minhash, mixing, packing, phrases, secrets, suffix
 from tagloom.llm.common import documents
 from tagloom.session import scratch_path
 
@@ -90,6 +90,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "window", "step_id")
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir, "text", "lang"))
+
+
 QUERIES = {
     "op1_weighted_sampling": op1_weighted_sampling,
     "op2_token_id_files": op2_token_id_files,
@@ -101,6 +105,41 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_cover_tree": op9_cover_tree,
     "op10_packing": op10_packing,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op13_phrase_mining": """
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+    from documents where text is not null),
+words as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+sizes as (select lang, w, unnest(range(1, 6)) as k from words),
+places as (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from sizes where len(w) >= k),
+counts as (
+    select lang, p, cast(count(*) as bigint) as c from (select lang, w[i:i + k - 1] as p from places)
+    group by lang, p having count(*) >= 100),
+inner_parts as (
+    select lang, part, max(c) as c from (
+        select lang, unnest([p[:len(p) - 1], p[2:]]) as part, c from counts where len(p) > 2)
+    group by lang, part),
+alone as (
+    select counts.* from counts left join inner_parts on counts.lang = inner_parts.lang and counts.p = inner_parts.part
+    where len(p) > 1 and (inner_parts.c is null or 100 * inner_parts.c < 100 * counts.c)),
+cuts as (select lang, p, c, unnest(range(1, len(p))) as k from alone),
+scored as (
+    select cuts.lang, cuts.p, cuts.c as a, cuts.k, l.c as l, r.c as r, t.n,
+        (cast(1000 as hugeint) * cuts.c * t.n) // (cast(l.c as hugeint) * r.c) as score
+    from cuts join totals t on t.lang = cuts.lang
+    join counts l on l.lang = cuts.lang and l.p = cuts.p[:k]
+    join counts r on r.lang = cuts.lang and r.p = cuts.p[k + 1:]),
+least as (select *, row_number() over (partition by lang, p order by score, k) as cut from scored),
+ranked as (
+    select lang, array_to_string(p, ' ') as phrase, a, l, r, n, cast(score as bigint) as score from least where cut = 1),
+top as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from ranked)
+select lang, rank, phrase, a, l, r, n, score from top where rank <= 2000
+""",
+}
