@@ -1,23 +1,25 @@
 """Phrase collocations by Toivonen mining.
 
 A sample of the documents, mined with a lowered threshold, proposes the
-set S of phrases that may be frequent. One full pass counts S and its
-negative border exactly: a phrase is counted if its first and its last
-``k - 1`` words are in S (every single word is). If phrases of the border
-turn out frequent, an expansion pass counts every phrase that holds one of
-these new phrases and whose other parts are members. That closes the set:
-a frequent phrase that the first pass did not count holds a least part
-outside S, which is of the border, frequent and so among the new ones; and
-what the expansion finds holds a new phrase itself, so it brings nothing
-that was not counted. The result is exact whatever the sample.
-
-S reaches the tasks as a bitmap of phrase hashes of at most ``2 ** MAX_BITS``
-bits, whatever its size; a phrase that shares a bit with one of S is
+set S of phrases that may be frequent; its negative border are the phrases
+that are not in S but whose first and last ``k - 1`` words are (every word
+outside S is of the border). One full pass counts both: phrases of S
+exactly, phrases of the border in hash buckets, two bytes an occurrence. A
+border phrase in a bucket below the threshold is proved infrequent. The
+others are border failures: the expansion pass counts them exactly, with
+every phrase that holds one of them and whose other parts are in S or hold
+one too. That closes the set. A frequent phrase that the full pass did not
+count exactly holds a least part outside S; this part is of the border and
+frequent, so its bucket is full; the expansion pass counts what holds it.
+The result is exact whatever the sample.
+
+S and the full buckets reach the tasks as bitmaps of hashes of at most
+``2 ** MAX_BITS`` bits, whatever the input; phrases that share a bit are
 counted needlessly, never wrongly. A phrase's identity is the sequence of
 its words' 96-bit hashes, a binary key whose slices are the keys of its
-parts, so cuts and containment are plain joins. Counts are made distinct
-per Arrow batch, then added by Spark with map-side partials: a very common
-phrase is one row per task.
+parts, so cuts and containment are plain joins. Counts are added per Arrow
+batch, then by Spark with map-side partials: a very common phrase is one
+row per batch.
 """
 
 from __future__ import annotations
@@ -37,11 +39,11 @@ from tagloom.operators.partitioning import spread
 LONGEST = 5
 LEAST = 100                 # occurrences of a candidate
 TOP = 2000
-SAMPLE = 0.25               # share of the documents that proposes phrases
+SAMPLE = 0.125              # share of the documents that proposes phrases
 BREAK = r"[.,;:!?\x0A-\x0D]"
 WORD_BYTES = 12             # of a word's hash in a key
 MIN_BITS, MAX_BITS = 20, 28
-CHUNK_BITS = 20             # bits of the bitmap that one task gathers
+RANGE_BITS = 16             # buckets or bits that a task gathers at a time
 BATCH_BYTES = 8 << 20
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -49,10 +51,10 @@ COUNT_SCHEMA = "lang string, key binary, word string, c long"
 
 
 def lowered(least: int, share: float) -> int:
-    """Threshold in the sample: three standard deviations under the
-    expected count of a phrase that is just frequent."""
+    """Threshold in the sample: two standard deviations under the expected
+    count of a phrase that is just frequent."""
     want = least * share
-    return max(2, int(want - 3 * want ** 0.5))
+    return max(2, int(want - 2 * want ** 0.5))
 
 
 def _hashes(words: list[str]) -> np.ndarray:
@@ -100,56 +102,109 @@ def _words(texts: pa.Array):
     return vocab, idx[at], owner, left
 
 
-def gram_counts(texts: pa.Array, langs: pa.Array, member: np.ndarray | None = None, past: np.ndarray | None = None,
-                tested: int = LONGEST, longest: int = LONGEST) -> list[pa.RecordBatch]:
-    """``lang, key, word, c`` of the distinct phrases of a batch.
-
-    Without ``member``: single words, and the empty phrase (all words of a
-    language). With it: also longer phrases whose two parts are in
-    ``member`` (phrases longer than ``tested`` all count as members). With
-    ``past``: only phrases that were not counted with that bitmap and hold
-    one that is new in ``member``; what holds a new one passes for a member.
-    """
-    vocab, idx, owner, left = _words(texts)
-    if not len(idx):
-        return []
-    names = langs.dictionary_encode()
-    lang_of = names.dictionary.to_pylist()
-    lang = np.asarray(names.indices).astype(np.int64)[owner]
-    keys = _hashes(vocab)
-    first = _first_words(keys)[idx]
-    code, at, ids, c = np.unique(lang * len(vocab) + idx, return_index=True, return_inverse=True, return_counts=True)
-    out = []
-    if past is None:
-        which, n = np.unique(lang, return_counts=True)
-        out.append(_batch([lang_of[i] for i in which.tolist()], keys[:0], 0, None, n))
-        out.append(_batch([lang_of[i] for i in lang[at].tolist()], keys[idx[at]], 1, [vocab[i] for i in idx[at].tolist()], c))
-    if member is None:
-        return out
-    h = mix(np.array([_lang_hash(x) for x in lang_of], np.uint64)[lang] * _MUL + first)
-    here = np.arange(len(idx))                  # where the phrases of k - 1 words begin
-    done, fresh = np.ones(len(idx), bool), np.zeros(len(idx), bool)     # counted by the pass before; holds a new phrase
-    for k in range(2, longest + 1):
-        ok = _marked(member, h) if k - 1 <= tested else np.ones(len(here), bool)
-        if past is not None:
-            old = _marked(past, h)
-            fresh |= ok & ~old
-            ok |= fresh
-            done &= old
-        # a phrase of k words: two of k - 1 words that begin side by side
-        pair = np.flatnonzero((here[1:] == here[:-1] + 1) & ok[1:] & ok[:-1] & (left[here[:-1]] >= k))
-        if not len(pair):
+class Grams:
+    """Words of a batch of texts, and phrases as the places they begin at."""
+
+    def __init__(self, texts: pa.Array, langs: pa.Array):
+        self.vocab, self.idx, owner, self.left = _words(texts)
+        names = langs.dictionary_encode()
+        self.langs = names.dictionary.to_pylist()
+        self.lang = np.asarray(names.indices).astype(np.int64)[owner]
+        self.keys = _hashes(self.vocab)
+        self.first = _first_words(self.keys)[self.idx]
+
+    def totals(self) -> pa.RecordBatch:
+        """The empty phrase: all words of each language."""
+        which, n = np.unique(self.lang, return_counts=True)
+        return _batch([self.langs[i] for i in which.tolist()], self.keys[:0], 0, None, n)
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """(place, hash) of every word."""
+        start = np.array([_lang_hash(x) for x in self.langs], np.uint64)
+        return np.arange(len(self.idx)), mix(start[self.lang] * _MUL + self.first) if len(self.idx) else self.first
+
+    def longer(self, here: np.ndarray, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(index of the first part, hash) of the phrases of k words whose
+        parts of k - 1 words begin at two of ``here``."""
+        pair = np.flatnonzero((here[1:] == here[:-1] + 1) & (self.left[here[:-1]] >= k))
+        return pair, _longer(h[pair], self.first[here[pair] + k - 1])
+
+    def counts(self, here: np.ndarray, k: int, ids: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray]:
+        """(rows, number of each phrase) of the phrases of k words at
+        ``here``; equal ``ids`` are equal phrases."""
+        _, at, ids, c = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
+        at = here[at]
+        rows = self.keys[self.idx[at[:, None] + np.arange(k)]].reshape(len(at), -1)
+        words = [self.vocab[i] for i in self.idx[at].tolist()] if k == 1 else None
+        return _batch([self.langs[i] for i in self.lang[at].tolist()], rows, k, words, c), ids
+
+    def single(self, here: np.ndarray) -> np.ndarray:
+        return self.lang[here] * len(self.vocab) + self.idx[here]
+
+
+def _pair_ids(ids: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    return ids[pair] * (int(ids.max(initial=0)) + 1) + ids[pair + 1]
+
+
+def proposed(g: Grams, member: np.ndarray | None, low: int, high: int):
+    """Counts of the phrases of ``low`` to ``high`` words whose parts of
+    ``low - 1`` words are all in ``member``."""
+    here, h = g.words()
+    ids = g.single(here)
+    for k in range(1, high + 1):
+        if k > 1:
+            pair, new = g.longer(here, h, k)
+            ids, here, h = _pair_ids(ids, pair), here[pair], new
+        if k < low:
+            ok = _marked(member, h)
+            here, h, ids = here[ok], h[ok], ids[ok]
+        if not len(here):
+            return
+        rows, ids = g.counts(here, k, ids)
+        if k >= low:
+            yield rows
+
+
+def counted(g: Grams, member: np.ndarray, longest: int) -> tuple[list[pa.RecordBatch], np.ndarray]:
+    """(counts of the phrases in ``member`` whose parts all are, hashes of
+    every occurrence of a border phrase)."""
+    out, border = [g.totals()], []
+    here, h = g.words()
+    ids = g.single(here)
+    for k in range(1, longest + 1):
+        if k > 1:
+            pair, new = g.longer(here, h, k)
+            ids, here, h = _pair_ids(ids, pair), here[pair], new
+        ok = _marked(member, h)
+        border.append(h[~ok])
+        here, h, ids = here[ok], h[ok], ids[ok]
+        if not len(here):
             break
-        done, fresh = done[pair] & done[pair + 1], fresh[pair] | fresh[pair + 1]
-        here, h = here[pair], _longer(h[pair], first[here[pair] + k - 1])
-        _, at, ids, c = np.unique(ids[pair] * (int(ids.max()) + 1) + ids[pair + 1],
-                                  return_index=True, return_inverse=True, return_counts=True)
-        emit = fresh[at] & ~done[at] if past is not None else np.ones(len(at), bool)
-        at, c = here[at[emit]], c[emit]
+        rows, ids = g.counts(here, k, ids)
+        out.append(rows)
+    return out, np.concatenate(border)
+
+
+def expanded(g: Grams, member: np.ndarray, full: np.ndarray, longest: int):
+    """Counts of the border phrases in full buckets, and of the phrases that
+    hold one and whose other parts are in ``member`` or hold one."""
+    here, h = g.words()
+    both = np.ones(len(here), bool)                 # both parts are in member, and theirs
+    for k in range(1, longest + 1):
+        if k > 1:
+            pair, h = g.longer(here, h, k)
+            here, both = here[pair], inside[pair] & inside[pair + 1]
+        inside = both & _marked(member, h)
+        holds = ~both | (~inside & _marked(full, h))
+        at = here[holds]
         if len(at):
-            rows = keys[idx[at[:, None] + np.arange(k)]].reshape(len(at), -1)
-            out.append(_batch([lang_of[i] for i in lang[at].tolist()], rows, k, None, c))
-    return out
+            places = g.idx[at[:, None] + np.arange(k)]
+            _, ids = np.unique(np.column_stack([g.lang[at], places]), axis=0, return_inverse=True)
+            yield g.counts(at, k, ids)[0]
+        keep = inside | holds
+        here, h, inside = here[keep], h[keep], inside[keep]
+        if not len(here):
+            return
 
 
 def _batch(langs, rows: np.ndarray, k: int, words, c: np.ndarray) -> pa.RecordBatch:
@@ -180,39 +235,100 @@ def _key_hashes(langs: list[str], keys: list[bytes]) -> np.ndarray:
 
 # --- Spark -------------------------------------------------------------------------
 
-def _counts(docs: DataFrame, member=None, past=None, tested: int = LONGEST, longest: int = LONGEST) -> DataFrame:
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("lang", "key", "word").agg(F.sum("c").alias("c"))
+
+
+def _grams(batches):
+    for b in small_batches(batches, BATCH_BYTES):
+        g = Grams(b.column(0), b.column(1))
+        if len(g.idx):
+            yield g
+
+
+def _map(value) -> np.ndarray:
+    return np.frombuffer(value.value, np.uint8)
+
+
+def _gathered(parts: DataFrame, bits: int, least: int) -> bytes:
+    """Bitmap of the numbers that occur ``least`` times in ``parts``:
+    ``range`` (high bits), ``low`` (two bytes each). The driver gets the
+    bitmap, whose size is bounded."""
     def run(batches):
-        m = None if member is None else np.frombuffer(member.value, np.uint8)
-        p = None if past is None else np.frombuffer(past.value, np.uint8)
-        for b in small_batches(batches, BATCH_BYTES):
-            yield from gram_counts(b.column(0), b.column(1), m, p, tested, longest)
+        now, held = None, None
+        for b in released(batches):
+            for r, low in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if r != now:
+                    if now is not None:
+                        yield full(now, held)
+                    now, held = r, np.zeros(1 << RANGE_BITS, np.int64)
+                held += np.bincount(np.frombuffer(low.as_buffer(), "<u2"), minlength=1 << RANGE_BITS)
+        if now is not None:
+            yield full(now, held)
+
+    def full(r, held):
+        data = np.packbits(held >= least, bitorder="little").tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([data], pa.binary())], names=["range", "bits"])
+
+    n = common.shuffle_partitions(parts.sparkSession)
+    got = parts.repartition(n, "range").sortWithinPartitions("range").mapInArrow(run, "range int, bits binary").collect()
+    out, step = bytearray(1 << (bits - 3)), 1 << (RANGE_BITS - 3)
+    for r in got:
+        out[r["range"] * step:(r["range"] + 1) * step] = r["bits"]
+    return bytes(out)
 
-    return (docs.mapInArrow(run, COUNT_SCHEMA).groupBy("lang", "key", "word").agg(F.sum("c").alias("c")))
 
+def _ranges(h: np.ndarray, bits: int, most: int) -> tuple[np.ndarray, list[bytes]]:
+    """(range, low two bytes of its numbers) of hashes; a number is listed
+    at most ``most`` times."""
+    at = np.sort((h & np.uint64((1 << bits) - 1)).astype(np.uint32))
+    if len(at) > most:
+        keep = np.ones(len(at), bool)
+        keep[most:] = at[most:] != at[:-most]
+        at = at[keep]
+    part = at >> np.uint32(RANGE_BITS)
+    cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(at) else np.zeros(0, np.int64)
+    low = (at & np.uint32((1 << RANGE_BITS) - 1)).astype("<u2")
+    return part[cut].astype(np.int32), [low[i:j].tobytes() for i, j in zip(cut.tolist(), [*cut.tolist()[1:], len(at)], strict=False)]
 
-def bitmap(phrases: DataFrame, bits: int) -> bytes:
-    """Bitmap of ``2 ** bits`` bits with one for each phrase (``lang, key``).
-    The driver gets the bitmap, whose size is bounded, not the phrases."""
-    step = min(bits, CHUNK_BITS)
 
+def bitmap(phrases: DataFrame, bits: int) -> bytes:
+    """Bitmap of ``2 ** bits`` bits with one for each phrase (``lang, key``)."""
     def places(batches):
         for b in released(batches):
-            at = _key_hashes(b.column(0).to_pylist(), b.column(1).to_pylist()) & np.uint64((1 << bits) - 1)
-            at = np.unique(at).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at >> step), pa.array(at & ((1 << step) - 1))], names=["chunk", "at"])
-
-    def gather(table: pa.Table) -> pa.Table:
-        part = np.zeros(1 << step, np.uint8)
-        part[np.asarray(table["at"])] = 1
-        return pa.table({"chunk": table["chunk"].slice(0, 1), "bits": pa.array([np.packbits(part, bitorder="little").tobytes()])})
-
-    parts = (phrases.filter(F.length("key") > 0).select("lang", "key").mapInArrow(places, "chunk long, at long").distinct()
-             .groupBy("chunk").applyInArrow(gather, "chunk long, bits binary").collect())
-    out = bytearray(1 << (bits - 3))
-    for r in parts:
-        at = r["chunk"] << (step - 3)
-        out[at:at + (1 << (step - 3))] = r["bits"]
-    return bytes(out)
+            part, low = _ranges(_key_hashes(b.column(0).to_pylist(), b.column(1).to_pylist()), bits, 1)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(low, pa.binary())], names=["range", "low"])
+
+    rows = phrases.filter(F.length("key") > 0).select("lang", "key")
+    return _gathered(rows.mapInArrow(places, "range int, low binary"), bits, 1)
+
+
+def _bits(n: int) -> int:
+    return min(MAX_BITS, max(MIN_BITS, int(n).bit_length()))
+
+
+def proposals(docs: DataFrame, least: int, longest: int, share: float, seed: int) -> tuple[DataFrame, int]:
+    """(``lang, key, ...`` of S, words of all documents, about): phrases of
+    the sample that reach the lowered threshold, longer ones of parts that do."""
+    spark, t = docs.sparkSession, lowered(least, share)
+    sample = docs.filter(F.rand(seed) < share)
+    found, member = None, None
+    for low, high in ((1, 1), (2, 2), (3, longest)):
+        def run(batches, member=member, low=low, high=high):
+            for g in _grams(batches):
+                yield from proposed(g, None if member is None else _map(member), low, high)
+
+        if high < low or low > longest:
+            break
+        more = common.written(_summed(sample.mapInArrow(run, COUNT_SCHEMA)).filter(F.col("c") >= t), "phrase-sample")
+        if member is None:
+            words = more.agg(F.sum("c")).first()[0] or 0
+        else:
+            member.unpersist()
+        found = more if found is None else found.unionAll(more)
+        member = spark.sparkContext.broadcast(bitmap(more, _bits(32 * more.count())))
+    member.unpersist()
+    return found, int(words / share)
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST,
@@ -226,23 +342,33 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     """
     spark = docs.sparkSession
     docs = spread(docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col), F.lit("und")).alias("lang")))
-    sample, t = docs.filter(F.rand(seed) < share), lowered(least, share)
-    known = common.written(_counts(sample, longest=1).filter(F.col("c") >= t), "phrase-sample")
-    bits = _bits(known.count())
-    words = spark.sparkContext.broadcast(bitmap(known, bits))
-    longer = _counts(sample, words, tested=1, longest=longest).filter((F.length("key") > WORD_BYTES) & (F.col("c") >= t))
-    known = known.unionAll(common.written(longer, "phrase-sample"))
-    bits = _bits(known.count())
-    proposed = bitmap(known, bits)
-    words.unpersist()
-    before = spark.sparkContext.broadcast(proposed)
-    found = _frequent(_counts(docs, before, longest=longest), least)
-    have, more = (np.frombuffer(x, np.uint8) for x in (proposed, bitmap(found, bits)))
-    if (more & ~have).any():                    # the border fails
-        member = spark.sparkContext.broadcast((more | have).tobytes())
-        found = found.unionAll(_frequent(_counts(docs, member, before, longest=longest), least))
-        member.unpersist()
-    before.unpersist()
+    known, words = proposals(docs, least, longest, share, seed)
+    member = spark.sparkContext.broadcast(bitmap(known, _bits(32 * known.count())))
+    bits = _bits(words // 2)
+
+    def count(batches):
+        for g in _grams(batches):
+            rows, border = counted(g, _map(member), longest)
+            for b in rows:
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())],
+                                                 names=[*b.schema.names, "range", "low"])
+            part, low = _ranges(border, bits, least)
+            n = len(part)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(n, pa.string()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()),
+                 pa.array(part, pa.int32()), pa.array(low, pa.binary())], names=[*rows[0].schema.names, "range", "low"])
+
+    def expand(batches):
+        for g in _grams(batches):
+            yield from expanded(g, _map(member), _map(full), longest)
+
+    raw = common.written(docs.mapInArrow(count, f"{COUNT_SCHEMA}, range int, low binary"), "phrase-pass")
+    found = _frequent(_summed(raw.filter("range is null").select("lang", "key", "word", "c")), least)
+    full = spark.sparkContext.broadcast(_gathered(raw.filter("range is not null").select("range", "low"), bits, least))
+    if any(full.value):                             # border failures, or buckets of several phrases
+        found = found.unionAll(_frequent(_summed(docs.mapInArrow(expand, COUNT_SCHEMA)), least))
+    full.unpersist()
+    member.unpersist()
     return found
 
 
@@ -250,10 +376,6 @@ def _frequent(counts: DataFrame, least: int) -> DataFrame:
     return common.written(counts.filter((F.col("c") >= least) | (F.length("key") == 0)), "phrase-counts")
 
 
-def _bits(n: int) -> int:
-    return min(MAX_BITS, max(MIN_BITS, (32 * n).bit_length()))
-
-
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST,
                  longest: int = LONGEST, top: int = TOP, percent: int = 100, share: float = SAMPLE,
                  seed: int = 13) -> DataFrame:
