@@ -20,12 +20,12 @@ from tagloom.sources.objects import question_tags, read_concat_objects
 
 
 def run(spark, path: str, out: str, rejects: str | None = None, folders: bool = False) -> None:
-    recs = read_concat_objects(spark, path).withColumn("_rec", F.monotonically_increasing_id())
+    recs = read_concat_objects(spark, path)
     if rejects:
         write_records(recs.filter(F.col("record").isNull()).select("file", "text"), rejects)
     tags = question_tags(recs.filter(F.col("record").isNotNull())
-                         .select("file", "_rec", "record.*"), keep=["file", "_rec"])
-    write_token_chunks(token_chunks(tags, ["file", "_rec", "pos"]), out, folders=folders)
+                         .select("file", "block", "id", "record.*"), keep=["file", "block", "id"])
+    write_token_chunks(token_chunks(tags, ["file", "block", "id", "pos"]), out, folders=folders)
 
 
 def main(argv=None) -> None:

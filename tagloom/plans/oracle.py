@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+from tagloom.plans.stateful import sql as stateful_sql
+
 # Sizes the registered queries use, small enough that both sides of them occur.
 LINE_MEMBERS = 20       # ids of a component line
 MAP_KEYS = 20           # keys of a count map
 
 # Tokens of documents.text split like a JVM String.split(" ").
-_TOKENS = """
-  select unnest(case when rtrim(text, ' ') = '' and text <> '' then []::varchar[]
-                     else string_split(rtrim(text, ' '), ' ') end) as tag
-  from documents
-"""
+_TOKEN_LIST = """case when rtrim(text, ' ') = '' and text <> '' then []::varchar[]
+                     else string_split(rtrim(text, ' '), ' ') end"""
+_TOKENS = f"select unnest({_TOKEN_LIST}) as tag from documents"
 _TOKEN_COUNT = f"select tag, count(*) as cnt from ({_TOKENS}) group by tag"
 
 _DAY_US = 86400000000
@@ -330,3 +330,5 @@ SQL.update({
              event_type, count(*) as n, max(value) as top, min(value) as low
       from events group by all""",
 })
+
+SQL.update(stateful_sql(SQL, _TOKEN_LIST))

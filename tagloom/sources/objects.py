@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagloom.sources.scan import JSON_QUOTES, LITERAL_QUOTES, scan_objects
+
 QUESTION_SCHEMA = T.StructType([
     T.StructField("links", T.StringType()),
     T.StructField("views", T.StringType()),
@@ -22,10 +24,6 @@ QUESTION_SCHEMA = T.StructType([
 _STR_FIELDS = ("links", "views")
 _LIST_FIELDS = ("votes", "answers", "questions", "tags")
 
-# Fixed value: the separator between two records written back to back.
-RECORD_SEPARATOR = "}{"
-
-
 def _as_list(v):
     if v is None:
         return None
@@ -57,37 +55,45 @@ def _literal_records(chunks: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def parse_concat_objects(chunks: DataFrame, text_col: str = "value") -> DataFrame:
-    """Record texts split at ``}{`` -> ``record`` struct (null if unreadable).
-
-    Adds back the braces the split removed. A string that itself holds
-    ``}{`` breaks its record; such pieces come out with a null ``record``.
-    """
-    body = F.regexp_replace(F.regexp_replace(F.col(text_col), r"^\s*\{", ""), r"\}\s*$", "")
-    fixed = chunks.filter(F.trim(F.col(text_col)) != "").withColumn(
-        "_rec_text", F.concat(F.lit("{"), body, F.lit("}")))
-    parsed = fixed.withColumn("_p", _literal_records("_rec_text"))
+def parse_literals(texts: DataFrame, text_col: str = "text") -> DataFrame:
+    """Adds ``record``: the struct that a Python literal holds (null if it
+    cannot be read)."""
+    parsed = texts.withColumn("_p", _literal_records(text_col))
     rec = F.struct(*[F.col(f"_p.{f.name}").alias(f.name) for f in QUESTION_SCHEMA.fields])
     return parsed.withColumn("record", F.when(F.col("_p._ok"), rec)).drop("_p")
 
 
 def read_concat_objects(spark: SparkSession, path: str) -> DataFrame:
-    """Records written back to back (``}{``) as Python-literal dicts.
+    """Records written back to back as Python-literal dicts.
 
-    The text reader splits files at the separator (also across file
-    splits), so parsing runs in parallel on all executors. Rows:
-    ``text`` (record text), ``record`` (struct), ``file``.
+    Borders are found by the quote-aware scan, in parallel over the splits
+    of each file: strings may hold ``}{`` and records may be wrapped or
+    apart by blanks. Rows: ``text`` (record text), ``record`` (struct, null
+    if it cannot be read; a file's unfinished end too), ``file``, and
+    ``block, id``, their order in the file.
     """
-    chunks = spark.read.option("lineSep", RECORD_SEPARATOR).text(path).withColumn(
-        "file", F.col("_metadata.file_path"))
-    return parse_concat_objects(chunks).select(F.col("_rec_text").alias("text"), "record", "file")
+    found = scan_objects(spark, path, LITERAL_QUOTES)
+    texts = found.withColumn("text", F.regexp_replace("text", r"^\s+|\s+$", "")).filter("text != ''")
+    return parse_literals(texts).select("text", "record", "file", "block", "id")
+
+
+# An element's text begins after the wrapper's ``{"items": [`` or a comma;
+# what follows the last one closes list and wrapper.
+_WRAPPER = r'(?s)^\s*\{\s*"(?:[^"\\]|\\.)*"\s*:\s*\[\s*'
+_COMMA = r"^\s*,\s*"
+_CLOSING = r"(^|\[)\s*\]\s*\}?\s*$"
 
 
 def read_items_json(spark: SparkSession, path: str) -> DataFrame:
-    """``{"items": [question, ...]}`` document(s) -> one row per question."""
-    doc = spark.read.schema(T.StructType([T.StructField("items", T.ArrayType(QUESTION_SCHEMA))])) \
-        .option("multiLine", "true").json(path)
-    return doc.select(F.inline("items"))
+    """``{"items": [question, ...]}`` document(s) -> one row per question.
+
+    A document of any size is read by as many tasks as it has splits: the
+    elements' borders come from the quote-aware scan, one level deep."""
+    found = scan_objects(spark, path, JSON_QUOTES, level=1)
+    texts = found.filter(F.col("whole") | ~F.col("text").rlike(_CLOSING))
+    text = F.when(F.col("text").rlike(_COMMA), F.regexp_replace("text", _COMMA, "")).otherwise(
+        F.regexp_replace("text", _WRAPPER, ""))
+    return texts.select(F.from_json(text, QUESTION_SCHEMA).alias("q")).select("q.*")
 
 
 def read_chart_json(spark: SparkSession, path: str) -> DataFrame:

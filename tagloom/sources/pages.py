@@ -56,11 +56,14 @@ def decode_entities(c: Column) -> Column:
 
 
 def _extract(c, pattern: str, kind: str):
-    """Decoded text of the first match (null if the field is absent), or of
-    all matches."""
+    """The first match (null if the field is absent), or all matches."""
     if kind == "all":
-        return F.transform(F.regexp_extract_all(c, F.lit(pattern), 1), decode_entities)
-    return F.when(c.rlike(pattern), decode_entities(F.regexp_extract(c, pattern, 1)))
+        return F.regexp_extract_all(c, F.lit(pattern), 1)
+    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
+
+
+def _decoded(c, kind: str):
+    return F.transform(c, decode_entities) if kind == "all" else decode_entities(c)
 
 
 def extract_records(pages: DataFrame, fields: dict = PAGE_FIELDS, html_col: str = "html",
@@ -83,8 +86,10 @@ def extract_records(pages: DataFrame, fields: dict = PAGE_FIELDS, html_col: str
         keep = keep + ["block_no"]
     else:
         src = pages.select(*keep, F.col(html_col).alias("_block"))
-    return src.select(*keep, *[_extract(F.col("_block"), p, k).alias(n)
-                               for n, (p, k) in fields.items()])
+    # matches first, decoding on top: the planner keeps the two apart since
+    # decoding reads a match several times
+    found = src.select(*keep, *[_extract(F.col("_block"), p, k).alias(n) for n, (p, k) in fields.items()])
+    return found.select(*keep, *[_decoded(F.col(n), k).alias(n) for n, (_, k) in fields.items()])
 
 
 def extract_questions(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -1,7 +1,8 @@
 import glob
+import json
 import xml.etree.ElementTree as ET
 
-
+import pytest
 from conftest import fixture_path
 from tagloom.operators import components, counting, topk
 from tagloom.operators.graph import Graph
@@ -23,14 +24,39 @@ def test_read_concat_objects(spark):
     assert {r["tag"]: r["cnt"] for r in tags.collect()}["git"] == 3
 
 
-def test_concat_objects_separator_inside_string_is_rejected(spark, tmpdir_path):
-    p = tmpdir_path + "/q.txt"
-    with open(p, "w") as f:
-        f.write("{'links': '1', 'tags': ['a']}{'links': '2', 'tags': ['x}{y']}{'links': '3', 'tags': []}")
-    recs = objects.read_concat_objects(spark, p).collect()
-    good = [r["record"]["links"] for r in recs if r["record"] is not None]
-    assert sorted(good) == ["1", "3"]
-    assert sum(r["record"] is None for r in recs) == 2
+def _literals(n):
+    texts = ["plain", "x}{y", "it's {", '"}{"', "back\\\\slash}", "line\nbreak", "}", "{'a': '}'}", "é}{ü", "'" * 3 + "}" + '"' * 2, ""]
+    return [{"links": str(i), "views": str(7 * i), "votes": [texts[(i + 3) % len(texts)]],
+             "questions": [texts[i % len(texts)], "t" * (i % 50)], "tags": [f"t{i % 5}"]} for i in range(n)]
+
+
+@pytest.mark.parametrize("split", [64, 300, 1 << 20])
+def test_objects_are_whole_over_all_splits(spark, tmpdir_path, split):
+    rows = _literals(400)
+    for name, part in (("a.txt", rows[:250]), ("b.txt", rows[250:399]), ("c.txt", rows[399:]), ("empty.txt", [])):
+        with open(f"{tmpdir_path}/{name}", "w") as f:
+            f.write("".join(repr(r) + ["", "", " ", "\n"][i % 4] for i, r in enumerate(part)))
+    with open(tmpdir_path + "/a.txt", "a") as f:
+        f.write("{'links': 'cut off', 'tags': ['x}")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = objects.read_concat_objects(spark, tmpdir_path).collect()
+        with open(tmpdir_path + "/items.json", "w") as f:
+            json.dump({"items": rows}, f, indent=1)
+        with open(tmpdir_path + "/none.json", "w") as f:
+            f.write('{"items": []}\n')
+        items = objects.read_items_json(spark, [tmpdir_path + "/items.json", tmpdir_path + "/none.json"]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    bad = [r for r in got if r["record"] is None]
+    assert [r["text"] for r in bad] == ["{'links': 'cut off', 'tags': ['x}"]
+    good = sorted((r["file"], r["block"], r["id"], r["record"]) for r in got if r["record"] is not None)
+    assert [(r["links"], r["votes"], r["questions"], r["tags"]) for *_, r in good] == [
+        (r["links"], r["votes"], r["questions"], r["tags"]) for r in rows]
+    assert sorted((r["links"], r["questions"]) for r in items) == sorted((r["links"], r["questions"]) for r in rows)
 
 
 def test_items_and_chart_json(spark):
