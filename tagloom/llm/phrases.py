@@ -326,7 +326,7 @@ def proposals(docs: DataFrame, least: int, longest: int, share: float, seed: int
         else:
             member.unpersist()
         found = more if found is None else found.unionAll(more)
-        member = spark.sparkContext.broadcast(bitmap(more, _bits(32 * more.count())))
+        member = spark.sparkContext.broadcast(bitmap(found, _bits(32 * found.count())))
     member.unpersist()
     return found, int(words / share)
 
