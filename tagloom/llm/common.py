@@ -29,6 +29,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a ``row`` number, stored once (see ``written``). Numbers
+    follow the splits of the scan that makes them, and splits follow the
+    cores registered at that moment; two scans may number rows differently.
+    Whoever tells rows apart by number reads them from this table only."""
+    return written(df.select(F.monotonically_increasing_id().alias("row"), *df.columns), name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

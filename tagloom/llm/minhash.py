@@ -72,12 +72,12 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def sketches(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), width: int = WIDTH) -> DataFrame:
-    """``keep`` columns, ``row`` (the document's place in ``docs``),
-    ``n_shingles``, ``class`` (128-bit hash of the set; null if empty) and
-    ``signature`` of every document."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"), *keep)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) if keep else ""
+def sketches(rows: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), width: int = WIDTH) -> DataFrame:
+    """``keep`` columns, ``row``, ``n_shingles``, ``class`` (128-bit hash of
+    the set; null if empty) and ``signature`` of every document of a
+    numbered table."""
+    rows = rows.select("row", F.col(text_col).alias("text"), *keep)
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema) if keep else ""
 
     def run(batches):
         for b in small_batches(batches):
@@ -94,10 +94,11 @@ def sketches(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()
     return rows.mapInArrow(run, f"{SKETCH_SCHEMA}{', ' + kept if kept else ''}")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """``row, set`` of the documents whose place is in ``wanted`` (``row``):
-    their texts are read again, so sets of other documents are never kept."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
+def sets_of(rows: DataFrame, wanted: DataFrame, text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """``row, set`` of the documents of a numbered table whose row is in
+    ``wanted``: their texts are read again, so sets of other documents are
+    never kept."""
+    rows = rows.select("row", F.col(text_col).alias("text"))
 
     def run(batches):
         for b in small_batches(batches):
@@ -148,11 +149,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component (``component`` is null); one with fewer than ``width`` words has its whole sequence
     as the only shingle. Repeated rows are linked to each other (equal
     sets). Null ids are allowed: a component of them alone has a null id.
-    An empty table has no rows. ``docs`` should come from files, since it
-    is read twice and rows are told apart by their place.
+    An empty table has no rows. Rows are told apart by a number that is
+    stored with them once.
     """
-    sketch = common.written(sketches(docs.withColumnRenamed(id_col, "doc_id"), text_col, ("doc_id",), width),
-                            "minhash-sketch")
+    rows = common.numbered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "minhash-rows")
+    return _linked(rows, width, percent)
+
+
+def _linked(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """``near_duplicates`` of a numbered table (``row, doc_id, text``)."""
+    sketch = common.written(sketches(rows, "text", ("doc_id",), width), "minhash-sketch")
     # One class per distinct set; its least row stands for it.
     classes = common.written(
         sketch.filter("class is not null").groupBy("class").agg(F.min("row").alias("cid"),
@@ -167,8 +173,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = common.written(bands.join(buckets, "bucket"), "minhash-member")
     pairs = members.filter("cid != pivot").select(F.col("cid").alias("x"), F.col("pivot").alias("y")).distinct()
     pairs = common.written(_agreeing(common.written(pairs, "minhash-pair"), reps), "minhash-near")
-    sets = common.written(sets_of(docs, common.written(members.select(F.col("cid").alias("row")).distinct(),
-                                                       "minhash-wanted"), text_col, width), "minhash-set")
+    sets = common.written(sets_of(rows, common.written(members.select(F.col("cid").alias("row")).distinct(),
+                                                       "minhash-wanted"), "text", width), "minhash-set")
     links = common.written(_confirmed(pairs, sets, percent), "minhash-link")
     comp = common.written(components(links, "x", "y"), "minhash-comp")
     more = common.written(_across(members, comp, reps, sets, percent), "minhash-across")
@@ -190,13 +196,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                   percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group of linked ones: the one with
-    the least id (a null id is the greatest), then the first in ``docs``.
+    the least id (a null id is the greatest), then the first row.
     Texts without words all stay. Columns are unchanged."""
-    found = common.written(near_duplicates(docs, id_col, text_col, width, percent), "minhash-found")
+    rows = common.numbered(docs.select(F.struct(*docs.columns).alias("doc")), "minhash-docs")
+    found = common.written(_linked(rows.select("row", F.col("doc")[id_col].alias("doc_id"), F.col("doc")[text_col].alias("text")),
+                                   width, percent), "minhash-found")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     stay = (found.filter("component is null").select("row").unionAll(
         found.filter("component is not null").groupBy("component").agg(first.alias("f")).select("f.row")))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc"))
     # a merge join at every size: most documents stay, so the list of rows
     # is no small side
     kept = rows.join(common.written(stay, "minhash-stay").hint("merge"), "row", "left_semi")

@@ -92,19 +92,18 @@ def mix(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", source_col:
     (how often the mix takes the document, 0 to ``max_copies``).
 
     ``size_col`` holds whole numbers (null: 0). A null source is a source.
-    Documents with null or equal ids are told apart by their place in
-    ``docs``, which therefore should come from files (a table, a
-    checkpoint). Documents of size 0 get copies like others of their rank.
+    Documents with null or equal ids are told apart by a row number that is
+    stored with them once. Documents of size 0 get copies like others of their rank.
     An empty table stays empty. Columns of ``docs`` named like an output
     are replaced. Same ids, sizes, sources and seed: same result.
     """
     rows = docs.select(
         F.struct(*docs.columns).alias("doc"), F.col(source_col).alias("source"),
         F.coalesce(F.col(size_col).cast("long"), F.lit(0)).alias("size"),
-        F.monotonically_increasing_id().alias("row"),
         ((F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11) + 0.5) / float(1 << 53)).alias("u"))
     per_doc = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    light = common.written(rows.drop("doc"), "mix-light")
+    rows = common.numbered(rows, "mix-numbered")
+    light = rows.drop("doc")
     sizes = source_sizes(light, "source", "size")
     state = (targets(sizes, weights, share, max_copies)
              # a fraction that is 0 or 1 but for rounding is 0 or 1

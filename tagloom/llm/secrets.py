@@ -56,11 +56,13 @@ def _found(text: Column, kind: str) -> Column:
 
 
 def candidates(docs: DataFrame, text_col: str = "text", owner_col: str = "source",
-               keep: tuple[str, ...] = ()) -> DataFrame:
-    """``row`` (the document's place in ``docs``), ``owner``, the columns
-    in ``keep`` and ``found``, of every document."""
+               keep: tuple[str, ...] = (), row: Column | None = None) -> DataFrame:
+    """``row`` (a stored row number, or else the document's place in this
+    scan of ``docs``: store the result before it is used twice), ``owner``,
+    the columns in ``keep`` and ``found``, of every document."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(*keep, F.monotonically_increasing_id().alias("row"), F.col(owner_col).alias("owner"),
+    row = F.monotonically_increasing_id() if row is None else row
+    return docs.select(*keep, row.alias("row"), F.col(owner_col).alias("owner"),
                        F.concat(*(_found(text, k) for k in KINDS)).alias("found"))
 
 
@@ -164,12 +166,12 @@ def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source",
     copied examples stay. All rows and columns are kept.
 
     Null texts stay null; a null owner counts as an owner; repeated rows
-    are documents of their own. Rows are told apart by their place in
-    ``docs``, which therefore should come from files. An empty table stays
-    empty. Column names of ``docs`` cannot clash with the operator's own.
+    are documents of their own. Rows are told apart by a number that is
+    stored with them once. An empty table stays empty. Column names of
+    ``docs`` cannot clash with the operator's own.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc"))
-    found = common.written(candidates(docs, text_col, owner_col), "secret-found")
+    rows = common.numbered(docs.select(F.struct(*docs.columns).alias("doc")), "secret-rows")
+    found = common.written(candidates(rows, f"doc.{text_col}", f"doc.{owner_col}", row=F.col("row")), "secret-found")
     spans = common.written(scan(found, example_owners).filter(F.size("live_spans") > 0).select("row", "live_spans"),
                            "secret-spans")
     text = F.col("doc")[text_col]

@@ -250,11 +250,6 @@ RUN_SCHEMA = "row long, first long, n int, anchor long, string long"
 SPAN_SCHEMA = "row long, begin long, last long"
 
 
-def _rows(docs: DataFrame, text_col: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"),
-                       F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8").alias("bytes"))
-
-
 def _runs(window: int):
     def run(batches):
         for b in released(batches):
@@ -267,11 +262,11 @@ def _runs(window: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(rows: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame, str]:
     """(window intervals ``row, begin, last``, ``row, bytes`` of the
-    documents that have any): windows that begin at ``begin`` to ``last``
-    all occur elsewhere too."""
-    rows = _rows(docs, text_col)
+    documents that have any, the table that holds these): windows that
+    begin at ``begin`` to ``last`` all occur elsewhere too. ``rows`` are
+    stored ``row, bytes``."""
     runs = common.written(rows.mapInArrow(_runs(window), RUN_SCHEMA), "suffix-runs")
     anchors = common.written(
         runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("string").alias("lo"), F.max("string").alias("hi"))
@@ -296,7 +291,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW
               .groupBy("row").agg(F.collect_list("w").alias("wanted")))
     # every document with a span or a string to look at, with its text, once
     touched = (whole.select("row").distinct().join(wanted, "row", "full"))
-    texts = _bucketed(rows.join(common.written(touched, "suffix-touched"), "row"), "row")
+    texts, table = _bucketed(rows.join(common.written(touched, "suffix-touched"), "row"), "row")
     cut = texts.filter("wanted is not null").select("row", "bytes", "wanted").mapInArrow(
         _cut(window), "row long, first long, n int, anchor long, several boolean, hot boolean, data binary")
     home = F.when(F.col("hot"), F.xxhash64("row", "first")).otherwise(F.xxhash64("anchor"))
@@ -307,18 +302,18 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     if not hot.isEmpty():
         starts = hot.agg(F.sum("n")).first()[0]
         spans = spans.unionAll(common.written(_across(hot, ranges_of(starts), window), "suffix-across"))
-    return spans, texts.select("row", "bytes")
+    return spans, texts.select("row", "bytes"), table
 
 
-def _bucketed(df: DataFrame, key: str) -> DataFrame:
+def _bucketed(df: DataFrame, key: str) -> tuple[DataFrame, str]:
     """Write ``df`` bucketed by ``key`` into the warehouse, so that later
-    joins on ``key`` do not shuffle it again."""
+    joins on ``key`` do not shuffle it again; the table and its name."""
     import uuid
     spark = df.sparkSession
     n = common.shuffle_partitions(spark)
     name = f"suffix_texts_{uuid.uuid4().hex[:12]}"
     df.repartition(n, key).write.bucketBy(n, key).sortBy(key).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), name
 
 
 def _cut(window: int):
@@ -439,17 +434,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null texts are empty; texts shorter than ``window`` bytes lose nothing.
     Repeated rows are documents of their own, so each loses what it shares
-    with the others. Null ids are kept. An empty table has no rows. ``docs``
-    should come from files: rows are told apart by their place.
+    with the others. Null ids are kept. An empty table has no rows. Rows are
+    told apart by a number that is stored with them once.
     """
-    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
-                       F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8").alias("bytes"))
-    base = common.written(base.select("row", "doc_id", F.octet_length("bytes").cast("long").alias("n_bytes"),
-                                      F.sha2("bytes", 256).alias("whole_sha256")), "suffix-base")
-    spans, texts = repeated_spans(docs, text_col, window)
+    rows = common.numbered(docs.select(F.col(id_col).alias("doc_id"),
+                                       F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8").alias("bytes")),
+                           "suffix-rows")
+    spans, texts, table = repeated_spans(rows.select("row", "bytes"), window)
     lost = common.written(removed(spans, texts, window).select(
         "row", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")), "suffix-lost")
+    docs.sparkSession.sql(f"DROP TABLE {table}")
+    base = common.written(rows.select("row", "doc_id", F.octet_length("bytes").cast("long").alias("n_bytes"),
+                                      F.sha2("bytes", 256).alias("whole_sha256")), "suffix-base")
     return base.join(lost, "row", "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        "doc_id", "n_bytes",
+        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"))
