@@ -176,7 +176,8 @@ def beside_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     guest = F.struct(F.element_at(F.lit(before).cast("array<int>"), at).alias("bucket"), F.lit(1).alias("guest"))
     return (rows.withColumn("to", F.explode(F.when(is_first, F.array(own, guest)).otherwise(F.array(own))))
             .select("to.bucket", "to.guest", "doc_id", "text")
-            .repartition(n, "bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text"))
+            # range k is partition k: no two ranges meet in one task
+            .repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", "guest", "doc_id", "text"))
 
 
 EDIT_SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "

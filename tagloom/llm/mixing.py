@@ -5,11 +5,13 @@ Targets: sources share the wanted total by weight; a target stops at
 weight among the others until none is above (one aggregate over the
 source table per round).
 
-Selection, per source: a document is due ``e = target / source size``
-copies. The whole part is certain. For the fraction ``p`` each document
-gets a uniform number u from a hash of its id, and documents are ranked by
-Pareto order, ``(u / (1 - u)) / (p / (1 - p))``; the least ranks are taken
-up to the words still wanted.
+Selection, per source: a document is due ``e = min(level * weight,
+max_copies)`` copies, with the level at which the source's documents are
+due its target (weights by document; equal ones if none are given). The
+whole part of ``e`` is certain. For the fraction ``p``, which differs from
+document to document, each gets a uniform number u from a hash of its id,
+and documents are ranked by Pareto order, ``(u / (1 - u)) / (p / (1 - p))``;
+the least ranks are taken up to the words still wanted.
 
 No task sorts a source. The rank becomes a 62-bit number, and the cut is
 found digit by digit: words per (source, leading 8 bits), aggregated map
@@ -86,42 +88,85 @@ def targets(sizes: DataFrame, weights: DataFrame, share: float = 1.0,
                     F.when(F.col("weight") > 0, target).otherwise(0.0).alias("target"))
 
 
+def _levels(rows: DataFrame, state: DataFrame, max_copies: int) -> DataFrame:
+    """``state`` with the ``level`` of each source at which ``min(level *
+    weight, max_copies)`` copies of its documents (``weight, size``) add up
+    to its target. Newton's method, one aggregate a round over sources that
+    have documents above the cap; sums are decimals, so reruns agree."""
+    top = F.col("level") * F.col("heaviest") > max_copies
+    state = state.withColumn("level", F.when(F.col("mass") > 0, F.col("target") / F.col("mass")).otherwise(0.0))
+    state = common.written(state.withColumn("open", top), "mix-level")
+    while not state.filter("open").isEmpty():
+        level = state.filter("open").select(F.col("source").alias("_source"), F.col("level").alias("_level"))
+        over = F.col("_level") * F.col("weight") >= max_copies
+        part = (rows.join(level, F.col("source").eqNullSafe(F.col("_source"))).groupBy("_source")
+                .agg(F.sum(F.when(over, F.col("size")).otherwise(0)).alias("full"),
+                     F.sum(F.when(~over, _mass()).otherwise(0)).cast("double").alias("free"))
+                .withColumn("found", F.lit(True)))
+        next_ = F.when(F.col("free") > 0, (F.col("target") - max_copies * F.col("full")) / F.col("free")).otherwise(1e300)
+        moved = F.col("open") & (next_ > F.col("level") * (1 + 1e-9))
+        state = common.written(
+            state.join(part, F.col("found") & F.col("source").eqNullSafe(F.col("_source")), "left")
+            .select(*(c for c in state.columns if c not in ("level", "open")),
+                    F.when(moved, next_).otherwise(F.col("level")).alias("level"),
+                    (moved & (next_ < 1e300)).alias("open")), "mix-level")
+    return state.drop("open")
+
+
+def _mass() -> Column:
+    return (F.col("weight") * F.col("size")).cast("decimal(38,9)")
+
+
 def mix(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", source_col: str = "source",
-        size_col: str = "size", share: float = 1.0, max_copies: int = MAX_COPIES, seed: int = 11) -> DataFrame:
+        size_col: str = "size", share: float = 1.0, max_copies: int = MAX_COPIES, seed: int = 11,
+        weight_col: str | None = None) -> DataFrame:
     """``docs`` with ``source_size, target`` (of its source) and ``copies``
     (how often the mix takes the document, 0 to ``max_copies``).
 
-    ``size_col`` holds whole numbers (null: 0). A null source is a source.
+    ``size_col`` holds whole numbers (null: 0). ``weight_col`` says how much
+    more often a document of a source is taken than another (null, negative
+    or not a number: 0, which is never). A null source is a source.
     Documents with null or equal ids are told apart by a row number that is
-    stored with them once. Documents of size 0 get copies like others of their rank.
-    An empty table stays empty. Columns of ``docs`` named like an output
-    are replaced. Same ids, sizes, sources and seed: same result.
+    stored with them once. Documents of size 0 get copies like others of
+    their rank. An empty table stays empty. Columns of ``docs`` named like
+    an output are replaced. Same ids, sizes, weights, sources and seed: same
+    result.
     """
+    own = F.lit(1.0) if weight_col is None else F.col(weight_col).cast("double")
     rows = docs.select(
         F.struct(*docs.columns).alias("doc"), F.col(source_col).alias("source"),
         F.coalesce(F.col(size_col).cast("long"), F.lit(0)).alias("size"),
+        F.when((own > 0) & (own < 1e9), own).otherwise(0.0).alias("weight"),
         ((F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11) + 0.5) / float(1 << 53)).alias("u"))
-    per_doc = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = common.numbered(rows, "mix-numbered")
     light = rows.drop("doc")
     sizes = source_sizes(light, "source", "size")
-    state = (targets(sizes, weights, share, max_copies)
-             # a fraction that is 0 or 1 but for rounding is 0 or 1
-             .withColumn("due", F.round(per_doc, 12)).withColumn("whole", F.floor("due").cast("int"))
-             .withColumn("p", F.col("due") - F.col("whole"))
-             .withColumn("need", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
-             .withColumn("need", F.when(F.col("p") > 0, F.col("need")).otherwise(0.0))
-             .withColumn("prefix", F.lit(0).cast("long")).withColumn("shift", F.lit(_BITS)))
-    state = common.written(state.drop("due"), "mix-state")
+    heavy = light.groupBy(F.col("source").alias("_source")).agg(
+        F.sum(_mass()).cast("double").alias("mass"), F.max("weight").alias("heaviest"))
+    state = (targets(sizes, weights, share, max_copies).join(heavy, F.col("source").eqNullSafe(F.col("_source"))).drop("_source"))
+    state = _levels(light, state, max_copies).select("source", "source_size", "n", "target", "level")
+
+    def due(rows: DataFrame, state: DataFrame) -> DataFrame:
+        """Rows beside their source's state, with certain copies ``whole``
+        and the chance ``p`` of one more."""
+        s = state.withColumnRenamed("source", "_source")
+        # a fraction that is 0 or 1 but for rounding is 0 or 1
+        e = F.round(F.least(F.col("level") * F.col("weight"), F.lit(float(max_copies))), 9)
+        return (rows.join(s, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("e", e)
+                .withColumn("whole", F.floor("e").cast("int")).withColumn("p", F.col("e") - F.col("whole")).drop("e"))
+
+    need = due(light, state).groupBy(F.col("source").alias("_source")).agg(
+        F.sum((F.col("p") * F.col("size")).cast("decimal(38,9)")).cast("double").alias("need"))
+    state = common.written(state.join(need, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+                           .withColumn("prefix", F.lit(0).cast("long")).withColumn("shift", F.lit(_BITS)), "mix-state")
 
     def with_state(rows: DataFrame, state: DataFrame) -> DataFrame:
-        """Rows beside their source's state, with their rank ``v``."""
-        s = state.withColumnRenamed("source", "_source")
+        """``due`` rows with their rank ``v``."""
         odds = (F.col("u") / (1 - F.col("u"))) * ((1 - F.col("p")) / F.col("p"))
         top = F.least(F.floor(odds / (1 + odds) * float(1 << 40)), F.lit((1 << 40) - 1)).cast("long")
         low = F.xxhash64("row").bitwiseAND(F.lit((1 << 22) - 1))    # tells equal ids apart
-        return (rows.join(s, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-                .withColumn("v", F.when(F.col("p") > 0, F.shiftleft(top, 22).bitwiseOR(low)).otherwise(F.lit(1 << _BITS))))
+        return due(rows, state).withColumn(
+            "v", F.when(F.col("p") > 0, F.shiftleft(top, 22).bitwiseOR(low)).otherwise(F.lit(1 << _BITS)))
 
     wide = (F.col("need") > 0) & (F.col("n") > CELL) & (F.col("shift") > 0)
     while not state.filter(wide).isEmpty():
@@ -143,7 +188,7 @@ def mix(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", source_col:
                  .alias("chosen")))
     state = common.written(
         state.join(cells, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source"), "mix-cut")
-    drawn = (F.col("need") > 0) & ((F.col("v") < F.expr("shiftleft(prefix, shift)"))
+    drawn = (F.col("need") > 0) & (F.col("p") > 0) & ((F.col("v") < F.expr("shiftleft(prefix, shift)"))
                                    | F.coalesce(F.array_contains("chosen", F.col("row")), F.lit(False)))
     out = ["source_size", "target", "copies"]
     return (with_state(rows, state).withColumn("copies", F.col("whole") + drawn.cast("int"))

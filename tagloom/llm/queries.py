@@ -34,7 +34,9 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = common.written(documents(spark, sf_dir, "doc_id", "source", "text")
                            .select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "mix-rows")
     weights = mixing.cyclic_weights(mixing.source_sizes(sized, "source", "size"))
-    return mixing.mix(sized, weights).select(
+    # a long document is due fewer copies than a short one of its source
+    sized = sized.withColumn("chance", F.when(F.col("size") > 0, 1 / F.sqrt("size")))
+    return mixing.mix(sized, weights, weight_col="chance").select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 

@@ -1,5 +1,6 @@
 """Mixing, classifier, chat, secrets, vectors and the pipeline."""
 
+import collections
 import hashlib
 import math
 import re
@@ -82,6 +83,40 @@ def test_samples_take_documents_alike(spark):
     assert set(drawn) == set(range(40)) and min(drawn.values()) >= 12 and max(drawn.values()) <= 24
 
 
+def test_inclusion_follows_the_weights(spark):
+    """Each source is one trial: 16 documents of one size, weights 1 to 4,
+    8 of them taken; certain copies come first."""
+    weight = [1.0, 2.0, 3.0, 4.0] * 4
+    rows = [(1000 * s + i, f"s{s:04d}", 10, w) for s in range(600) for i, w in enumerate(weight)]
+    rows += [(-1 - s, f"t{s:04d}", 10 * 16, 1.0) for s in range(600)]
+    docs = stored(spark, rows, "doc_id long, source string, size long, weight double")
+    sources = docs.select("source").distinct().withColumn("weight", F.when(F.col("source").startswith("s"), 1.0).otherwise(3.0))
+    got = mixing.mix(docs, sources, share=1.0, weight_col="weight").collect()
+    per_source = collections.defaultdict(int)
+    taken = collections.defaultdict(int)
+    for r in got:
+        assert r["copies"] <= 3
+        per_source[r["source"]] += r["copies"]
+        if r["source"][0] == "s":
+            taken[weight[r["doc_id"] % 1000]] += r["copies"]
+    assert {n for s, n in per_source.items() if s[0] == "s"} == {8}
+    for w, n in taken.items():          # due: 8 * w / 40
+        assert abs(n / 2400 - 0.2 * w) < 0.04
+
+
+def test_levels_reach_the_target_under_the_cap(spark):
+    rows = [(i, "a", 1 + i % 50, float(1 + i % 7) ** 3) for i in range(400)] + [(900 + i, "b", 5000, 1.0) for i in range(9)]
+    rows += [(1000, "c", 0, 1.0), (1001, "c", 7, None), (1002, None, 3, -1.0), (1003, "d", None, float("nan"))]
+    docs = stored(spark, rows, "doc_id long, source string, size long, weight double")
+    sources = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("c", 1.0), (None, 1.0)], "source string, weight double")
+    for share in (0.3, 1.0):
+        got = mixing.mix(docs, sources, share=share, weight_col="weight").collect()
+        a = [r for r in got if r["source"] == "a"]
+        assert len(got) == len(rows) and max(r["copies"] for r in a) <= 3
+        assert abs(sum(r["size"] * r["copies"] for r in a) - a[0]["target"]) <= 50
+        assert all(r["copies"] == 0 for r in got if r["doc_id"] in (1001, 1002, 1003))
+
+
 # --- classifier -------------------------------------------------------------------
 
 def test_classifier_separates_classes_and_takes_odd_texts(spark):
