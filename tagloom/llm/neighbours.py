@@ -18,6 +18,10 @@ one; queries are scaled to length one.
   with all vectors, and the least ratio is taken that finds ``RECALL`` of
   their neighbours.
 
+A query first meets the ``FIRST`` nearest of its lists, without replicas.
+The worst of its ``k`` best there is a floor: no list returns less, so what
+is found grows with the queries, not with the lists they search.
+
 Equal vectors are one class, which is indexed and searched once. A task
 holds one part of a list and meets queries batch by batch.
 """
@@ -47,6 +51,7 @@ DEGREE = 8                  # neighbours of a centroid in the graph, before it i
 WIDTH = 16                  # centroids kept while a vector's lists are sought
 ENTRIES = 8
 BLOCK = 256                 # queries compared together
+FIRST = 5                   # lists a query meets to find its floor
 
 
 # --- index ----------------------------------------------------------------------
@@ -192,16 +197,16 @@ def lists_of(model: Lists, x: np.ndarray) -> list[np.ndarray]:
 class Space:
     """Vectors as points on the unit sphere: ``scale`` is the largest
     component, ``top`` the largest squared norm after scaling, ``dim`` the
-    most components (shorter vectors are filled with zeros; they are
+    most components, ``kind`` the stored type (shorter vectors are filled with zeros; they are
     compared with vectors of their own length only)."""
 
-    def __init__(self, scale: float, top: float, dim: int):
-        self.scale, self.top, self.dim = scale, top, dim
+    def __init__(self, scale: float, top: float, dim: int, kind: str):
+        self.scale, self.top, self.dim, self.kind = scale, top, dim, kind
 
     def _padded(self, raw: list[bytes]) -> np.ndarray:
         x = np.zeros((len(raw), self.dim + 1))
         for i, r in enumerate(raw):
-            v = np.frombuffer(r)
+            v = np.frombuffer(r, self.kind)
             x[i, :len(v)] = v
         return x
 
@@ -216,9 +221,9 @@ class Space:
         return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
-def _keyed(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+def _keyed(vectors: DataFrame, id_col: str, vector_col: str, kind: str) -> DataFrame:
     """``vec_id, class, raw, high, sum`` of the usable rows: the class is a
-    hash of the doubles, ``high`` their largest size, ``sum`` the squared
+    hash of the stored numbers (``kind``), ``high`` their largest size, ``sum`` the squared
     norm after division by it."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
 
@@ -234,7 +239,7 @@ def _keyed(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
                     continue
                 s = a / high
                 ids.append(i)
-                raws.append(a.tobytes())
+                raws.append(a.astype(kind).tobytes())
                 highs.append(high)
                 sums.append(float(s @ s))
             yield pa.RecordBatch.from_arrays(
@@ -280,7 +285,8 @@ def fit(one: DataFrame, n: int, space: Space) -> Lists:
 
 
 def assign(one: DataFrame, model: Lists, space: Space) -> DataFrame:
-    """``cid, raw, least, list``: every class in each of its lists."""
+    """``cid, raw, least, list, home``: every class in each of its lists;
+    ``home`` is the nearest."""
     shared = one.sparkSession.sparkContext.broadcast((model.centers, model.graph))
 
     def run(batches):
@@ -290,11 +296,12 @@ def assign(one: DataFrame, model: Lists, space: Space) -> DataFrame:
                 part = b.slice(i, BLOCK)
                 held = lists_of(m, space.points(part.column(1).to_pylist()))
                 rows = part.take(pa.array(np.repeat(np.arange(len(held)), [len(h) for h in held])))
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.concatenate(held).astype(np.int32))],
-                                                 names=["cid", "raw", "least", "list"])
+                home = np.concatenate([np.arange(len(h)) == 0 for h in held])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.concatenate(held).astype(np.int32)), pa.array(home)],
+                                                 names=["cid", "raw", "least", "list", "home"])
 
-    return common.written(one.select("cid", "raw", "least").mapInArrow(run, "cid long, raw binary, least long, list int"),
-                          "ann-lists")
+    return common.written(one.select("cid", "raw", "least").mapInArrow(
+        run, "cid long, raw binary, least long, list int, home boolean"), "ann-lists")
 
 
 # --- comparison -----------------------------------------------------------------------
@@ -305,9 +312,10 @@ def _dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return np.einsum("ij,ij->i", x, y)
 
 
-def best(q: np.ndarray, x: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best(q: np.ndarray, x: np.ndarray, least: np.ndarray, k: int, floor=-np.inf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, score) of the k rows of ``x`` with the largest inner
-    product with each row of ``q``, ties to the smaller ``least``."""
+    product with each row of ``q``, ties to the smaller ``least``; none
+    below the query's ``floor``."""
     with np.errstate(all="ignore"):
         s = q @ x.T
     s[np.isnan(s)] = -np.inf
@@ -315,6 +323,7 @@ def best(q: np.ndarray, x: np.ndarray, least: np.ndarray, k: int) -> tuple[np.nd
         cut = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
     else:
         cut = np.full(len(s), -np.inf)
+    cut = np.maximum(cut, floor)
     # a product may differ in its last digits from the sum below
     i, j = np.nonzero((s >= (cut - 1e-9 * np.abs(cut))[:, None]) | (s == cut[:, None]))
     score = _dots(q[i], x[j])
@@ -335,24 +344,24 @@ def _found(query, cid, least, score) -> pa.RecordBatch:
                                        pa.array(score, pa.float64())], names=["query", "cid", "least", "score"])
 
 
-def _by_length(raw: list[bytes]) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, rows, matrix) of vectors of each length."""
+def _by_length(raw: list[bytes], kind: str) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, rows, matrix of doubles) of vectors of each length."""
     lens = np.array([len(r) for r in raw])
-    return [(n, at, np.frombuffer(b"".join(raw[i] for i in at.tolist())).reshape(len(at), -1))
+    return [(n, at, np.frombuffer(b"".join(raw[i] for i in at.tolist()), kind).astype(np.float64).reshape(len(at), -1))
             for n in np.unique(lens).tolist() for at in (np.flatnonzero(lens == n),)]
 
 
-def exact(queries: DataFrame, one: DataFrame, k: int) -> DataFrame:
+def exact(queries: DataFrame, one: DataFrame, k: int, kind: str) -> DataFrame:
     """``query, cid, least, score``: the k best classes of each of a few
     query classes (``cid, raw``, at most ``CHECKED``) among all."""
     asked = [(r["cid"], bytes(r["raw"])) for r in queries.select("cid", "raw").collect()]
 
     def run(batches):
-        sides = {n: (at, q) for n, at, q in _by_length([r for _, r in asked])}
+        sides = {n: (at, q) for n, at, q in _by_length([r for _, r in asked], kind)}
         ids = np.array([c for c, _ in asked], np.int64)
         for b in released(batches):
             cid, least = np.asarray(b.column(0)), np.asarray(b.column(2))
-            for n, at, x in _by_length(b.column(1).to_pylist()):
+            for n, at, x in _by_length(b.column(1).to_pylist(), kind):
                 if n in sides:
                     i, j, s = best(sides[n][1], x, least[at], k)
                     yield _found(ids[sides[n][0][i]], cid[at[j]], least[at[j]], s)
@@ -371,7 +380,7 @@ def fitted_ratio(asked: DataFrame, one: DataFrame, held: DataFrame, model: Lists
     """The least search ratio that reaches ``recall`` of the true neighbours
     of at most ``CHECKED`` queries. The driver gets their neighbours' lists."""
     few = common.written(asked.select("cid", "raw").orderBy(F.xxhash64("cid"), "cid").limit(CHECKED), "ann-checked")
-    truth = common.written(exact(few, one, k + 1).filter("query != cid").select("query", "cid"), "ann-truth")
+    truth = common.written(exact(few, one, k + 1, space.kind).filter("query != cid").select("query", "cid"), "ann-truth")
     pairs = truth.join(held.select("cid", "list"), "cid").groupBy("query", "cid").agg(F.collect_list("list").alias("lists")).collect()
     if not pairs:
         return 1.0
@@ -385,24 +394,28 @@ def fitted_ratio(asked: DataFrame, one: DataFrame, held: DataFrame, model: Lists
 
 
 def _sought(asked: DataFrame, model: Lists, space: Space, ratio: float) -> DataFrame:
-    """``cid, raw, list``: the lists that each query class searches."""
+    """``cid, raw, list, first``: the lists that each query class searches,
+    and whether it is one of the ``FIRST`` nearest."""
     shared = asked.sparkSession.sparkContext.broadcast((model.centers, model.graph))
+    few = FIRST
 
     def run(batches):
         m = Lists(*shared.value)
         for b in released(batches):
             for i in range(0, b.num_rows, BLOCK):
                 part = b.slice(i, BLOCK)
-                lists = m.within(space.queries(part.column(1).to_pylist()), ratio)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([x.astype(np.int32) for x in lists], pa.list_(pa.int32()))],
-                    names=["cid", "raw", "lists"])
+                q = space.queries(part.column(1).to_pylist())
+                lists = m.within(q, ratio)
+                near = m.nearest(q)[0][:, :few]
+                first = [np.isin(x, n) for x, n in zip(lists, near, strict=True)]
+                rows = part.take(pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists])))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.concatenate(lists).astype(np.int32)),
+                                                  pa.array(np.concatenate(first))], names=["cid", "raw", "list", "first"])
 
-    return (asked.select("cid", "raw").mapInArrow(run, "cid long, raw binary, lists array<int>")
-            .select("cid", "raw", F.explode("lists").alias("list")))
+    return common.written(asked.select("cid", "raw").mapInArrow(run, "cid long, raw binary, list int, first boolean"), "ann-sought")
 
 
-def _compare(k: int):
+def _compare(k: int, kind: str):
     def run(batches):
         now, cids, raws, leasts, sides = None, [], [], [], None
         for b in released(batches):
@@ -421,18 +434,33 @@ def _compare(k: int):
                     continue
                 if sides is None:
                     ids, least = np.array(cids, np.int64), np.array(leasts, np.int64)
-                    sides = {n: (ids[r], least[r], x) for n, r, x in _by_length(raws)} if raws else {}
-                asked = np.asarray(seg.column(3))
-                for n, r, q in _by_length(seg.column(4).to_pylist()):
+                    sides = {n: (ids[r], least[r], x) for n, r, x in _by_length(raws, kind)} if raws else {}
+                asked, floor = np.asarray(seg.column(3)), np.asarray(seg.column(6))
+                for n, r, q in _by_length(seg.column(4).to_pylist(), kind):
                     if n not in sides:
                         continue
                     c, least, x = sides[n]
                     for i in range(0, len(r), BLOCK):
-                        p, j, s = best(q[i:i + BLOCK], x, least, k)
+                        p, j, s = best(q[i:i + BLOCK], x, least, k, floor[r[i:i + BLOCK]])
                         yield _found(asked[r[i + p]], c[j], least[j], s)
     return run
 
 
+def _met(held: DataFrame, sought: DataFrame, parts: DataFrame, k: int, kind: str) -> DataFrame:
+    """``query, cid, least, score``: what each query (``cid, raw, list,
+    floor``) finds in the lists. A class that is found in several lists has
+    the same score in each."""
+    stored = (held.join(parts, "list")
+              .select("list", F.pmod(F.xxhash64("cid"), "parts").cast("int").alias("part"), F.lit(0).alias("asks"),
+                      "cid", "raw", "least", F.lit(0.0).alias("floor")))
+    asks = (sought.join(parts, "list")
+            .select("list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("asks"),
+                    "cid", "raw", F.lit(0).cast("long").alias("least"), "floor"))
+    return (stored.unionAll(asks).repartition(common.shuffle_partitions(held.sparkSession), "list", "part")
+            .sortWithinPartitions("list", "part", "asks").mapInArrow(_compare(k, kind), FOUND)
+            .groupBy("query", "cid", "least").agg(F.max("score").alias("score")))
+
+
 def nearest(vectors: DataFrame, queries=None, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K,
             recall: float = RECALL) -> DataFrame:
     """``query_id, rank, vec_id, score``: of every row that the condition
@@ -448,7 +476,9 @@ def nearest(vectors: DataFrame, queries=None, id_col: str = "vec_id", vector_col
     not read. Scores are exact; which neighbours are found is approximate
     (``recall`` is what the search ratio is fitted to).
     """
-    keyed = common.written(_keyed(vectors, id_col, vector_col), "ann-rows")
+    # floats are stored as they are; products are of doubles either way
+    kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
+    keyed = common.written(_keyed(vectors, id_col, vector_col, kind), "ann-rows")
     one = _classes(keyed, k)
     n, scale, width = one.agg(F.count(F.lit(1)), F.max("high"), F.max(F.length("raw"))).first()
     asking = keyed if queries is None else keyed.filter(queries)
@@ -456,7 +486,7 @@ def nearest(vectors: DataFrame, queries=None, id_col: str = "vec_id", vector_col
     if not n:
         return keyed.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
     top = one.agg(F.max(F.col("sum") * F.pow(F.col("high") / F.lit(scale), 2))).first()[0]
-    space = Space(scale, top, width // 8)
+    space = Space(scale, top, width // np.dtype(kind).itemsize, kind)
     model = fit(one, n, space)
     held = assign(one, model, space)
     asking = common.written(asking.join(one.select("class", F.col("cid").alias("query")), "class").drop("class"), "ann-asking")
@@ -464,16 +494,14 @@ def nearest(vectors: DataFrame, queries=None, id_col: str = "vec_id", vector_col
                            .select("cid", "raw"), "ann-asked")
     ratio = fitted_ratio(asked, one, held, model, space, k, recall)
     parts = common.written(held.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts")), "ann-parts")
-    stored = (held.join(parts, "list")
-              .select("list", F.pmod(F.xxhash64("cid"), "parts").cast("int").alias("part"), F.lit(0).alias("asks"),
-                      "cid", "raw", "least"))
-    sought = (_sought(asked, model, space, ratio).join(parts, "list")
-              .select("list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("asks"),
-                      "cid", "raw", F.lit(0).cast("long").alias("least")))
-    met = (stored.unionAll(sought).repartition(common.shuffle_partitions(vectors.sparkSession), "list", "part")
-           .sortWithinPartitions("list", "part", "asks").mapInArrow(_compare(k + 1), FOUND))
-    # a class found in several lists has the same score in each
-    found = common.written(met.groupBy("query", "cid", "least").agg(F.max("score").alias("score")), "ann-found")
+    sought = _sought(asked, model, space, ratio)
+    no_floor = F.lit(float("-inf")).alias("floor")
+    near = _met(held.filter("home"), sought.filter("first").select("cid", "raw", "list", no_floor), parts, k + 1, kind)
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "least")
+    floors = common.written(near.withColumn("i", F.row_number().over(order)).filter(F.col("i") == F.lit(k + 1))
+                            .select(F.col("query").alias("cid"), F.col("score").alias("floor")), "ann-floors")
+    sought = sought.join(floors, "cid", "left").select("cid", "raw", "list", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    found = common.written(_met(held, sought, parts, k + 1, kind), "ann-found")
     named = (_top(found, k + 1).join(one.select("cid", "ids"), "cid")
              .select("query", "score", F.explode("ids").alias("vec_id")))
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
