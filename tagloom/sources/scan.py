@@ -129,7 +129,7 @@ def _starts(table: pa.Table) -> pa.Table:
 def _borders(n: int, level: int):
     """Per split: the last object begun in it, and the pieces that are not a
     whole object, with the piece their object begins at (null: one of an
-    earlier split) and whether they end it."""
+    earlier split) and ``ends``: 2 if they end it, 1 if a cut follows, else 0."""
     def run(batches):
         for b in batches:
             rows = []
@@ -139,12 +139,15 @@ def _borders(n: int, level: int):
                 state, depth = b.column("state")[i].as_py(), b.column("depth")[i].as_py()
                 outside, at = _runs(after, opened, state, depth)
                 ends = outside & (at == level)
-                ends[-1] &= bool(b.column("closed")[i].as_py())
+                closed = bool(b.column("closed")[i].as_py())
+                ends[-1] &= closed
+                code = np.where(ends, 2, 1)
+                code[-1] = code[-1] if closed else 0
                 begins = np.r_[state == 0 and depth == level or b.column("first")[i].as_py(), ends[:-1]]
                 place = np.maximum.accumulate(np.where(begins, np.arange(len(ids)), -1))
                 for j in np.flatnonzero(~(begins & ends)).tolist():
                     own = int(ids[place[j]]) if place[j] >= 0 else None
-                    rows.append((file, block, int(ids[j]), own, int(ends[j])))
+                    rows.append((file, block, int(ids[j]), own, int(code[j])))
                 rows.append((file, block, None, int(ids[place[-1]]) if place[-1] >= 0 else None, None))
             yield _table(rows, ("file", "block", "id", "own", "ends"))
     return run
@@ -203,10 +206,10 @@ def _gathered(pieces: DataFrame, borders: DataFrame) -> DataFrame:
     alone = (pieces.join(parts.select("block", "id", "file"), ["file", "block", "id"], "left_anti")
              .select("file", "block", "id", F.concat("value", F.lit(CUT)).alias("text"), F.lit(True).alias("whole")))
     several = (pieces.select("file", "block", "id", "value").join(parts, ["file", "block", "id"])
-               .groupBy("file", "home").agg(F.sort_array(F.collect_list(F.struct("block", "id", "value"))).alias("p"),
+               .groupBy("file", "home").agg(F.sort_array(F.collect_list(F.struct("block", "id", "value", "ends"))).alias("p"),
                                             F.max("ends").alias("whole"))
                .select("file", F.coalesce("home.block", F.col("p")[0]["block"]).alias("block"),
                        F.coalesce("home.own", F.col("p")[0]["id"]).alias("id"),
-                       F.concat(F.array_join(F.col("p.value"), CUT), F.when(F.col("whole") == 1, CUT).otherwise("")).alias("text"),
-                       (F.col("whole") == 1).alias("whole")))
+                       F.concat(F.array_join(F.col("p.value"), CUT), F.when(F.element_at("p", -1)["ends"] > 0, CUT).otherwise("")).alias("text"),
+                       (F.col("whole") == 2).alias("whole")))
     return alone.unionAll(several)

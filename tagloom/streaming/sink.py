@@ -61,8 +61,11 @@ class RichSinkWriter(DataSourceStreamWriter):
             for row in iterator:
                 sink.invoke(row)
                 rows += 1
-        finally:
+        except BaseException:
             sink.close()
+            fs.delete_file(f"{path}/data/{name}")
+            raise
+        sink.close()
         return Written(name, rows)
 
     def commit(self, messages, batchId):

