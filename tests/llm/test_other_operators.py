@@ -325,7 +325,8 @@ def test_components_of_paths_hubs_and_loops(spark):
 
 # --- queries and pipeline --------------------------------------------------------------------
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+# the others' rows are compared with brute force in test_new_operators.py
+@pytest.mark.parametrize("name", [n for n in sorted(queries.QUERIES) if n.split("_")[0] not in ("op11", "op12", "op13")])
 def test_registered_query_covers_its_table(spark, name):
     table = {"op7_chat_format": "conversations", "op9_cover_tree": "embeddings"}.get(name, "documents")
     key = {"conversations": "conv_id", "embeddings": "vec_id"}.get(table, "doc_id")
@@ -352,7 +353,15 @@ def test_pipeline_stages_keep_their_promises(spark):
     assert set(r["doc_id"] for r in mixed.collect()) <= {r["doc_id"] for r in clean.collect()}
     packed = corpus_pipeline.pack(spark, mixed, SF_SMALL)
     assert {r[0] for r in packed.select("doc_id").distinct().collect()} == {r["doc_id"] for r in mixed.collect()}
-    odd = odd_documents(spark)
-    for _, stage in corpus_pipeline.STAGES[1:]:
+    odd = odd_documents(spark).select(*docs.columns)
+    ids = Counter(r["doc_id"] for r in odd.collect())
+    for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, odd, SF_SMALL)
-        assert out.count() >= 0
+        got = Counter(r["doc_id"] for r in out.select("doc_id").collect())
+        assert set(got) <= set(ids) and stage(spark, odd.filter("false"), SF_SMALL).count() == 0, name
+        if name == "secret scan":
+            assert got == ids
+        if name == "near dedup":            # the two equal rows are one group
+            assert sum(got.values()) == sum(ids.values()) - 1
+        if name == "packing":
+            assert set(got) == set(ids)
