@@ -2,6 +2,13 @@
 rounds (Kiveris et al., "Connected Components in MapReduce and Beyond",
 SoCC 2014), each round a few DataFrame aggregates and equi-joins.
 
+Rounds are preceded by contractions: a task reduces its edges, block by
+block, to one star per local component (``local_stars``), so an edge set
+of any density leaves a task as at most one row per vertex it has seen.
+The stars are dealt anew by their member and contracted again as long as
+that halves them; the rounds then start from a near-forest, and an edge
+set that fits one block needs no round at all.
+
 Every round's edge set is checkpointed to the shared checkpoint folder:
 lineage stays one round long and a lost executor recomputes at most one
 round. The loop stops when a round leaves the edge set unchanged
@@ -18,13 +25,18 @@ aggregate that is already partitioned on the key blocks it).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tagloom.operators.graph import Graph
 from tagloom.operators.indexing import group_position
 from tagloom.session import checkpoint
 
+BLOCK_EDGES = 1 << 20       # edges contracted at a time; a block takes about 100 bytes an edge
+
 
 def _undirected(edges: DataFrame) -> DataFrame:
     """(u, v) with u < v, no self-loops, no duplicates."""
@@ -32,6 +44,52 @@ def _undirected(edges: DataFrame) -> DataFrame:
             .filter(F.col("u") != F.col("v")).distinct())
 
 
+def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Least vertex number of each vertex's component, for edges
+    ``a[i]``-``b[i]`` among ``n`` vertices: roots hook onto smaller roots
+    and chains are halved until no edge joins two roots."""
+    root = np.arange(n)
+    while len(a):
+        ra, rb = root[a], root[b]
+        open_ = ra != rb
+        a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while True:
+            up = root[root]
+            if np.array_equal(up, root):
+                break
+            root = up
+    return root
+
+
+def local_stars(e: DataFrame, block_edges: int = BLOCK_EDGES) -> DataFrame:
+    """Edges ``(u, v)`` as stars ``(least vertex, member)`` of each block of
+    at most ``block_edges`` edges a task holds; the same components, and
+    never more rows than edges. Memory: one block."""
+    def run(batches):
+        def stars(held):
+            u = np.concatenate([x for x, _ in held])
+            v = np.concatenate([y for _, y in held])
+            ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+            root = _roots(at[:len(u)], at[len(u):], len(ids))
+            leaf = np.flatnonzero(root != np.arange(len(ids)))
+            return pa.RecordBatch.from_arrays([pa.array(ids[root[leaf]]), pa.array(ids[leaf])], names=["u", "v"])
+
+        held, n = [], 0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, block_edges):
+                part = batch.slice(lo, block_edges)
+                if held and n + part.num_rows > block_edges:
+                    yield stars(held)
+                    held, n = [], 0
+                held.append(tuple(part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)))
+                n += part.num_rows
+        if held:
+            yield stars(held)
+
+    return e.select(F.col("u").cast("long"), F.col("v").cast("long")).mapInArrow(run, "u long, v long")
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     """Link every neighbour v > u to m(u) = min(u, N(u))."""
     both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -73,8 +131,29 @@ def _is_star_forest(e: DataFrame) -> bool:
     return roles.filter(((F.col("r") > 0) & (F.col("l") > 0)) | (F.col("l") > 1)).isEmpty()
 
 
-def star_edges(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """Iterate to the fixed point: every component a star (root, member).
+def _contracted(edges: DataFrame, block_edges: int) -> tuple[DataFrame, tuple, bool]:
+    """The edges contracted where they lie, then dealt by member and
+    contracted again while that at least halves them, with their
+    fingerprint and whether they are star-shaped already (one block held
+    them all). A member has at most one row per block before it, so a hub
+    or a giant component is no hot key."""
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plain = (edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"))
+             .filter(F.col("u") != F.col("v")))
+    e, fp = _checkpoint(local_stars(plain, block_edges))
+    while fp[0]:
+        n = min(parts, -(-fp[0] // block_edges))
+        dealt = e.coalesce(1) if fp[0] <= block_edges else e.repartition(n, "v")
+        before, whole = fp[0], fp[0] <= block_edges
+        e, fp = _checkpoint(local_stars(dealt, block_edges))
+        if whole or fp[0] * 2 > before:
+            return e, fp, whole
+    return e, fp, True
+
+
+def star_edges(edges: DataFrame, max_rounds: int = 200, block_edges: int = BLOCK_EDGES) -> DataFrame:
+    """Contract (edges of long ids), then iterate to the fixed point:
+    every component a star (root, member).
 
     ``max_rounds`` drops nothing: the rounds needed grow with the logarithm
     of the vertex count, and a run that exceeds the bound raises.
@@ -82,7 +161,12 @@ def star_edges(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     Stops when a round changes nothing, or, once a round leaves the edge
     count unchanged, as soon as the edge set is a star forest.
     """
-    e, fp = _undirected(edges), (None, None)   # round 1 reads the input directly
+    if isinstance(edges.schema["src"].dataType, LongType) and isinstance(edges.schema["dst"].dataType, LongType):
+        e, fp, done = _contracted(edges, block_edges)
+        if done:
+            return e
+    else:
+        e, fp = _undirected(edges), (None, None)   # round 1 reads the input directly
     for _ in range(max_rounds):
         e, nfp = _checkpoint(_small_star(checkpoint(_large_star(e))))
         if nfp == fp or (nfp[0] == fp[0] and _is_star_forest(e)):

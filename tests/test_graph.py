@@ -176,3 +176,39 @@ def test_components_without_edges_and_with_self_loops_only(spark):
         e = spark.createDataFrame(rows, "src long, dst long, weight long")
         got = {r["id"]: r["component"] for r in components.connected_components(Graph(v, e)).collect()}
         assert got == {1: 1, 2: 2, 3: 3}
+
+
+def test_contraction_keeps_components(spark):
+    rng = random.Random(11)
+    chain = [(i, i + 1) for i in range(299)] + [(299, i) for i in range(0, 300, 5)]     # a path and a hub
+    sparse = [(rng.randrange(500), rng.randrange(500)) for _ in range(420)]
+    for n, edges in ((300, chain), (500, sparse), (3, [])):
+        e = spark.createDataFrame(edges, "src long, dst long").repartition(3)
+        want = _union_find(n, edges)
+        for block in (1 << 20, 32):
+            stars = {r["v"]: r["u"] for r in components.star_edges(e, block_edges=block).collect()}
+            assert {i: stars.get(i, i) for i in range(n)} == want, (n, block)
+
+
+def test_contraction_needs_fewer_rounds_and_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(6000)]
+    e = spark.createDataFrame(edges, "src long, dst long").repartition(4)
+    seen = []
+    plain = components._large_star
+    monkeypatch.setattr(components, "_large_star", lambda x: seen.append(x.count()) or plain(x))
+    components.star_edges(e)                                            # one block holds them all
+    assert seen == []
+    components.star_edges(e, block_edges=256)
+    contracted = list(seen)
+    seen.clear()
+    monkeypatch.setattr(components, "_contracted", lambda x, b: (components._undirected(x), (None, None), False))
+    components.star_edges(e)
+    assert contracted and sum(contracted) < sum(seen) / 4
+
+
+def test_components_of_int_ids_keep_their_type(spark):
+    e = spark.createDataFrame([(3, 1), (1, 2), (7, 7)], "src int, dst int")
+    got = components.star_edges(e)
+    assert dict(got.dtypes) == {"u": "int", "v": "int"}
+    assert {(r["u"], r["v"]) for r in got.collect()} == {(1, 2), (1, 3)}
