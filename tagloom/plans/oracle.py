@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tagloom.plans.listings import sql as listings_sql
 from tagloom.plans.stateful import sql as stateful_sql
 
 # Sizes the registered queries use, small enough that both sides of them occur.
@@ -332,3 +333,4 @@ SQL.update({
 })
 
 SQL.update(stateful_sql(SQL, _TOKEN_LIST))
+SQL.update(listings_sql(SQL, _between("<footer>", "</footer>")))

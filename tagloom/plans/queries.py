@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tagloom.operators import components, counting, graph, topk, windows
 from tagloom.operators.partitioning import spread
 from tagloom.plans import graph_inputs as gi
-from tagloom.plans import stateful
+from tagloom.plans import listings, stateful
 from tagloom.plans.oracle import LINE_MEMBERS, MAP_KEYS
 from tagloom.session import drop_scratch, scratch_path
 from tagloom.sinks import reports
@@ -374,3 +374,4 @@ QUERIES = {
 }
 
 QUERIES.update(stateful.QUERIES)
+QUERIES.update(listings.QUERIES)

@@ -97,6 +97,11 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isFile()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a folder that ``scratch_path`` named, once nothing reads it."""
     fs, p = _file_system(spark, path)

@@ -195,3 +195,42 @@ def test_console_sink_runs(spark, tmpdir_path):
     q = windowed.start_console(counting.tokenize(text_lines_stream(spark, src)), 10,
                                trigger={"availableNow": True})
     windowed.run_until_done(q)
+
+
+def _appended(spark, path, per_chunk):
+    from tagloom.sinks.text import read_token_chunks
+    return {r["chunk"]: r["text"] for r in read_token_chunks(spark, path, per_chunk).collect()}
+
+
+def test_appended_chunks_equal_one_run(spark, tmpdir_path):
+    from tagloom.sinks.text import append_token_chunks, document_token_chunks, read_token_chunks
+    texts = ["a b c", "", None, "d", "e f g h i j k l", "  m", "n o"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = tmpdir_path + "/chunks"
+    assert read_token_chunks(spark, path, 4).count() == 0
+
+    def run(n, lo, hi):
+        append_token_chunks(docs.filter((docs.doc_id >= lo) & (docs.doc_id < hi)), path, n, per_chunk=4)
+
+    def whole(hi):
+        return {r["chunk"]: r["text"] for r in document_token_chunks(docs.filter(docs.doc_id < hi), per_chunk=4).collect()}
+
+    for n, lo, hi in ((0, 0, 0), (1, 0, 1), (2, 1, 4), (3, 4, 4), (7, 4, 5), (8, 5, 7)):    # no tokens, a full chunk, a gap
+        run(n, lo, hi)
+        assert _appended(spark, path, 4) == whole(hi), n
+    run(8, 5, 7)                                                        # the last run repeated
+    assert _appended(spark, path, 4) == whole(7)
+    with pytest.raises(ValueError):
+        run(7, 4, 5)
+
+
+def test_uncommitted_run_is_ignored_and_repeated(spark, tmpdir_path):
+    from tagloom.session import drop_scratch
+    from tagloom.sinks.text import append_token_chunks
+    path = tmpdir_path + "/chunks"
+    for n, text in enumerate(["a b c", "d e f"]):
+        append_token_chunks(spark.createDataFrame([(n, text)], "doc_id long, text string"), path, n, per_chunk=2)
+    drop_scratch(spark, path + "/tails/run=1")                          # failed after its chunks
+    assert _appended(spark, path, 2) == {0: "a b ", 1: "c "}
+    append_token_chunks(spark.createDataFrame([(5, "x")], "doc_id long, text string"), path, 1, per_chunk=2)
+    assert _appended(spark, path, 2) == {0: "a b ", 1: "c x "}
