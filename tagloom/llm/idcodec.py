@@ -44,7 +44,7 @@ from tagloom.llm.tokens import END_ID, encoder, released, small_batches, tokeniz
 
 STRIPS, STEPS = 4096, 128
 BLOCK = STRIPS * STEPS
-MAX_UNITS = 1_200_000            # cached word parts of a worker (about 250 MB)
+MAX_UNITS = 1_200_000            # cached word parts of a worker (about 40 MB)
 GROUP = 1                        # blocks coded side by side (the tables of more leave the cache)
 _REFRESH = frozenset((1, 4, 16, 48, 88))
 _BITS = 24

@@ -11,7 +11,7 @@ import pytest
 from llm_data import ODD, odd_documents, prose, stored
 
 from tagloom.llm import common, cws, idcodec, minhash, packing, suffix
-from tagloom.llm.tokens import encoder, tokenizer_path
+from tagloom.llm.tokens import WordEncoder, encoder, tokenizer_path
 from tagloom.session import scratch_path
 
 DOC = "doc_id long, text string"
@@ -33,6 +33,18 @@ def test_ids_equal_the_library():
         at += k
 
 
+def test_known_units_are_columns_and_encoded_once():
+    enc, texts = WordEncoder(tokenizer_path()), pa.array(ODD + ["J̌ KK a.b,c", prose(2, 400)], pa.string())
+    ids, n = enc.encode(texts)
+    assert isinstance(enc.units, pa.Array) and len(enc.units) == len(enc.lens) == len(set(enc.units.to_pylist()))
+    tok, enc.tok = enc.tok, None                # a second pass does not ask the library
+    again = enc.encode(texts)
+    assert (ids == again[0]).all() and (n == again[1]).all()
+    enc.tok, enc.max_units = tok, 1             # forgets its units and learns them anew
+    again = enc.encode(texts)
+    assert (ids == again[0]).all() and (n == again[1]).all()
+
+
 def test_crc_of_joined_pieces():
     a, b = b"left" * 99, b"right!" * 1001
     assert common.crc32_concat(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
