@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_SMALL
-from tagloom.llm import chat, classifier, components, covertree, mixing, queries, secrets
+from tagloom.llm import chat, classifier, common, components, covertree, mixing, queries, secrets
 
 SIZED = "doc_id long, source string, size long"
 
@@ -323,6 +323,18 @@ def test_components_of_paths_hubs_and_loops(spark):
     assert got == want
 
 
+def test_components_that_fit_a_block_write_two_tables(spark, monkeypatch):
+    names, written = [], common.written
+    monkeypatch.setattr(common, "written", lambda df, name: names.append(name) or written(df, name))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(3, i) for i in range(500, 540)], "a long, b long")
+    got = {r["id"]: r["component"] for r in components.components(edges.repartition(7)).collect()}
+    assert got == {i: 0 for i in [*range(201), *range(500, 540)]}
+    assert len(names) == 2                      # a driver plans no rounds for them
+    # blocks of 16 edges, which rounds have to join, and ids that are no longs
+    for e, size in ((edges, 16), (edges.select(F.col("a").cast("int"), F.col("b").cast("int")), 1 << 20)):
+        assert {r["id"]: r["component"] for r in components.components(e.repartition(7), block_edges=size).collect()} == got
+
+
 # --- queries and pipeline --------------------------------------------------------------------
 
 # the others' rows are compared with brute force in test_new_operators.py
