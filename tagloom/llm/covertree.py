@@ -5,25 +5,36 @@ cosine >= c is distance <= sqrt(2 - 2c). Equal vectors are one class.
 
 The upper tree is built by Spark: a cell of more than ``CELL`` classes is
 split among centres drawn from it (at most ``FANOUT``), and each child
-keeps its covering radius, measured over all its members. The traversal
-starts with the pair (root, root) and replaces pairs by the pairs of their
-children, an equi-join a level; a pair is pruned if the distance of its
-centres exceeds both radii plus the threshold.
+keeps its covering radius, measured over all its members. Vectors stay
+where they are meanwhile: tasks find the cell of each by walking down the
+centres known so far (one in about ``SPLIT`` vectors), and only numbers are
+shuffled. The traversal starts with the pair (root, root) and replaces
+pairs by the pairs of their children, an equi-join a level; a pair is
+pruned if the distance of its centres exceeds both radii plus the threshold.
 
 Every leaf cell gets a cover tree in numpy, once (nested levels whose radii
-halve). A pair of leaf cells is one row, whose task walks both trees
-together with the same bound; leaves are compared by matrix products. It returns link
+halve). Cells are dealt to groups, and a task streams the pairs of cells of
+two groups, which it reads from the one shuffle by group: no cell is
+written once per pair or per partner, so disk grows with the vectors, not
+with the pairs. A pair's trees are walked together with the same bound;
+leaves are compared by matrix products. It returns link
 counts per class and the edges of a spanning forest, so the number of
 linked pairs is never a number of rows.
+
+Vectors are stored in the type of the column (float or double), in the
+input's scale, and normalised wherever they are used.
 """
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.llm import common
 from tagloom.llm.components import components
@@ -35,13 +46,25 @@ SPLIT = 2048                # classes a new cell should have
 FANOUT = 64
 LEAF = 48                   # vectors of a leaf in the numpy trees
 BLOCK = 1024                # vectors assigned to centres together
+GROUP = 4                   # leaf cells of a group, as long as there are few groups
+GROUPS = 32                 # groups, as long as they are small
+GROUP_BYTES = 32 << 20      # a group's vectors; a task holds one group and one cell more
+PAIR_BYTES = 8 << 20        # cells given to Python together
+HEAD = 24                   # components of the products that are made first
+TILE = 1 << 18              # products made at a time
 _SLACK = 1e-6               # distances near zero are good to about 1e-8 only, the more so the longer the vectors
+_HEAD_SLACK = 1e-5          # products of heads are single precision
 _ROOT_RADIUS = 2.0
 
 
-def _vectors(raw: list[bytes]) -> np.ndarray:
+def _vectors(raw: list[bytes], kind=np.float64) -> np.ndarray:
     """Normalised rows of stored vectors (all of one length)."""
-    v = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+    return _normal(np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1))
+
+
+def _normal(v: np.ndarray) -> np.ndarray:
+    v = v.astype(np.float64)
+    v /= np.abs(v).max(axis=1, keepdims=True)           # no overflow or underflow in the norm
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
@@ -64,6 +87,16 @@ class Tree:
         self.lo, self.hi, self.radius, self.first, self.end = lo, hi, radius, first, end
         self.center = x[lo]
         self.leaf = first == end
+        self._head = None
+
+    @property
+    def head(self) -> np.ndarray:
+        """The first ``HEAD`` components of each row and the norm of the
+        others: the products of two such rows bound those of the rows."""
+        if self._head is None:
+            rest = np.linalg.norm(self.x[:, HEAD:], axis=1)
+            self._head = np.concatenate([self.x[:, :HEAD], rest[:, None]], axis=1).astype(np.float32)
+        return self._head
 
     @classmethod
     def build(cls, x: np.ndarray) -> "Tree":
@@ -123,6 +156,31 @@ def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
+def _block_links(a: Tree, lo: int, hi: int, b: Tree, q: np.ndarray, cosine: float):
+    """(row of ``a`` from ``lo`` to ``hi``, place in ``q``) arrays of linked
+    vectors, some rows at a time. Where the products of the heads leave few
+    rows, only those are compared whole."""
+    other, heads = b.x[q].T, b.head[q].T
+    step = max(16, TILE // max(len(q), 1))
+    for at in range(lo, hi, step):
+        x = a.x[at:min(at + step, hi)]
+        near, k = None, None
+        if x.shape[1] > HEAD:
+            hit = a.head[at:at + len(x)] @ heads >= np.float32(cosine - _HEAD_SLACK)
+            if not hit.any():
+                continue
+            near = np.flatnonzero(hit.any(axis=1))
+            if 4 * len(near) > len(x):
+                near = None
+        if near is None:
+            i, k = np.nonzero(x @ other >= cosine)
+        else:
+            i, k = np.nonzero(x[near] @ other >= cosine)
+            i = near[i]
+        if len(i):
+            yield i + at, k
+
+
 def dual_links(a: Tree, b: Tree, cosine: float):
     """(rows of a, rows of b) arrays of linked vectors."""
     reach = float(np.sqrt(2 - 2 * cosine)) + _SLACK
@@ -145,90 +203,119 @@ def dual_links(a: Tree, b: Tree, cosine: float):
                 stack.append((below, leaves))
             elif len(leaves):
                 q = _ranges(b.lo[leaves], b.hi[leaves])
-                p, k = np.nonzero(a.x[a.lo[n]:a.hi[n]] @ b.x[q].T >= cosine)
-                if len(p):
-                    yield p + a.lo[n], q[k]
+                for p, k in _block_links(a, int(a.lo[n]), int(a.hi[n]), b, q, cosine):
+                    yield p, q[k]
             if len(inner):
                 stack.append((below, _ranges(b.first[inner], b.end[inner])))
 
 
 # --- Spark -------------------------------------------------------------------------
 
-def classes(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame]:
-    """(``vec_id, class`` of every row, one row per class): ``class`` is a
-    hash of the vector's length and doubles, null for unusable vectors."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
-
-    def run(batches):
-        for b in released(batches):
-            keys, raws = [], []
-            for v in b.column(1):
-                raw = key = None
-                if v.is_valid and len(v) and v.values.null_count == 0:
-                    a = v.values.to_numpy()
-                    with np.errstate(over="ignore"):
-                        usable = bool(np.isfinite(a).all()) and bool(a.any())
-                    if usable:
-                        a = a / np.abs(a).max()         # no overflow or underflow in the norm
-                        raw = a.tobytes()
-                        key = xxhash.xxh3_128_digest(raw)
-                keys.append(key)
-                raws.append(raw)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(raws, pa.binary())],
-                                             names=["vec_id", "class", "raw"])
-
-    keyed = common.written(rows.mapInArrow(run, "vec_id long, class binary, raw binary"), "vec-rows")
-    one = (keyed.filter("class is not null").groupBy("class")
+def classes(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame, type]:
+    """(``vec_id, class`` of every row, one row per class, type of the
+    stored numbers): ``class`` is a hash of the vector's length and scaled
+    doubles, null for unusable vectors."""
+    single = vectors.schema[vector_col].dataType == T.ArrayType(T.FloatType(), vectors.schema[vector_col].dataType.containsNull)
+    kind, stored = (np.float32, "array<float>") if single else (np.float64, "array<double>")
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(stored).alias("v"))
+
+    def run(with_raw):
+        def of(batches):
+            for b in released(batches):
+                keys, raws = [], []
+                for v in b.column(1):
+                    raw = key = None
+                    if v.is_valid and len(v) and v.values.null_count == 0:
+                        a = v.values.to_numpy()
+                        with np.errstate(over="ignore"):
+                            usable = bool(np.isfinite(a).all()) and bool(a.any())
+                        if usable:
+                            raw = a.tobytes()
+                            a = a.astype(np.float64)
+                            key = xxhash.xxh3_128_digest((a / np.abs(a).max()).tobytes())
+                    keys.append(key)
+                    raws.append(raw)
+                cols = [b.column(0), pa.array(keys, pa.binary()), pa.array(raws, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols[:2 + with_raw], names=["vec_id", "class", "raw"][:2 + with_raw])
+        return of
+
+    # the vectors are read twice and stored once, with their class
+    keyed = common.written(rows.mapInArrow(run(False), "vec_id long, class binary"), "vec-rows")
+    one = (rows.mapInArrow(run(True), "vec_id long, class binary, raw binary").filter("class is not null").groupBy("class")
            .agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"), F.first("raw").alias("raw"))
            .withColumn("cid", F.monotonically_increasing_id()))
-    return keyed.select("vec_id", "class"), common.written(one, "vec-classes")
+    return keyed, common.written(one, "vec-classes"), kind
+
+
+def _placed(centers: dict, kind, with_raw: bool):
+    """The cells of classes: each walks from the root of its length to the
+    nearest of a cell's centres, as far as ``centers`` go (cell: centres and
+    children), with its distance to the last one."""
+    def place(cell: int, x: np.ndarray):
+        at, dist = np.full(len(x), cell, np.int64), np.full(len(x), _ROOT_RADIUS)
+        open_ = [(cell, np.arange(len(x)))]
+        while open_:
+            cell, rows = open_.pop()
+            if cell not in centers:
+                continue
+            c, child = centers[cell]
+            d = _distance(x[rows], c)
+            near = d.argmin(axis=1)
+            at[rows], dist[rows] = child[near], d[np.arange(len(rows)), near]
+            open_ += [(int(child[i]), rows[near == i]) for i in np.unique(near).tolist()]
+        return at, dist
+
+    def run(batches):
+        for whole in released(batches):
+            for lo in range(0, whole.num_rows, BLOCK):
+                b = whole.slice(lo, BLOCK)
+                raw = b.column(2).to_pylist()
+                cell, dist = -np.array([len(r) for r in raw], np.int64), np.zeros(len(raw))
+                for root in np.unique(cell).tolist():
+                    rows = np.flatnonzero(cell == root)
+                    cell[rows], dist[rows] = place(root, _vectors([raw[i] for i in rows.tolist()], kind))
+                placed = [pa.array(cell), pa.array(dist)]
+                yield (pa.RecordBatch.from_arrays([*b.columns, placed[0]], names=["cid", "copies", "raw", "cell"]) if with_raw else
+                       pa.RecordBatch.from_arrays([b.column(0), *placed], names=["cid", "cell", "dist"]))
+    return run
 
 
-def upper_tree(one: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(``cid, raw, copies, cell`` of every class, ``node, parent, center,
+def upper_tree(one: DataFrame, kind=np.float64) -> tuple[DataFrame, DataFrame]:
+    """(``cid, copies, raw, cell`` of every class, ``node, parent, center,
     radius, leaf``). Vectors of different lengths start in different cells
-    (a root per length)."""
-    spark = one.sparkSession
-    members = one.select("cid", "raw", "copies", (-F.length("raw")).cast("long").alias("cell"))
-    members = common.written(members, "vec-cell")
-    sizes = members.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.first("raw").alias("center"))
+    (a root per length). The centres pass through the driver and go to the
+    tasks: one of about ``SPLIT`` vectors."""
+    vectors, centers = one.select("cid", "copies", "raw"), {}
+    sizes = (one.select((-F.length("raw")).cast("long").alias("cell"), "raw").groupBy("cell")
+             .agg(F.count(F.lit(1)).alias("n"), F.first("raw").alias("center")))
     nodes = [common.written(sizes.select(F.col("cell").alias("node"), F.lit(None).cast("long").alias("parent"), "center",
                                          F.lit(_ROOT_RADIUS).alias("radius"), "n"), "vec-node")]
-    done = []
+    place = "cid long, cell long, dist double"
     while True:
+        members = common.written(vectors.mapInArrow(_placed(centers, kind, False), place), "vec-cell")
+        if centers:
+            child = members.groupBy("cell").agg(F.max("dist").alias("radius"), F.count(F.lit(1)).alias("n"))
+            nodes.append(common.written(chosen.join(child, "cell").select(
+                F.col("cell").alias("node"), "parent", "center", "radius", "n"), "vec-node"))
         large = nodes[-1].filter(F.col("n") > CELL).select(
-            F.col("node").alias("cell"),
-            F.least(F.lit(FANOUT), F.ceil(F.col("n") / SPLIT)).alias("k"), F.ceil(F.col("n") / BLOCK).alias("blocks"))
+            F.col("node").alias("cell"), F.least(F.lit(FANOUT), F.ceil(F.col("n") / SPLIT)).alias("k"))
         large = common.written(large, "vec-large")
         if large.isEmpty():
-            done.append(members)
             break
-        done.append(members.join(large.select("cell"), "cell", "left_anti").select(*members.columns))
-        members = members.join(large, "cell")
         order = Window.partitionBy("cell").orderBy(F.xxhash64("cid"), "cid")
-        centers = (members.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= FANOUT)
-                   .filter(F.col("i") <= F.col("k")).groupBy("cell")
-                   .agg(F.sort_array(F.collect_list(F.struct("i", "raw"))).alias("centers")))
-        centers = common.written(centers, "vec-centers")
-        blocks = (members.groupBy("cell", F.pmod(F.xxhash64("cid"), "blocks").alias("block"))
-                  .agg(F.collect_list(F.struct("cid", "raw", "copies")).alias("m")))
-        members = common.written(blocks.join(centers, "cell").select("cell", "m", "centers")
-                                 .mapInArrow(_assign, "cid long, raw binary, copies long, parent long, i long, dist double")
-                                 .withColumn("cell", _child_id(F.col("parent"), F.col("i"))), "vec-cell")
-        child = members.groupBy("cell").agg(F.first("parent").alias("parent"), F.max("dist").alias("radius"),
-                                            F.count(F.lit(1)).alias("n"))
-        center = centers.select(F.col("cell").alias("parent"), F.explode("centers").alias("c")).select(
-            _child_id(F.col("parent"), F.col("c.i")).alias("cell"), F.col("c.raw").alias("center"))
-        nodes.append(common.written(child.join(center, "cell").select(
-            F.col("cell").alias("node"), "parent", "center", "radius", "n"), "vec-node"))
-        members = members.select("cid", "raw", "copies", "cell")
-    all_nodes, cells = nodes[0], done[0]
+        drawn = (members.join(large, "cell").withColumn("i", F.row_number().over(order)).filter(F.col("i") <= FANOUT)
+                 .filter(F.col("i") <= F.col("k")).select("cid", F.col("cell").alias("parent"), "i"))
+        drawn = common.written(drawn, "vec-drawn")
+        chosen = common.written(vectors.join(drawn, "cid").select(
+            _child_id(F.col("parent"), F.col("i")).alias("cell"), "parent", "i", F.col("raw").alias("center")), "vec-centers")
+        for parent, some in groupby(chosen.orderBy("parent", "i").collect(), lambda r: r["parent"]):
+            some = list(some)
+            centers[parent] = _vectors([r["center"] for r in some], kind), np.array([r["cell"] for r in some], np.int64)
+    all_nodes = nodes[0]
     for more in nodes[1:]:
         all_nodes = all_nodes.unionAll(more)
-    for more in done[1:]:
-        cells = cells.unionAll(more.select(*cells.columns))
     tree = common.written(all_nodes.withColumn("leaf", F.col("n") <= CELL).drop("n"), "vec-tree")
-    return cells.select("cid", "raw", "copies", "cell"), tree
+    return vectors.mapInArrow(_placed(centers, kind, True), "cid long, copies long, raw binary, cell long"), tree
 
 
 def _child_id(parent, i):
@@ -236,27 +323,7 @@ def _child_id(parent, i):
     return F.shiftrightunsigned(F.xxhash64(parent, i.cast("int")), 1)
 
 
-def _assign(batches):
-    """Blocks of a cell's members to their nearest centre."""
-    for b in released(batches):
-        out = [[] for _ in range(5)]
-        for cell, m, c in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-            x = _vectors(m.values.field(1).to_pylist())
-            d = _distance(x, _vectors(c.values.field(1).to_pylist()))
-            near = d.argmin(axis=1)
-            out[0].append(m.values)
-            out[1] += [cell] * len(x)
-            out[2] += c.values.field(0).to_numpy(zero_copy_only=False)[near].tolist()
-            out[3] += d[np.arange(len(x)), near].tolist()
-        if out[1]:
-            rows = pa.concat_arrays(out[0])
-            yield pa.RecordBatch.from_arrays(
-                [rows.field(0), rows.field(1), rows.field(2), pa.array(out[1], pa.int64()),
-                 pa.array(out[2], pa.int64()), pa.array(out[3], pa.float64())],
-                names=["cid", "raw", "copies", "parent", "i", "dist"])
-
-
-def cell_pairs(tree: DataFrame, cosine: float) -> DataFrame:
+def cell_pairs(tree: DataFrame, cosine: float, kind=np.float64) -> DataFrame:
     """``a, b`` (a <= b): leaf cells that may hold linked vectors."""
     reach = float(np.sqrt(2 - 2 * cosine)) + _SLACK
     near_schema = "a long, b long, leaf_a boolean, leaf_b boolean"
@@ -266,7 +333,7 @@ def cell_pairs(tree: DataFrame, cosine: float) -> DataFrame:
             if not b.num_rows:
                 continue
             x, y = (b.column(i).to_pylist() for i in (2, 3))
-            d = np.array([_distance(_vectors([p]), _vectors([q]))[0, 0] for p, q in zip(x, y, strict=True)])
+            d = np.array([_distance(_vectors([p], kind), _vectors([q], kind))[0, 0] for p, q in zip(x, y, strict=True)])
             ok = pa.array(d <= np.asarray(b.column(4)) + reach)
             yield pa.RecordBatch.from_arrays([b.column(i).filter(ok) for i in (0, 1, 5, 6)],
                                              names=["a", "b", "leaf_a", "leaf_b"])
@@ -293,35 +360,40 @@ def cell_pairs(tree: DataFrame, cosine: float) -> DataFrame:
         done = done.unionAll(pairs.filter("leaf_a and leaf_b"))
 
 
-CELL_SCHEMA = "cell long, cids array<long>, copies array<long>, x binary, tree binary"
+CELL_SCHEMA = "cell long, cids binary, copies binary, x binary, tree binary, partners array<long>"
 
 
-def _planted(batches):
+def _planted(kind):
     """Leaf cells with their cover trees, built once per cell."""
-    for b in released(batches):
-        for cell, m in zip(b.column(0), b.column(1), strict=True):
-            v = m.values
-            tree = Tree.build(_vectors(v.field(1).to_pylist()))
-            order = pa.array(tree.order)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([cell.as_py()], pa.int64()), pa.array([v.field(0).take(order).to_pylist()], pa.list_(pa.int64())),
-                 pa.array([v.field(2).take(order).to_pylist()], pa.list_(pa.int64())),
-                 pa.array([tree.x.tobytes()], pa.binary()), pa.array([tree.dump()], pa.binary())],
-                names=["cell", "cids", "copies", "x", "tree"])
-
-
-def _compare(cosine: float):
+    def run(batches):
+        for b in released(batches):
+            for i, m in enumerate(b.column(1)):
+                cids, copies, raw = (m.values.field(k) for k in range(3))
+                tree = Tree.build(_vectors(raw.to_pylist(), kind))
+                ids, n = (c.to_numpy(zero_copy_only=False).astype(np.int64)[tree.order].tobytes() for c in (cids, copies))
+                x = b"".join(raw.take(pa.array(tree.order)).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, 1), *(pa.array([c], pa.binary()) for c in (ids, n, x, tree.dump())), b.column(2).slice(i, 1)],
+                    names=["cell", "cids", "copies", "x", "tree", "partners"])
+    return run
+
+
+def _compare(cosine: float, kind):
     def side(c):
-        c = c.as_py()
-        cids = np.array(c["cids"], np.int64)
-        return cids, np.array(c["copies"], np.int64), Tree.load(np.frombuffer(c["x"]).reshape(len(cids), -1), c["tree"])
+        cids = np.frombuffer(c["cids"].as_py(), np.int64)
+        x = _normal(np.frombuffer(c["x"].as_py(), kind).reshape(len(cids), -1))
+        return cids, np.frombuffer(c["copies"].as_py(), np.int64), Tree.load(x, c["tree"].as_py())
 
     def run(batches):
+        held, left = None, None
         for b in released(batches):
             out_x, out_y, out_n = [], [], []
-            for same, xs, ys in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-                cx, mx, tx = side(xs)
-                cy, my, ty = (cx, mx, tx) if same else side(ys)
+            for xs, ys in zip(b.column(0), b.column(1), strict=True):
+                if held != xs["cell"].as_py():      # the pairs of a cell come together
+                    held, left = xs["cell"].as_py(), side(xs)
+                same = held == ys["cell"].as_py()
+                cx, mx, tx = left
+                cy, my, ty = left if same else side(ys)
                 nx, ny = np.zeros(len(cx), np.int64), np.zeros(len(cy), np.int64)
                 every = cx if same else np.concatenate([cx, cy])
                 parent = np.arange(len(every))
@@ -364,16 +436,25 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     least vec_id reachable (null ids are passed over). An empty table has
     no rows; other columns are not read.
     """
-    keyed, one = classes(vectors, id_col, vector_col)
-    cells, tree = upper_tree(one)
-    pairs = common.written(cell_pairs(tree, cosine), "vec-cell-pairs")
-    held = common.written(cells.groupBy("cell").agg(F.collect_list(F.struct("cid", "raw", "copies")).alias("m"))
-                          .mapInArrow(_planted, CELL_SCHEMA), "vec-held")
-    held = held.select("cell", F.struct("cids", "copies", "x", "tree").alias("side"))
-    both = (pairs.join(held.toDF("a", "xs"), "a").join(held.toDF("b", "ys"), "b")
-            .select((F.col("a") == F.col("b")).alias("same"), "xs", "ys"))
-    n = max(1, common.shuffle_partitions(vectors.sparkSession))
-    found = common.written(both.repartition(n).mapInArrow(_compare(cosine), "x long, y long, n long"), "vec-found")
+    spark = vectors.sparkSession
+    keyed, one, kind = classes(vectors, id_col, vector_col)
+    cells, tree = upper_tree(one, kind)
+    pairs = common.written(cell_pairs(tree, cosine, kind), "vec-cell-pairs")
+    partners = common.written(pairs.groupBy(F.col("a").alias("cell")).agg(F.sort_array(F.collect_list("b")).alias("partners")),
+                              "vec-partners")
+    size = one.agg(F.sum(F.length("raw")).alias("bytes")).first()["bytes"] or 0
+    few = min(GROUPS, -(-tree.filter("leaf").count() // GROUP))
+    groups = max(1, few, -(-size // GROUP_BYTES))
+    held = (cells.groupBy("cell").agg(F.collect_list(F.struct("cid", "copies", "raw")).alias("m"))
+            .join(partners, "cell").mapInArrow(_planted(kind), CELL_SCHEMA)
+            .select(F.struct("cell", "cids", "copies", "x", "tree", "partners").alias("side")))
+    held = held.repartitionById(groups, F.pmod(F.xxhash64("side.cell"), F.lit(groups)).cast("int"))
+    # neither side gets a filter of its own (for nulls), so one shuffle serves both
+    linked = F.coalesce(F.array_contains("xs.partners", F.col("ys.cell")), F.lit(False))
+    both = (held.select(F.col("side").alias("xs")).hint("shuffle_replicate_nl")
+            .join(held.select(F.col("side").alias("ys")), linked))
+    with common.arrow_bytes(spark, PAIR_BYTES):
+        found = common.written(both.mapInArrow(_compare(cosine, kind), "x long, y long, n long"), "vec-found")
     counts = found.filter("y is null").groupBy(F.col("x").alias("cid")).agg(F.sum("n").alias("n"))
     comp = common.written(components(found.filter("y is not null"), "x", "y"), "vec-comp")
     of = common.written(one.select("cid", "class", "copies", "least")

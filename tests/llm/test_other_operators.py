@@ -314,6 +314,41 @@ def test_odd_vectors(spark):
     assert covertree.near_vectors(df.filter("false")).count() == 0
 
 
+def _shuffled_bytes(plan):
+    """Bytes that the shuffles of a plan that has run have written."""
+    kind = plan.getClass().getSimpleName()
+    below = [plan.children().apply(i) for i in range(plan.children().size())]
+    if kind == "AdaptiveSparkPlanExec":
+        below = [plan.executedPlan()]
+    elif kind.endswith("QueryStageExec"):
+        below = [plan.plan()]
+    elif kind == "ReusedExchangeExec":
+        below = []
+    own = plan.metrics().apply("dataSize").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(_shuffled_bytes(b) for b in below)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_cells_are_not_shuffled_once_per_pair(spark, monkeypatch, kind):
+    for name, value in (("CELL", 60), ("SPLIT", 30), ("BLOCK", 40), ("FANOUT", 8), ("TILE", 500), ("PAIR_BYTES", 50_000)):
+        if hasattr(covertree, name):
+            monkeypatch.setattr(covertree, name, value)
+    x = np.random.default_rng(7).normal(size=(800, 40))
+    x[700:] = x[:100] + 0.01 * np.random.default_rng(8).normal(size=(100, 40))
+    rows = [(i, v.tolist()) for i, v in enumerate(x.astype(np.float32).astype(float))]
+    size, seen, written = x.nbytes, {}, common.written
+
+    def measured(df, name):
+        if name in ("vec-cell-pairs", "vec-found"):
+            n = len(df.collect())
+            seen[name] = n, _shuffled_bytes(df._jdf.queryExecution().executedPlan())
+        return written(df, name)
+
+    monkeypatch.setattr(common, "written", measured)
+    assert _links(stored(spark, rows, f"vec_id long, embedding array<{kind}>")) == _links_brute(rows, 0.95)
+    assert seen["vec-cell-pairs"][0] > 150 and 0 < seen["vec-found"][1] < 4 * size
+
+
 # --- components ---------------------------------------------------------------------------
 
 def test_components_of_paths_hubs_and_loops(spark):
