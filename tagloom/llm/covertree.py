@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 from tagloom.llm import common
 from tagloom.llm.components import components
 from tagloom.llm.tokens import released
+from tagloom.session import arrow_bytes
 
 COSINE = 0.95
 CELL = 4096                 # classes of a leaf cell
@@ -453,7 +454,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     linked = F.coalesce(F.array_contains("xs.partners", F.col("ys.cell")), F.lit(False))
     both = (held.select(F.col("side").alias("xs")).hint("shuffle_replicate_nl")
             .join(held.select(F.col("side").alias("ys")), linked))
-    with common.arrow_bytes(spark, PAIR_BYTES):
+    with arrow_bytes(spark, PAIR_BYTES):
         found = common.written(both.mapInArrow(_compare(cosine, kind), "x long, y long, n long"), "vec-found")
     counts = found.filter("y is null").groupBy(F.col("x").alias("cid")).agg(F.sum("n").alias("n"))
     comp = common.written(components(found.filter("y is not null"), "x", "y"), "vec-comp")

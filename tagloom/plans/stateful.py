@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import os
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +16,9 @@ from tagloom.operators.graph import Graph, merge_many, triplets
 from tagloom.operators.merging import merge_into
 from tagloom.operators.windows import with_window
 from tagloom.plans import graph_inputs as gi
-from tagloom.session import drop_scratch, scratch_path
+from tagloom.session import arrow_bytes, drop_scratch, scratch_path
 from tagloom.sources.objects import read_concat_objects, read_items_json
+from tagloom.sources.scan import BATCH_BYTES
 from tagloom.sources.tables import table
 from tagloom.streaming import keyed, sink, windowed
 from tagloom.streaming.sources import file_stream
@@ -60,19 +63,32 @@ def _read_back(rows: DataFrame) -> DataFrame:
                        F.sha2(F.get("questions", F.lit(0)), 256).alias("text_sha256"), F.array_join("tags", "|").alias("tags"))
 
 
+def _document(batches):
+    """One JSON document of a task's records, line by line."""
+    begun = False
+    for b in batches:
+        j = b.column(0)
+        if not begun and len(j):
+            begun = True
+            yield pa.RecordBatch.from_arrays([pa.array(['{"items": [' + j[0].as_py()])], names=["value"])
+            j = j[1:]
+        if len(j):
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise("", j, ",")], names=["value"])
+    if begun:
+        yield pa.RecordBatch.from_arrays([pa.array(["]}"])], names=["value"])
+
+
 def q_items_records(spark, sf_dir):
     """The same records as a few JSON documents, read back by as many tasks
     as the documents have splits."""
     q, path = _questions(spark, sf_dir), scratch_path(spark, "items")
-    lines = q.select(F.pmod(F.xxhash64("links"), F.lit(DOCUMENTS)).alias("p"), F.col("links").cast("long").alias("i"),
-                     F.to_json(F.struct(*q.columns)).alias("j"))
-    ends = lines.groupBy("p").agg(F.min("i").alias("first"))
-    items = lines.join(ends, "p").select("p", "i", F.concat(F.when(F.col("i") == F.col("first"), '{"items": [').otherwise(","),
-                                                            "j").alias("value"))
-    tails = ends.select("p", F.lit(None).cast("long").alias("i"), F.lit("]}").alias("value"))
-    (items.unionByName(tails).repartition("p").sortWithinPartitions("p", F.col("i").asc_nulls_last())
-     .drop("i").write.partitionBy("p").text(path))
-    return _read_back(read_items_json(spark, path))
+    dealt = (q.select(F.pmod(F.xxhash64("links"), F.lit(DOCUMENTS)).cast("int").alias("p"), F.to_json(F.struct(*q.columns)).alias("j"))
+             .repartitionById(DOCUMENTS, F.col("p")))
+    with arrow_bytes(spark, BATCH_BYTES):
+        dealt.select("j").mapInArrow(_document, "value string").write.text(path)
+    items = _read_back(read_items_json(spark, path))
+    drop_scratch(spark, path)           # the scan keeps what it has read
+    return items
 
 
 _RECORDS = """
